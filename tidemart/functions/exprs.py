@@ -127,14 +127,18 @@ _QUANTITY_UNITS = [
 
 
 def readable_quantity(x) -> Column:
-    """``formatReadableQuantity(n)``: 1660 -> '1.66 thousand'."""
-    v = _c(x).cast("double")
-    out = F.format_number(v, 2)
-    expr = F.regexp_replace(out, ",", "")
+    """``formatReadableQuantity(n)`` of a count: 1660 -> '1.66 thousand'.
+
+    Hundredths are rounded half-up in integer arithmetic (no float ties).
+    """
+    n = _c(x).cast("long")
+    expr = F.concat(n.cast("string"), F.lit(".00"))
     for base, word in reversed(_QUANTITY_UNITS):
-        expr = F.when(F.abs(v) >= F.lit(base),
-                      F.concat(F.regexp_replace(F.format_number(v / F.lit(base), 2), ",", ""),
-                               F.lit(" " + word))).otherwise(expr)
+        b = int(base)
+        hundredths = F.floor((n * F.lit(100) + F.lit(b // 2)) / F.lit(b)).cast("long")
+        txt = F.concat((hundredths / 100).cast("long").cast("string"), F.lit("."),
+                       F.lpad((hundredths % 100).cast("string"), 2, "0"), F.lit(" " + word))
+        expr = F.when(n >= F.lit(b), txt).otherwise(expr)
     return expr
 
 

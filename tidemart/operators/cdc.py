@@ -27,6 +27,12 @@ def _order_cols(df: DataFrame, version_col: str) -> list[Column]:
     return cols
 
 
+def version_rank(df: DataFrame, key: Sequence[str], version_col: str = VERSION) -> DataFrame:
+    """Adds ``_cdc_rank``: 1 for the newest version of each key, 2 for the one before..."""
+    w = Window.partitionBy(*key).orderBy(*_order_cols(df, version_col))
+    return df.withColumn("_cdc_rank", F.row_number().over(w))
+
+
 def latest_version(df: DataFrame, key: Sequence[str], version_col: str = VERSION) -> DataFrame:
     """The newest version of each key, tombstones included.
 
@@ -35,10 +41,9 @@ def latest_version(df: DataFrame, key: Sequence[str], version_col: str = VERSION
     millions of versions does not land whole in one task), pushes filters on
     key columns below the window and prunes unused columns.
     """
-    w = Window.partitionBy(*key).orderBy(*_order_cols(df, version_col))
-    return (df.withColumn("_cdc_rank", F.row_number().over(w))
-              .filter(F.col("_cdc_rank") == 1)
-              .drop("_cdc_rank"))
+    return (version_rank(df, key, version_col)
+            .filter(F.col("_cdc_rank") == 1)
+            .drop("_cdc_rank"))
 
 
 def latest_live(df: DataFrame, key: Sequence[str], version_col: str = VERSION) -> DataFrame:
