@@ -159,3 +159,52 @@ def test_month_key(spark):
     df = spark.createDataFrame([(dt.date(2024, 3, 9),)], "d date")
     assert df.select(yyyymm("d").alias("m")).first()["m"] == 202403
     assert df.select(F.lit(1)).count() == 1
+
+
+# --- strict semantics (FIXTURES.md §5, right-hand column) ----------------------
+
+def test_strict_po_without_any_match(spark):
+    from tidemart.plans import marts_strict as S
+    L = make_landing(spark, {"fact_po_raw": [
+        {"id": 1, "buyer_org_id": 5, "status": 5, "total_amount": 100, "po_date": DAY}]})
+    r = one(S.daily_buyer(L, AS_OF))
+    assert (r["rfq_count"], r["invoice_count"]) == (0, 0)
+    assert r["on_time_delivery_rate"] is None and r["avg_supplier_rating"] is None
+
+
+def test_strict_no_fan_out(spark):
+    from tidemart.plans import marts_strict as S
+    L = make_landing(spark, {
+        "fact_po_raw": [{"id": 1, "buyer_org_id": 5, "status": 1, "total_amount": 100, "po_date": DAY}],
+        "fact_rfq_raw": [{"id": 11, "buyer_org_id": 5, "rfq_date": DAY}, {"id": 12, "buyer_org_id": 5, "rfq_date": DAY}],
+        "fact_delivery_raw": [{"id": 21, "po_id": 1, "delay_days": 0}, {"id": 22, "po_id": 1, "delay_days": 3}],
+    })
+    r = one(S.daily_buyer(L, AS_OF))
+    assert r["po_count"] == 1 and r["total_spend"] == Decimal("100.0000") and r["rfq_count"] == 2
+    assert r["on_time_delivery_rate"] == 0.5
+
+
+def test_strict_rfq_without_quote_is_null(spark):
+    from tidemart.plans import marts_strict as S
+    L = make_landing(spark, {"fact_rfq_raw": [{"id": 1, "buyer_org_id": 5, "rfq_date": "2001-08-01 00:00:00"}]})
+    assert one(S.daily_rfq_pipeline(L, AS_OF))["avg_response_hours"] is None
+
+
+def test_strict_po_id_zero_does_not_match(spark):
+    from tidemart.plans import marts_strict as S
+    L = make_landing(spark, {
+        "fact_rfq_quote_raw": [{"id": 1, "rfq_id": 9, "supplier_org_id": 7, "status": 6, "quoted_at": DAY}],
+        "fact_delivery_raw": [{"id": 5, "po_id": 0, "delay_days": 4}],
+    })
+    r = one(S.daily_seller(L, AS_OF))
+    assert r["quotes_submitted"] == 1 and r["po_fulfilled"] == 0 and r["on_time_delivery"] is None
+    assert r["rfq_received"] == 0 and r["po_received"] == 0
+
+
+def test_strict_key_drift_counts_once(spark):
+    from tidemart.plans import marts_strict as S
+    L = make_landing(spark, {"fact_po_raw": [
+        {"id": 1, "buyer_org_id": 5, "status": 1, "total_amount": 100, "po_date": DAY, "_cdc_version": 1},
+        {"id": 1, "buyer_org_id": 6, "status": 1, "total_amount": 100, "po_date": DAY, "_cdc_version": 2}]})
+    assert [r["org_id"] for r in S.daily_buyer(L, AS_OF).collect()] == [6]
+    assert M.daily_buyer(L, AS_OF).count() == 2

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemart.plans import marts as M
+from tidemart.plans import marts_strict as S
 from tidemart.plans.landing import Landing
 
 AS_OF = _dt.date(2001, 8, 1)          # test orders end 2001-08-01
@@ -39,8 +40,8 @@ def portable(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def _mart(name: str, plan: str | None = None) -> Query:
-    fn = M.MARTS[name]
+def _mart(name: str, plan: str | None = None, strict: bool = False) -> Query:
+    fn = S.STRICT_MARTS[name] if strict else M.MARTS[name]
     as_of = AS_OF_EVENTS if name == "agg_daily_engagement" else AS_OF
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,7 +49,7 @@ def _mart(name: str, plan: str | None = None) -> Query:
         df = fn(L, as_of, plan=plan) if plan else fn(L, as_of)
         return portable(df)
 
-    run.__name__ = f"q_{name}" + (f"_{plan}" if plan else "")
+    run.__name__ = f"q_{name}" + (f"_{plan}" if plan else "") + ("_strict" if strict else "")
     return run
 
 
@@ -56,6 +57,8 @@ def mart_queries() -> dict[str, Query]:
     out: dict[str, Query] = {name: _mart(name) for name in M.MARTS}
     for name in sorted(M.FACTORISED):
         out[f"{name}_joins"] = _mart(name, "joins")
+    for name in M.MARTS:
+        out[f"{name}_strict"] = _mart(name, strict=True)
     return out
 
 
@@ -68,9 +71,11 @@ def all_queries() -> dict[str, Query]:
 
 def all_oracle_sql() -> dict[str, str]:
     from tidemart.plans import cdc_queries
-    from tidemart.plans.oracle_sql import MART_SQL
+    from tidemart.plans.oracle_sql import MART_SQL, STRICT_SQL
     out = dict(MART_SQL)
     for name in sorted(M.FACTORISED):
         out[f"{name}_joins"] = MART_SQL[name]
+    for name in M.MARTS:
+        out[f"{name}_strict"] = STRICT_SQL[name]
     out.update(cdc_queries.oracle_sql())
     return out

@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemart.operators.joins import maybe_broadcast
 from tidemart.sources.schemas import (
     D184, IS_DELETED, LANDING, SYNCED_AT, VERSION, type_default,
 )
@@ -128,7 +127,7 @@ class Fixtures:
                .agg(F.sum(D("l_quantity")).alias("qty"), F.sum(D("l_extendedprice")).alias("total")))
         part = self.src.read("part", "p_partkey", "p_type")
         cat = self._category_index()
-        pc = part.join(maybe_broadcast(cat), "p_type").select("p_partkey", "category_id")
+        pc = part.join(cat, "p_type").select("p_partkey", "category_id")
         j = g.join(pc, g.l_partkey == pc.p_partkey, "left")
         df = j.select(
             (K("l_orderkey") * F.lit(10_000_000) + F.col("l_partkey")).alias("id"),
@@ -315,8 +314,9 @@ class Fixtures:
     def dim_organization(self) -> DataFrame:
         nation = self.src.read("nation", "n_nationkey", "n_name", "n_regionkey")
         region = self.src.read("region", "r_regionkey", "r_name")
-        geo = nation.join(maybe_broadcast(region), nation.n_regionkey == region.r_regionkey)
-        geo = maybe_broadcast(geo.select("n_nationkey", "n_name", "r_name"))
+        # nation/region are fixed-size dictionaries (25 / 5 rows by definition)
+        geo = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
+        geo = F.broadcast(geo.select("n_nationkey", "n_name", "r_name"))
         c = self.src.read("customer", "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
         s = self.src.read("supplier", "s_suppkey", "s_name", "s_nationkey")
         buyers = c.join(geo, c.c_nationkey == geo.n_nationkey, "left").select(
@@ -339,7 +339,7 @@ class Fixtures:
     def dim_product(self) -> DataFrame:
         part = self.src.read("part", "p_partkey", "p_name", "p_brand", "p_type")
         cat = self._category_index()
-        df = part.join(maybe_broadcast(cat), "p_type", "left").select(
+        df = part.join(cat, "p_type", "left").select(
             K("p_partkey").alias("id"), F.col("p_name").alias("name"),
             F.col("p_brand").alias("code"), F.col("category_id"), F.col("p_brand").alias("brand"),
             F.lit("EA").alias("uom"), F.lit(1).alias("is_active"))
