@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from tidemart.functions.exprs import readable_quantity
 from tidemart.operators.cdc import (
-    drop_columns, latest_live, latest_version, map_to_landing, snapshot_plus_tail, version_rank,
+    drop_columns, latest_live, latest_live_incremental, latest_version, map_to_landing,
+    snapshot_plus_tail, version_rank,
 )
 from tidemart.plans import views as V
 from tidemart.plans.landing import Landing
 from tidemart.plans.oracle_fixtures import FIXTURE_SQL, latest_sql, with_fixtures
+from tidemart.sources.copy import bounded_copy, insert_if_absent
 from tidemart.sources.changelog import LOG_START, po_change_log, po_mapping, po_source
 from tidemart.sources.fixtures import Fixtures
 from tidemart.sources.schemas import LANDING, SYNCED_AT, VERSION
@@ -77,6 +79,32 @@ def cdc_compact_then_tail(spark, sf_dir):
     return _portable(latest_live(compacted.unionByName(tail), PO.sort_key))
 
 
+def cdc_incremental_merge(spark, sf_dir):
+    """Compacted first half of the log + tail applied incrementally."""
+    log = po_change_log(_fx(spark, sf_dir), with_batch=True)
+    base = latest_version(log.filter(F.col("_batch") < 2).drop("_batch"), PO.sort_key)
+    tail = log.filter(F.col("_batch") >= 2).drop("_batch")
+    return _portable(latest_live_incremental(base, tail, PO.sort_key))
+
+
+def seed_bounded_copy(spark, sf_dir):
+    """The first 2,000 POs by id (a stable seed sample)."""
+    return _portable(bounded_copy(_fx(spark, sf_dir).fact_po(), SEED_ROWS, ["id"]))
+
+
+def seed_insert_if_absent(spark, sf_dir):
+    """existing = POs of even order keys; insert version-2 rows of every
+    third key only where the key is absent, then the table content."""
+    fx = _fx(spark, sf_dir)
+    existing = fx.fact_po().filter((F.col("id") - 1) % 2 == 0)
+    new = po_change_log(fx).filter(F.col(VERSION) == 2)
+    added = insert_if_absent(new, existing, ["id"], first_by=[F.col(SYNCED_AT)])
+    return _portable(existing.unionByName(added))
+
+
+SEED_ROWS = 2000
+
+
 def cdc_map_po(spark, sf_dir):
     src = po_source(_fx(spark, sf_dir))
     return _portable(map_to_landing(src, "fact_po_raw", po_mapping(),
@@ -154,8 +182,11 @@ def queries() -> dict:
         "cdc_snapshot_plus_tail": cdc_snapshot_plus_tail,
         "cdc_replay_idempotent": cdc_replay_idempotent,
         "cdc_compact_then_tail": cdc_compact_then_tail,
+        "cdc_incremental_merge": cdc_incremental_merge,
         "cdc_map_po": cdc_map_po,
         "cdc_exclude_cols": cdc_exclude_cols,
+        "seed_bounded_copy": seed_bounded_copy,
+        "seed_insert_if_absent": seed_insert_if_absent,
         "report_row_counts": report_row_counts,
         "report_cdc_lag": report_cdc_lag,
     }
@@ -305,6 +336,15 @@ def oracle_sql() -> dict:
             ("twice", "SELECT * FROM log UNION ALL SELECT * FROM log"), ("res", _dedup("twice", SORT_KEY, True))]),
         # the property: compaction keeping tombstones + tail == live reading of the whole log
         "cdc_compact_then_tail": _on_log("res", extra=[("res", _dedup("log", SORT_KEY, True))]),
+        "cdc_incremental_merge": _on_log("res", extra=[("res", _dedup("log", SORT_KEY, True))]),
+        "seed_bounded_copy": with_fixtures(["fact_po_raw"], f"SELECT {_portable_cols('fact_po_raw')} "
+                                           f"FROM (SELECT * FROM fact_po_raw ORDER BY id LIMIT {SEED_ROWS})"),
+        "seed_insert_if_absent": with_fixtures(["fact_po_raw"], f"SELECT {_portable_cols('fact_po_raw')} FROM res",
+            _log_ctes() + [
+                ("existing", "SELECT * FROM fact_po_raw WHERE (id - 1) % 2 = 0"),
+                ("added", "SELECT * EXCLUDE (_batch) FROM log WHERE _cdc_version = 2 "
+                          "AND id NOT IN (SELECT id FROM existing)"),
+                ("res", "SELECT * FROM existing UNION ALL SELECT * FROM added")]),
         "cdc_map_po": _map_po_sql(),
         "cdc_exclude_cols": _map_po_sql(tuple(EXCLUDED)),
         "report_row_counts": _row_counts_sql(),
