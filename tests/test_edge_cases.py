@@ -208,3 +208,18 @@ def test_strict_key_drift_counts_once(spark):
         {"id": 1, "buyer_org_id": 6, "status": 1, "total_amount": 100, "po_date": DAY, "_cdc_version": 2}]})
     assert [r["org_id"] for r in S.daily_buyer(L, AS_OF).collect()] == [6]
     assert M.daily_buyer(L, AS_OF).count() == 2
+
+
+def test_top1_approx_sketch(spark):
+    from tidemart.functions.exprs import top1_approx
+    df = spark.createDataFrame([("b",), ("a",), ("b",)], "x string")
+    assert df.agg(top1_approx("x").alias("t")).first()["t"] == "b"
+
+
+def test_public_api_semantics(spark):
+    from tidemart import mart
+    L = make_landing(spark, {"fact_po_raw": [
+        {"id": 1, "buyer_org_id": 5, "status": 5, "total_amount": 100, "po_date": DAY}]})
+    assert one(mart(L, "agg_daily_buyer", AS_OF))["rfq_count"] == 1
+    assert one(mart(L, "agg_daily_buyer", AS_OF, plan="joins"))["rfq_count"] == 1
+    assert one(mart(L, "agg_daily_buyer", AS_OF, semantics="strict"))["rfq_count"] == 0

@@ -70,6 +70,15 @@ def top1(x) -> Column:
     return F.mode(_c(x), deterministic=True)
 
 
+def top1_approx(x, name: str | None = None) -> Column:
+    """``topK(1)(x)[1]`` with a bounded-memory sketch (``approx_top_k``), for
+    columns whose cardinality per group is too large for an exact ``mode``."""
+    col = x if isinstance(x, str) else name
+    if col is None:
+        raise ValueError("top1_approx needs a column name")
+    return F.expr(f"approx_top_k(`{col}`, 1)")[0]["item"]
+
+
 def dec_div(num, den, scale: int = 4, precision: int = 18) -> Column:
     """``num / den`` for a decimal ``num`` and a row-count ``den``, rounded
     half-up once to ``Decimal(precision, scale)``.

@@ -24,6 +24,10 @@ def _order_cols(df: DataFrame, version_col: str) -> list[Column]:
         cols.append(F.col(SYNCED_AT).desc())
     if SEQ in df.columns:
         cols.append(F.col(SEQ).desc())
+    # last resort: a content hash, so that two different rows with the same
+    # version and arrival time resolve the same way in every task attempt
+    # (a recomputed partition after an executor loss picks the same row)
+    cols.append(F.xxhash64(*[F.col(c) for c in df.columns]).desc())
     return cols
 
 
@@ -180,4 +184,4 @@ def latest_live_incremental(base: DataFrame, tail: DataFrame, key: Sequence[str]
     touched = base.join(keys, list(key), "left_semi")
     untouched = base.join(keys, list(key), "left_anti")
     merged = latest_version(touched.unionByName(tail), key)
-    return untouched.unionByName(merged).filter(F.col(IS_DELETED) == 0)
+    return untouched.unionByName(merged).filter(F.col(IS_DELETED) == 0).select(*base.columns)

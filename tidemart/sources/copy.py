@@ -35,7 +35,7 @@ def insert_if_absent(new: DataFrame, existing: DataFrame, pk: Sequence[str],
     ``first_by`` wins. Returns only the rows to append."""
     cand = _first_per_key(new, pk, first_by) if first_by else new.dropDuplicates(list(pk))
     keys = existing.select(*pk).distinct()
-    return cand.join(maybe_broadcast(keys, max_broadcast_rows), list(pk), "left_anti")
+    return cand.join(maybe_broadcast(keys, max_broadcast_rows), list(pk), "left_anti").select(*new.columns)
 
 
 def _first_per_key(df: DataFrame, pk: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
