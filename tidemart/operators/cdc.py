@@ -18,26 +18,31 @@ from tidemart.sources.schemas import (
 )
 
 
-def _order_cols(df: DataFrame, version_col: str) -> list[Column]:
+def _order_cols(df: DataFrame, version_col: str, content_tiebreak: bool = False) -> list[Column]:
     cols = [F.col(version_col).desc()]
     if SYNCED_AT in df.columns and version_col != SYNCED_AT:
         cols.append(F.col(SYNCED_AT).desc())
     if SEQ in df.columns:
         cols.append(F.col(SEQ).desc())
-    # last resort: a content hash, so that two different rows with the same
-    # version and arrival time resolve the same way in every task attempt
-    # (a recomputed partition after an executor loss picks the same row)
-    cols.append(F.xxhash64(*[F.col(c) for c in df.columns]).desc())
+    if content_tiebreak:
+        # for feeds that may carry *different* rows under the same version and
+        # arrival time: a content hash makes every task attempt (a partition
+        # recomputed after an executor loss) pick the same row. Off by default:
+        # it reads every column, defeating column pruning, and a log position
+        # version never repeats except for byte-identical replays.
+        cols.append(F.xxhash64(*[F.col(c) for c in df.columns]).desc())
     return cols
 
 
-def version_rank(df: DataFrame, key: Sequence[str], version_col: str = VERSION) -> DataFrame:
+def version_rank(df: DataFrame, key: Sequence[str], version_col: str = VERSION,
+                 content_tiebreak: bool = False) -> DataFrame:
     """Adds ``_cdc_rank``: 1 for the newest version of each key, 2 for the one before..."""
-    w = Window.partitionBy(*key).orderBy(*_order_cols(df, version_col))
+    w = Window.partitionBy(*key).orderBy(*_order_cols(df, version_col, content_tiebreak))
     return df.withColumn("_cdc_rank", F.row_number().over(w))
 
 
-def latest_version(df: DataFrame, key: Sequence[str], version_col: str = VERSION) -> DataFrame:
+def latest_version(df: DataFrame, key: Sequence[str], version_col: str = VERSION,
+                   content_tiebreak: bool = False) -> DataFrame:
     """The newest version of each key, tombstones included.
 
     ``row_number() = 1`` over the key: Catalyst plans a partial
@@ -45,16 +50,17 @@ def latest_version(df: DataFrame, key: Sequence[str], version_col: str = VERSION
     millions of versions does not land whole in one task), pushes filters on
     key columns below the window and prunes unused columns.
     """
-    return (version_rank(df, key, version_col)
+    return (version_rank(df, key, version_col, content_tiebreak)
             .filter(F.col("_cdc_rank") == 1)
             .drop("_cdc_rank"))
 
 
-def latest_live(df: DataFrame, key: Sequence[str], version_col: str = VERSION) -> DataFrame:
+def latest_live(df: DataFrame, key: Sequence[str], version_col: str = VERSION,
+                content_tiebreak: bool = False) -> DataFrame:
     """C1 + C2: newest version per key, then drop the key if that version is a
     tombstone. The tombstone filter must come after the dedup; before it, an
     older live version would come back."""
-    return latest_version(df, key, version_col).filter(F.col(IS_DELETED) == 0)
+    return latest_version(df, key, version_col, content_tiebreak).filter(F.col(IS_DELETED) == 0)
 
 
 def read_latest(df: DataFrame, table: str | LandingTable, live: bool = True,

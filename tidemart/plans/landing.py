@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemart.operators.cdc import latest_live, latest_version
 from tidemart.sources.fixtures import Fixtures
@@ -25,17 +27,34 @@ class Landing:
 
     @classmethod
     def from_path(cls, spark: SparkSession, root: str) -> Landing:
-        """Landing tables stored as ``<root>/<table>`` Parquet folders."""
+        """Landing tables stored as ``<root>/<table>`` Parquet folders, optionally
+        partitioned by ``month`` (see ``operators.cdc.write_compacted``)."""
         def read(name: str) -> DataFrame:
-            return spark.read.schema(LANDING[name].schema).parquet(f"{root.rstrip('/')}/{name}")
+            return spark.read.parquet(f"{root.rstrip('/')}/{name}")
         return cls(read)
 
     def raw(self, name: str) -> DataFrame:
         return self._raw(name)
 
-    def live(self, name: str, key_mode: str = "sort_key") -> DataFrame:
-        """``<table> FINAL WHERE _is_deleted = 0``."""
-        return latest_live(self.raw(name), LANDING[name].key(key_mode))
+    def live(self, name: str, key_mode: str = "sort_key", since: _dt.date | None = None) -> DataFrame:
+        """``<table> FINAL WHERE _is_deleted = 0``.
+
+        ``since``: the caller keeps only rows whose partition date is on or
+        after this day. When that date column is part of the dedup key, the
+        restriction is applied below the dedup (it drops whole keys, so the
+        result is unchanged), on the month partition column too if the stored
+        table has one: directory pruning plus a pushed Parquet filter. For other
+        tables it is left to the caller's filter after the dedup.
+        """
+        t = LANDING[name]
+        key = t.key(key_mode)
+        raw = self.raw(name)
+        if since is not None and t.month_of in key:
+            start = _dt.datetime(since.year, since.month, since.day)
+            if "month" in raw.columns:
+                raw = raw.filter(F.col("month") >= F.lit(since.year * 100 + since.month))
+            raw = raw.filter(F.col(t.month_of) >= F.lit(start).cast("timestamp"))
+        return latest_live(raw, key)
 
     def latest(self, name: str, key_mode: str = "sort_key") -> DataFrame:
         """``<table> FINAL``: newest version per key, tombstones kept."""

@@ -46,9 +46,19 @@ INVOICE_SETTLED = ["paid", "cancelled"]
 DEC_WIDE = T.DecimalType(38, 4)
 
 
+def window_start(as_of: _dt.date) -> _dt.date:
+    return as_of - _dt.timedelta(days=WINDOW_DAYS)
+
+
 def in_window(ts, as_of: _dt.date) -> Column:
-    """``toDate(ts) >= today() - 90`` with ``today()`` fixed to ``as_of``."""
-    return day(ts) >= F.date_sub(F.lit(as_of), WINDOW_DAYS)
+    """``toDate(ts) >= today() - 90`` with ``today()`` fixed to ``as_of``.
+
+    Written as ``ts >= <start> 00:00:00`` (same rows in the session time
+    zone): a bare column comparison reaches the Parquet scan as a pushed
+    filter, and below a dedup keyed on ``ts`` Catalyst moves it under the window.
+    """
+    start = window_start(as_of)
+    return F.col(ts) >= F.lit(_dt.datetime(start.year, start.month, start.day)).cast("timestamp")
 
 
 def _at_least_one(c: Column) -> Column:
@@ -65,8 +75,10 @@ def _hour_index(ts) -> Column:
 
 
 def _po_scope(L: Landing, as_of: _dt.date | None) -> DataFrame:
-    p = L.live("fact_po_raw").filter(F.col("is_deleted") == 0)
-    return p.filter(in_window("po_date", as_of)) if as_of is not None else p
+    if as_of is None:
+        return L.live("fact_po_raw").filter(F.col("is_deleted") == 0)
+    p = L.live("fact_po_raw", since=window_start(as_of)).filter(F.col("is_deleted") == 0)
+    return p.filter(in_window("po_date", as_of))
 
 
 # ---------------------------------------------------------------------------
@@ -183,7 +195,7 @@ M2_COLS = ["metric_date", "org_id", "rfq_received", "quotes_submitted", "quotes_
 
 
 def daily_seller(L: Landing, as_of: _dt.date, plan: str = "factorised") -> DataFrame:
-    q = L.live("fact_rfq_quote_raw").filter(in_window("quoted_at", as_of))
+    q = L.live("fact_rfq_quote_raw", since=window_start(as_of)).filter(in_window("quoted_at", as_of))
     r = L.latest("fact_rfq_raw")
     p = L.latest("fact_po_raw")
     d = L.latest("fact_delivery_raw")
@@ -353,7 +365,7 @@ M5_COLS = ["metric_date", "org_id", "rfq_open", "rfq_closed", "rfq_awarded", "av
 
 
 def daily_rfq_pipeline(L: Landing, as_of: _dt.date, plan: str = "factorised") -> DataFrame:
-    r = L.live("fact_rfq_raw").filter(in_window("rfq_date", as_of))
+    r = L.live("fact_rfq_raw", since=window_start(as_of)).filter(in_window("rfq_date", as_of))
     q = L.latest("fact_rfq_quote_raw")
     st = F.col("status")
     if plan == "joins":
@@ -416,7 +428,7 @@ def daily_revenue_territory(L: Landing, as_of: _dt.date) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def daily_engagement(L: Landing, as_of: _dt.date) -> DataFrame:
-    e = L.live("fact_engagement_raw").filter(in_window("event_ts", as_of))
+    e = L.live("fact_engagement_raw", since=window_start(as_of)).filter(in_window("event_ts", as_of))
     return e.groupBy(day("event_ts").alias("metric_date"), "org_id").agg(
         uniq("user_id").alias("active_users"),
         uniq("session_id").alias("sessions"),

@@ -31,7 +31,7 @@ PK = "primary_key"
 
 
 def _live(L: Landing, name: str) -> DataFrame:
-    return L.live(name, key_mode=PK)
+    return L.live(name, key_mode=PK)     # primary key: no date in the key, no pre-filter
 
 
 def _pos(L: Landing, as_of: _dt.date | None) -> DataFrame:
@@ -203,7 +203,7 @@ class _PkLanding(Landing):
     def __init__(self, inner: Landing):
         super().__init__(inner.raw)
 
-    def live(self, name: str, key_mode: str = PK) -> DataFrame:
+    def live(self, name: str, key_mode: str = PK, since=None) -> DataFrame:
         return super().live(name, PK)
 
     def latest(self, name: str, key_mode: str = PK) -> DataFrame:

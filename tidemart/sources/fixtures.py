@@ -249,11 +249,15 @@ class Fixtures:
         mid = (K("l_orderkey") * F.lit(10 ** 12) + F.col("l_partkey") * F.lit(10 ** 6)
                + F.col("l_suppkey") * F.lit(10) + F.col("l_linenumber"))
         # The id is not unique on every input (two identical lines): fold those.
+        # smallest return flag as an int code (A < N < R): a string min would
+        # force a sort-based aggregate
+        rf = F.col("l_returnflag")
+        code = F.when(rf == "A", 1).when(rf == "N", 2).when(rf == "R", 3)
         g = (li.groupBy(mid.alias("id"), "l_orderkey", "l_partkey", "l_suppkey")
                .agg(F.sum(D("l_quantity")).alias("qty"), F.sum(D("l_extendedprice")).alias("ext"),
-                    F.min("l_returnflag").alias("flag"), F.max("l_shipdate").alias("shipped")))
+                    F.min(code).alias("flag"), F.max("l_shipdate").alias("shipped")))
         j = g.join(o, g.l_orderkey == o.o_orderkey, "inner")
-        flag = F.col("flag")
+        flag = F.element_at(F.array(F.lit("A"), F.lit("N"), F.lit("R")), F.col("flag"))
         df = j.select(
             "id",
             K("o_custkey").alias("org_id"),
