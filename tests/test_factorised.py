@@ -37,7 +37,7 @@ def random_tables(seed: int) -> dict:
     quotes = [{"id": 300 + i, "rfq_id": rng.choice([100, 101, 102, 103, 999]), "supplier_org_id": rng.choice(sups),
                "status": rng.choice([2, 6, 11, 14]), "quoted_at": _ts(rng), "_cdc_is_deleted": int(rng.random() < 0.1)}
               for i in range(rng.randrange(0, 7))]
-    invoices = [{"id": 400 + rng.randrange(5), "po_id": rng.choice([0, 1, 2, 3, 4, 9]),
+    invoices = [{"id": rng.choice([0, 400, 401, 402, 403]), "po_id": rng.choice([0, 1, 2, 3, 4, 9]),
                  "buyer_org_id": rng.randrange(3), "invoice_date": rng.choice(DAYS),
                  "status": rng.choice(["paid", "overdue", "pending", "cancelled"]),
                  "amount": f"{rng.randrange(100, 10**5)}.25", "paid_amount": f"{rng.randrange(0, 100)}.5"}

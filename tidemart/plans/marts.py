@@ -147,12 +147,15 @@ def daily_buyer(L: Landing, as_of: _dt.date, plan: str = "factorised") -> DataFr
         F.sum(F.coalesce(F.col("paid"), F.lit(0)) * n_d).alias("PAID"),
         F.sum(F.coalesce(F.col("overdue"), F.lit(0)) * n_d).alias("OVER"),
         F.sum(n_i * ot_p).alias("OT"),
+        F.max(F.col("ni").isNull()).alias("po_without_invoice"),
     )
-    # distinct invoice ids (or the default 0) per group: not multiplied
+    # distinct invoice ids per group (not multiplied), plus the default id 0
+    # when some PO of the group has no invoice. An inner join, so AQE can split
+    # a skewed side (one PO with a huge number of invoices) either way.
     inv_ids = i.select(F.col("po_id").alias("i_po"), F.col("id").alias("iid")).distinct()
-    uniq_inv = (p.select("id", "buyer_org_id", "po_date").join(inv_ids, p.id == inv_ids.i_po, "left")
+    uniq_inv = (p.select("id", "buyer_org_id", "po_date").join(inv_ids, p.id == inv_ids.i_po, "inner")
                 .groupBy(day("po_date").alias("metric_date"), F.col("buyer_org_id").alias("org_id"))
-                .agg(uniq(F.coalesce(F.col("iid"), F.lit(0))).alias("invoice_count")))
+                .agg(uniq("iid").alias("inv_ids"), F.max(F.col("iid") == 0).alias("has_id0")))
     rq = F.col("quote_count")
     rfq = r.groupBy(day("rfq_date").alias("metric_date"), F.col("buyer_org_id").alias("org_id")).agg(
         count_rows().alias("nr"), uniq("id").alias("r_ids"),
@@ -177,7 +180,9 @@ def daily_buyer(L: Landing, as_of: _dt.date, plan: str = "factorised") -> DataFr
         (F.coalesce(F.col("r_awarded"), F.lit(0)) * n_T * W).alias("rfq_awarded_count"),
         (F.coalesce(F.col("r_quotes"), F.lit(0)) * n_T * W).cast("long").alias("quote_received"),
         F.col("avg_quote_per_rfq"),
-        F.col("invoice_count"),
+        (F.coalesce(F.col("inv_ids"), F.lit(0))
+         + F.when(F.col("po_without_invoice") & ~F.coalesce(F.col("has_id0"), F.lit(False)), 1).otherwise(0)
+         ).alias("invoice_count"),
         (mult * F.col("PAID")).alias("invoice_paid"),
         (mult * F.col("OVER")).alias("invoice_overdue"),
         (F.col("OT").cast("double") / W.cast("double")).alias("on_time_delivery_rate"),
