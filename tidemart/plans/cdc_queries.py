@@ -37,43 +37,48 @@ def _fx(spark: SparkSession, sf_dir: str) -> Fixtures:
     return Fixtures(TableSource(spark, sf_dir))
 
 
+def _po(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landed single-version fact_po_raw the change log is built from."""
+    return Landing.materialized(spark, sf_dir).raw("fact_po_raw")
+
+
 # --- Spark side --------------------------------------------------------------
 
 def cdc_latest(spark, sf_dir):
-    return _portable(latest_version(po_change_log(_fx(spark, sf_dir)), PO.sort_key))
+    return _portable(latest_version(po_change_log(_po(spark, sf_dir)), PO.sort_key))
 
 
 def cdc_latest_live(spark, sf_dir):
-    return _portable(latest_live(po_change_log(_fx(spark, sf_dir)), PO.sort_key))
+    return _portable(latest_live(po_change_log(_po(spark, sf_dir)), PO.sort_key))
 
 
 def cdc_key_drift(spark, sf_dir):
-    return _portable(latest_live(po_change_log(_fx(spark, sf_dir), drift=True), PO.key("sort_key")))
+    return _portable(latest_live(po_change_log(_po(spark, sf_dir), drift=True), PO.key("sort_key")))
 
 
 def cdc_key_drift_primary_key(spark, sf_dir):
-    return _portable(latest_live(po_change_log(_fx(spark, sf_dir), drift=True), PO.key("primary_key")))
+    return _portable(latest_live(po_change_log(_po(spark, sf_dir), drift=True), PO.key("primary_key")))
 
 
 def cdc_snapshot_plus_tail(spark, sf_dir):
-    fx = _fx(spark, sf_dir)
-    snap = fx.fact_po().drop(VERSION, SYNCED_AT).withColumn(
+    po = _po(spark, sf_dir)
+    snap = po.drop(VERSION, SYNCED_AT).withColumn(
         SYNCED_AT, F.lit(_dt.datetime(2024, 1, 31)).cast("timestamp"))
-    log = po_change_log(fx)
+    log = po_change_log(po)
     # the tail overlaps the snapshot with the replayed version-1 copies
     tail = log.filter((F.col(VERSION) >= 2) | (F.col(SYNCED_AT) >= F.lit(_dt.datetime(2024, 2, 2))))
     return _portable(snapshot_plus_tail(snap, tail, PO.sort_key).select(*PO_COLS))
 
 
 def cdc_replay_idempotent(spark, sf_dir):
-    log = po_change_log(_fx(spark, sf_dir))
+    log = po_change_log(_po(spark, sf_dir))
     return _portable(latest_live(log.unionByName(log), PO.sort_key))
 
 
 def cdc_compact_then_tail(spark, sf_dir):
     """C8 + C9: compact the first two arrival batches (tombstones kept), then
     apply the later batches on top; equals the live reading of the whole log."""
-    log = po_change_log(_fx(spark, sf_dir), with_batch=True)
+    log = po_change_log(_po(spark, sf_dir), with_batch=True)
     compacted = latest_version(log.filter(F.col("_batch") < 2).drop("_batch"), PO.sort_key)
     tail = log.filter(F.col("_batch") >= 2).drop("_batch")
     return _portable(latest_live(compacted.unionByName(tail), PO.sort_key))
@@ -81,7 +86,7 @@ def cdc_compact_then_tail(spark, sf_dir):
 
 def cdc_incremental_merge(spark, sf_dir):
     """Compacted first half of the log + tail applied incrementally."""
-    log = po_change_log(_fx(spark, sf_dir), with_batch=True)
+    log = po_change_log(_po(spark, sf_dir), with_batch=True)
     base = latest_version(log.filter(F.col("_batch") < 2).drop("_batch"), PO.sort_key)
     tail = log.filter(F.col("_batch") >= 2).drop("_batch")
     return _portable(latest_live_incremental(base, tail, PO.sort_key))
@@ -89,15 +94,15 @@ def cdc_incremental_merge(spark, sf_dir):
 
 def seed_bounded_copy(spark, sf_dir):
     """The first 2,000 POs by id (a stable seed sample)."""
-    return _portable(bounded_copy(_fx(spark, sf_dir).fact_po(), SEED_ROWS, ["id"]))
+    return _portable(bounded_copy(_po(spark, sf_dir), SEED_ROWS, ["id"]))
 
 
 def seed_insert_if_absent(spark, sf_dir):
     """existing = POs of even order keys; insert version-2 rows of every
     third key only where the key is absent, then the table content."""
-    fx = _fx(spark, sf_dir)
-    existing = fx.fact_po().filter((F.col("id") - 1) % 2 == 0)
-    new = po_change_log(fx).filter(F.col(VERSION) == 2)
+    po = _po(spark, sf_dir)
+    existing = po.filter((F.col("id") - 1) % 2 == 0)
+    new = po_change_log(po).filter(F.col(VERSION) == 2)
     added = insert_if_absent(new, existing, ["id"], first_by=[F.col(SYNCED_AT)])
     return _portable(existing.unionByName(added))
 
@@ -124,22 +129,22 @@ def _view(name: str):
     fn = V.VIEWS[name]
 
     def run(spark, sf_dir):
-        fx = _fx(spark, sf_dir)
+        M = Landing.materialized(spark, sf_dir)
         if name == "fact_po":
-            L = Landing(lambda t: po_change_log(fx) if t == "fact_po_raw" else fx.table(t))
+            L = Landing(lambda t: po_change_log(M.raw("fact_po_raw")) if t == "fact_po_raw" else M.raw(t))
         else:
-            L = Landing(fx.table)
+            L = M
         return _portable(fn(L))
     return run
 
 
 def report_row_counts(spark, sf_dir):
     """Raw and live row counts of the sixteen landing tables."""
-    fx = _fx(spark, sf_dir)
+    L = Landing.materialized(spark, sf_dir)
     parts = []
     for name, t in LANDING.items():
         # one pass per table: rank versions per key, count rows, keys, live keys
-        ranked = version_rank(fx.table(name), t.sort_key)
+        ranked = version_rank(L.raw(name), t.sort_key)
         first = F.col("_cdc_rank") == 1
         parts.append(ranked.agg(
             F.count(F.lit(1)).alias("raw_rows"), F.count_if(first).alias("keys"),
@@ -155,7 +160,7 @@ def report_row_counts(spark, sf_dir):
 def report_cdc_lag(spark, sf_dir):
     """Log position vs applied position and freshness, for the PO change log
     when arrival batches 0..2 are applied."""
-    log = po_change_log(_fx(spark, sf_dir), with_batch=True)
+    log = po_change_log(_po(spark, sf_dir), with_batch=True)
     applied = F.col("_batch") < APPLIED_BATCHES
     g = log.agg(
         F.max(VERSION).alias("log_version"),

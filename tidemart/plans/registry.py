@@ -45,7 +45,7 @@ def _mart(name: str, plan: str | None = None, strict: bool = False) -> Query:
     as_of = AS_OF_EVENTS if name == "agg_daily_engagement" else AS_OF
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        L = Landing.from_fixtures(spark, sf_dir)
+        L = Landing.materialized(spark, sf_dir)
         df = fn(L, as_of, plan=plan) if plan else fn(L, as_of)
         return portable(df)
 

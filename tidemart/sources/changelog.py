@@ -39,8 +39,11 @@ def _stamp(df: DataFrame, version: int, deleted: int, delay_days: int = 0) -> Da
               .withColumn("_batch", batch.cast("int")))
 
 
-def po_change_log(fx: Fixtures, drift: bool = False, with_batch: bool = False) -> DataFrame:
-    base = fx.fact_po().drop(SYNCED_AT, IS_DELETED, VERSION)
+def po_change_log(fx: Fixtures | DataFrame, drift: bool = False, with_batch: bool = False) -> DataFrame:
+    """The change log; ``fx`` is the fixture set or an already landed
+    (single-version) ``fact_po_raw`` table to build it from."""
+    po = fx if isinstance(fx, DataFrame) else fx.fact_po()
+    base = po.drop(SYNCED_AT, IS_DELETED, VERSION)
     k = F.col("id") - 1
     v1 = _stamp(base, 1, 0)
     v2 = _stamp(base.filter(k % 3 == 0)
