@@ -108,16 +108,21 @@ class Landing:
         table has one: directory pruning plus a pushed Parquet filter. For other
         tables it is left to the caller's filter after the dedup.
         """
+        key = LANDING[name].key(key_mode)
+        return latest_live(self._since(name, key, since), key)
+
+    def latest(self, name: str, key_mode: str = "sort_key", since: _dt.date | None = None) -> DataFrame:
+        """``<table> FINAL``: newest version per key, tombstones kept.
+        ``since`` as in ``live``."""
+        key = LANDING[name].key(key_mode)
+        return latest_version(self._since(name, key, since), key)
+
+    def _since(self, name: str, key, since: _dt.date | None) -> DataFrame:
         t = LANDING[name]
-        key = t.key(key_mode)
         raw = self.raw(name)
-        if since is not None and t.month_of in key:
-            start = _dt.datetime(since.year, since.month, since.day)
-            if "month" in raw.columns:
-                raw = raw.filter(F.col("month") >= F.lit(since.year * 100 + since.month))
-            raw = raw.filter(F.col(t.month_of) >= F.lit(start).cast("timestamp"))
-        return latest_live(raw, key)
-
-    def latest(self, name: str, key_mode: str = "sort_key") -> DataFrame:
-        """``<table> FINAL``: newest version per key, tombstones kept."""
-        return latest_version(self.raw(name), LANDING[name].key(key_mode))
+        if since is None or t.month_of not in key:
+            return raw
+        start = _dt.datetime(since.year, since.month, since.day)
+        if "month" in raw.columns:
+            raw = raw.filter(F.col("month") >= F.lit(since.year * 100 + since.month))
+        return raw.filter(F.col(t.month_of) >= F.lit(start).cast("timestamp"))

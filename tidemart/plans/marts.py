@@ -93,10 +93,13 @@ M1_COLS = ["metric_date", "org_id", "po_count", "po_approved_count", "po_pending
 
 def daily_buyer(L: Landing, as_of: _dt.date, plan: str = "factorised") -> DataFrame:
     p = _po_scope(L, as_of)
-    r = L.latest("fact_rfq_raw")
+    start = window_start(as_of)
+    # RFQs and ratings join on their own key date = the PO day (>= start): the
+    # range goes below their dedup; invoices and deliveries join on po_id only
+    r = L.latest("fact_rfq_raw", since=start)
     i = L.latest("fact_invoice_raw")
     d = L.latest("fact_delivery_raw")
-    rt = L.latest("fact_rating_raw")
+    rt = L.latest("fact_rating_raw", since=start)
     if plan == "joins":
         j = prefixed(p.select("id", "buyer_org_id", "po_date", "status", "total_amount"), "p_")
         j = left_join_default(j, prefixed(r.select("id", "buyer_org_id", "rfq_date", "status", "quote_count"), "r_"),
@@ -200,11 +203,13 @@ M2_COLS = ["metric_date", "org_id", "rfq_received", "quotes_submitted", "quotes_
 
 
 def daily_seller(L: Landing, as_of: _dt.date, plan: str = "factorised") -> DataFrame:
-    q = L.live("fact_rfq_quote_raw", since=window_start(as_of)).filter(in_window("quoted_at", as_of))
+    start = window_start(as_of)
+    q = L.live("fact_rfq_quote_raw", since=start).filter(in_window("quoted_at", as_of))
     r = L.latest("fact_rfq_raw")
-    p = L.latest("fact_po_raw")
+    # POs and ratings join on their key date = the quote day (>= start)
+    p = L.latest("fact_po_raw", since=start)
     d = L.latest("fact_delivery_raw")
-    rt = L.latest("fact_rating_raw")
+    rt = L.latest("fact_rating_raw", since=start)
     won = F.col("q_status").isin(QUOTE_WON)
     if plan == "joins":
         j = prefixed(q.select("rfq_id", "supplier_org_id", "status", "quoted_at"), "q_")
@@ -307,7 +312,7 @@ def daily_supplier_spend(L: Landing, as_of: _dt.date, plan: str = "factorised")
     p = _po_scope(L, as_of)
     d = L.latest("fact_delivery_raw")
     i = L.latest("fact_invoice_raw")
-    rt = L.latest("fact_rating_raw")
+    rt = L.latest("fact_rating_raw", since=window_start(as_of))
     if plan == "joins":
         j = prefixed(p.select("id", "buyer_org_id", "supplier_org_id", "po_date", "total_amount"), "p_")
         j = left_join_default(j, prefixed(d.select("po_id", "delay_days"), "d_"), F.col("d_po_id") == F.col("p_id"))
