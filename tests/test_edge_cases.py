@@ -223,3 +223,18 @@ def test_public_api_semantics(spark):
     assert one(mart(L, "agg_daily_buyer", AS_OF))["rfq_count"] == 1
     assert one(mart(L, "agg_daily_buyer", AS_OF, plan="joins"))["rfq_count"] == 1
     assert one(mart(L, "agg_daily_buyer", AS_OF, semantics="strict"))["rfq_count"] == 0
+
+
+def test_pretty_size(spark):
+    from tidemart.functions.exprs import pretty_size
+    df = spark.createDataFrame([(100,), (20480,), (15 * 1024 * 1024,)], "b long")
+    assert [r[0] for r in df.select(pretty_size("b")).collect()] == ["100 bytes", "20 kB", "15 MB"]
+
+
+def test_views_registered_for_sql(spark, landing_small):
+    from tidemart.plans.views import register_views
+    register_views(spark, landing_small)
+    n = spark.sql("SELECT count(*) AS n FROM fact_po WHERE metric_date >= TIMESTAMP '2001-05-03'").first()["n"]
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    expected = orders.filter("o_orderdate >= TIMESTAMP '2001-05-03' AND o_orderkey % 97 <> 0").count()
+    assert n == expected    # orders in the window, minus the soft-deleted ones

@@ -65,3 +65,19 @@ def test_marts_over_streamed_landing_equal_batch(spark, landing_small):
     streamed = Landing(lambda t: read_landed(spark, root, t))
     as_of = dt.date(2001, 8, 1)
     assert _rows(M.daily_revenue_territory(streamed, as_of)) == _rows(M.daily_revenue_territory(landing_small, as_of))
+
+
+def test_processing_time_trigger_keeps_landing(spark, landing_small):
+    base = tempfile.mkdtemp(prefix="stream-", dir="/tmp")
+    feed, root = f"{base}/feed", f"{base}/landing"
+    po = landing_small.raw("fact_po_raw")
+    to_envelope(po.filter("id % 2 = 0"), "fact_po_raw").write.mode("append").parquet(feed)
+    q = land_changes(change_feed(spark, feed), root, None, ["fact_po_raw"],
+                     processing_time="1 second", name=f"pt-{base.rsplit('-', 1)[-1]}")
+    try:
+        q.processAllAvailable()
+        to_envelope(po.filter("id % 2 = 1"), "fact_po_raw").write.mode("append").parquet(feed)
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert read_landed(spark, root, "fact_po_raw").count() == po.count()

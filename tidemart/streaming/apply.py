@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemart.operators.cdc import fill_defaults
+from tidemart.session import scratch_path
 from tidemart.sources.schemas import IS_DELETED, LANDING, SYNCED_AT, VERSION
 
 ENVELOPE = T.StructType([
@@ -77,13 +78,17 @@ def batch_writer(root: str, tables: Iterable[str]):
     return write
 
 
-def land_changes(feed: DataFrame, root: str, checkpoint: str, tables: Iterable[str],
-                 processing_time: str | None = None) -> StreamingQuery:
+def land_changes(feed: DataFrame, root: str, checkpoint: str | None, tables: Iterable[str],
+                 processing_time: str | None = None, name: str = "landing") -> StreamingQuery:
     """S4 + C11 + C12: start the landing query.
 
     ``processing_time=None`` drains what is there (``availableNow``) and stops;
     a duration such as ``"10 seconds"`` keeps running (the idle flush).
+    ``checkpoint=None`` puts the offsets under the shared checkpoint folder
+    (``<spark.checkpoint.dir>/streams/<name>``), never on a machine-local disk.
     """
+    if checkpoint is None:
+        checkpoint = scratch_path(feed.sparkSession, "streams", name)
     w = (feed.writeStream.foreachBatch(batch_writer(root, tables))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(processingTime=processing_time) if processing_time else w.trigger(availableNow=True)
