@@ -8,6 +8,7 @@ import threading
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -126,3 +127,35 @@ class Landing:
         if "month" in raw.columns:
             raw = raw.filter(F.col("month") >= F.lit(since.year * 100 + since.month))
         return raw.filter(F.col(t.month_of) >= F.lit(start).cast("timestamp"))
+
+
+class SharedReadings(Landing):
+    """A Landing whose deduplicated readings are computed once and shared by
+    every mart of one refresh pass (``persist``; lost blocks are recomputed
+    from lineage). ``release()`` frees them at the end of the pass."""
+
+    def __init__(self, inner: Landing):
+        super().__init__(inner.raw)
+        self._inner = inner
+        self._memo: dict[tuple, DataFrame] = {}
+        self._lock = threading.Lock()
+
+    def _get(self, kind: str, name: str, key_mode: str, since) -> DataFrame:
+        k = (kind, name, key_mode, since)
+        with self._lock:
+            if k not in self._memo:
+                fn = self._inner.live if kind == "live" else self._inner.latest
+                self._memo[k] = fn(name, key_mode=key_mode, since=since).persist(StorageLevel.MEMORY_AND_DISK)
+            return self._memo[k]
+
+    def live(self, name: str, key_mode: str = "sort_key", since: _dt.date | None = None) -> DataFrame:
+        return self._get("live", name, key_mode, since)
+
+    def latest(self, name: str, key_mode: str = "sort_key", since: _dt.date | None = None) -> DataFrame:
+        return self._get("latest", name, key_mode, since)
+
+    def release(self) -> None:
+        with self._lock:
+            for df in self._memo.values():
+                df.unpersist()
+            self._memo.clear()

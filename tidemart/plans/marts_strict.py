@@ -206,7 +206,7 @@ class _PkLanding(Landing):
     def live(self, name: str, key_mode: str = PK, since=None) -> DataFrame:
         return super().live(name, PK)
 
-    def latest(self, name: str, key_mode: str = PK) -> DataFrame:
+    def latest(self, name: str, key_mode: str = PK, since=None) -> DataFrame:
         return super().live(name, PK)
 
 
