@@ -19,6 +19,26 @@ DEFAULT_CONF = {
 }
 
 
+def scale_conf(input_bytes: int, target_partition_bytes: int = 256 * 2 ** 20) -> dict[str, str]:
+    """Settings for a cluster run over ``input_bytes`` of input.
+
+    Shuffle partitions start at input / target size (AQE coalesces the small
+    ones at run time and splits skewed join partitions), scan splits use the
+    same target, so a task's working set stays well below executor memory and
+    large aggregations spill instead of failing. For 100 TB: ~400 k initial
+    shuffle partitions of 256 MiB.
+    """
+    parts = max(200, -(-input_bytes // target_partition_bytes))
+    t = str(target_partition_bytes)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": t,
+        "spark.sql.files.maxPartitionBytes": t,
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
+
+
 def build_session(master: str | None = None, app: str = "tidemart",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
