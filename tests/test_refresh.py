@@ -99,3 +99,23 @@ def test_run_isolates_failures_and_reports_status(spark, landing_small):
     assert "agg_daily_category_spend" in names and "agg_daily_buyer" not in names
     assert all(r["last_refresh"] is not None for r in st)
     assert R.read_mart(spark, root, "agg_daily_category_spend").filter(F.col("po_count") > 0).count() == 177
+
+
+def test_cli_run_and_status(spark, landing_small, capsys):
+    from tidemart.cli import main
+    from tidemart.plans.landing import write_landing
+    base = _root()
+    for t in ["fact_inventory_movement_raw", "fact_po_raw", "fact_rfq_raw", "fact_invoice_raw"]:
+        write_landing(landing_small.raw(t), t, f"{base}/landing/{t}", by_month=True)
+    rc = main(["run", "--landing", f"{base}/landing", "--marts", f"{base}/marts",
+               "--group", "snapshot", "--as-of", "2001-08-01"], spark=spark)
+    assert rc == 0
+    assert R.read_mart(spark, f"{base}/marts", "snapshot_inventory_sku_daily").count() == 1449
+    assert main(["status", "--marts", f"{base}/marts"], spark=spark) == 0
+    assert "snapshot_org_daily" in capsys.readouterr().out
+
+
+def test_freshness_report(spark, landing_small):
+    from tidemart.plans.reports import freshness
+    rows = freshness(landing_small, dt.datetime(2024, 2, 2), ["fact_po_raw", "dim_user_raw"]).collect()
+    assert {r["table_name"]: r["age_secs"] for r in rows} == {"fact_po_raw": 86400, "dim_user_raw": 86400}

@@ -7,13 +7,13 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.functions.exprs import readable_quantity
 from tidemart.operators.cdc import (
     drop_columns, latest_live, latest_live_incremental, latest_version, map_to_landing,
     snapshot_plus_tail, version_rank,
 )
 from tidemart.plans import views as V
 from tidemart.plans.landing import Landing
+from tidemart.plans.reports import cdc_lag, row_counts
 from tidemart.plans.oracle_fixtures import FIXTURE_SQL, latest_sql, with_fixtures
 from tidemart.sources.copy import bounded_copy, insert_if_absent
 from tidemart.sources.changelog import LOG_START, po_change_log, po_mapping, po_source
@@ -140,42 +140,14 @@ def _view(name: str):
 
 def report_row_counts(spark, sf_dir):
     """Raw and live row counts of the sixteen landing tables."""
-    L = Landing.materialized(spark, sf_dir)
-    parts = []
-    for name, t in LANDING.items():
-        # one pass per table: rank versions per key, count rows, keys, live keys
-        ranked = version_rank(L.raw(name), t.sort_key)
-        first = F.col("_cdc_rank") == 1
-        parts.append(ranked.agg(
-            F.count(F.lit(1)).alias("raw_rows"), F.count_if(first).alias("keys"),
-            F.count_if(first & (F.col("_cdc_is_deleted") == 0)).alias("live_rows"),
-        ).withColumn("table_name", F.lit(name)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("table_name", "raw_rows", "keys", "live_rows",
-                      readable_quantity(F.col("raw_rows")).alias("raw_rows_readable"))
+    return row_counts(Landing.materialized(spark, sf_dir))
 
 
 def report_cdc_lag(spark, sf_dir):
     """Log position vs applied position and freshness, for the PO change log
     when arrival batches 0..2 are applied."""
     log = po_change_log(_po(spark, sf_dir), with_batch=True)
-    applied = F.col("_batch") < APPLIED_BATCHES
-    g = log.agg(
-        F.max(VERSION).alias("log_version"),
-        F.max(F.when(applied, F.col(VERSION))).alias("applied_version"),
-        F.count_if(~applied).alias("pending_rows"),
-        F.count_distinct(F.when(~applied, F.col("id"))).alias("pending_keys"),
-        F.max(F.when(applied, F.col(SYNCED_AT))).alias("applied_synced_at"),
-        F.max(SYNCED_AT).alias("log_synced_at"))
-    return _portable(g.select(
-        F.lit("fact_po_raw").alias("table_name"), "log_version", "applied_version",
-        (F.col("log_version") - F.col("applied_version")).alias("version_lag"),
-        "pending_rows", "pending_keys",
-        (F.unix_seconds(F.lit(LAG_AS_OF).cast("timestamp")) - F.unix_seconds("applied_synced_at"))
-        .alias("freshness_secs"),
-        (F.unix_seconds("log_synced_at") - F.unix_seconds("applied_synced_at")).alias("lag_secs")))
+    return _portable(cdc_lag(log, F.col("_batch") < APPLIED_BATCHES, LAG_AS_OF, "fact_po_raw"))
 
 
 def queries() -> dict:
