@@ -118,6 +118,20 @@ class Landing:
         key = LANDING[name].key(key_mode)
         return latest_version(self._since(name, key, since), key)
 
+    def latest_for_keys(self, name: str, keys: DataFrame, key_mode: str = "sort_key",
+                        live: bool = False) -> DataFrame:
+        """Newest version of the rows whose key columns appear in ``keys``
+        (columns named like the table's). The semi join runs before the dedup —
+        safe because it only removes whole keys, which it may do only on key
+        columns — so a large table is deduplicated only where it will be
+        joined. ``keys`` is an aggregate; AQE broadcasts it from its measured
+        size when small, else both sides shuffle once on the key."""
+        key = LANDING[name].key(key_mode)
+        if not set(keys.columns) <= set(key):
+            raise ValueError(f"{name}: semi-join columns {keys.columns} are not all in the key {key}")
+        raw = self.raw(name).join(keys.distinct(), list(keys.columns), "left_semi")
+        return latest_live(raw, key) if live else latest_version(raw, key)
+
     def _since(self, name: str, key, since: _dt.date | None) -> DataFrame:
         t = LANDING[name]
         raw = self.raw(name)
@@ -154,6 +168,9 @@ class SharedReadings(Landing):
     def latest(self, name: str, key_mode: str = "sort_key", since: _dt.date | None = None) -> DataFrame:
         return self._get("latest", name, key_mode, since)
 
+    def latest_for_keys(self, name, keys, key_mode="sort_key", live=False):
+        return self._inner.latest_for_keys(name, keys, key_mode, live)
+
     def release(self) -> None:
         with self._lock:
             for df in self._memo.values():
