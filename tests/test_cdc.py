@@ -97,3 +97,23 @@ def test_result_guard_and_truncate_load(spark):
     truncate_and_load(df, path)
     truncate_and_load(spark.range(3), path)
     assert spark.read.parquet(path).count() == 3
+
+
+def test_semi_join_reduction_only_on_key_columns(spark):
+    from conftest import make_landing
+    L = make_landing(spark, {"fact_delivery_raw": [
+        {"id": 1, "po_id": 7, "buyer_org_id": 1, "scheduled_date": "2001-07-01", "_cdc_version": 1},
+        {"id": 1, "po_id": 8, "buyer_org_id": 1, "scheduled_date": "2001-07-01", "_cdc_version": 2}]})
+    keys = spark.createDataFrame([(7,)], "po_id long")
+    # po_id is not in the delivery key: filtering before the dedup would revive version 1
+    with pytest.raises(ValueError):
+        L.latest_for_keys("fact_delivery_raw", keys)
+    wrong = latest_version(L.raw("fact_delivery_raw").join(keys, "po_id", "left_semi"),
+                           PO_DELIVERY_KEY)
+    right = latest_version(L.raw("fact_delivery_raw"), PO_DELIVERY_KEY).join(keys, "po_id", "left_semi")
+    assert wrong.count() == 1 and right.count() == 0
+    ids = spark.createDataFrame([(1,)], "id long")
+    assert L.latest_for_keys("fact_delivery_raw", ids).first()["po_id"] == 8
+
+
+PO_DELIVERY_KEY = LANDING["fact_delivery_raw"].sort_key
