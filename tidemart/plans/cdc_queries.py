@@ -169,6 +169,7 @@ def queries() -> dict:
     }
     for name in V.VIEWS:
         q[f"view_{name}"] = _view(name)
+    q.update(log_mart_queries())
     return q
 
 
@@ -329,4 +330,52 @@ def oracle_sql() -> dict:
     }
     for name in V.VIEWS:
         out[f"view_{name}"] = V.view_sql(name)
+    out.update(log_mart_sql())
+    return out
+
+
+# --- marts over the versioned PO change log (dedup inside the marts) -----------
+
+LOG_MARTS = ["agg_daily_buyer", "agg_daily_revenue_territory", "snapshot_org_daily"]
+
+
+def with_po_log(sql: str) -> str:
+    """Oracle SQL of a mart with ``fact_po_raw`` replaced by the change log
+    (versions 1-3, replays, key drift) derived from the same base rows."""
+    old = f"fact_po_raw AS (\n{FIXTURE_SQL['fact_po_raw']}\n)"
+    if old not in sql:
+        raise ValueError("mart SQL does not define fact_po_raw")
+    new = (f"fact_po_base AS (\n{FIXTURE_SQL['fact_po_raw']}\n),\n"
+           "base AS (SELECT * EXCLUDE (_cdc_synced_at, _cdc_is_deleted, _cdc_version) FROM fact_po_base),\n"
+           f"log AS (\n{_log_sql(drift=True)}\n),\n"
+           "fact_po_raw AS (SELECT * EXCLUDE (_batch) FROM log)")
+    return sql.replace(old, new, 1)
+
+
+def _log_landing(spark, sf_dir) -> Landing:
+    M = Landing.materialized(spark, sf_dir)
+    return Landing(lambda t: po_change_log(M.raw("fact_po_raw"), drift=True) if t == "fact_po_raw" else M.raw(t))
+
+
+def log_mart_queries() -> dict:
+    from tidemart.plans import marts as MM
+    from tidemart.plans import marts_strict as SS
+    from tidemart.plans.registry import AS_OF
+    out = {}
+    for name in LOG_MARTS:
+        for strict in (False, True):
+            fn = SS.STRICT_MARTS[name] if strict else MM.MARTS[name]
+
+            def run(spark, sf_dir, _fn=fn):
+                return _portable(_fn(_log_landing(spark, sf_dir), AS_OF))
+            out[f"{name}_changelog" + ("_strict" if strict else "")] = run
+    return out
+
+
+def log_mart_sql() -> dict:
+    from tidemart.plans.oracle_sql import MART_SQL, STRICT_SQL
+    out = {}
+    for name in LOG_MARTS:
+        out[f"{name}_changelog"] = with_po_log(MART_SQL[name])
+        out[f"{name}_changelog_strict"] = with_po_log(STRICT_SQL[name])
     return out
