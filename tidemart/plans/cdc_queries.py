@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.operators.cdc import (
-    drop_columns, latest_live, latest_live_incremental, latest_version, map_to_landing,
+    drop_columns, latest_by_max, latest_live, latest_live_incremental, latest_version, map_to_landing,
     snapshot_plus_tail, version_rank,
 )
 from tidemart.plans import views as V
@@ -48,6 +48,23 @@ def cdc_latest(spark, sf_dir):
     return _portable(latest_version(po_change_log(_po(spark, sf_dir)), PO.sort_key))
 
 
+def cdc_latest_by_max(spark, sf_dir):
+    """C1 as an aggregate (max_by over the version order) instead of a window."""
+    log = po_change_log(_po(spark, sf_dir))
+    return _portable(latest_by_max(log, PO.sort_key, PO_COLS).select(*PO_COLS))
+
+
+def dashboard_po_by_status(spark, sf_dir):
+    """Entry point C: SQL over the registered clean views (V6 over the change log)."""
+    M = Landing.materialized(spark, sf_dir)
+    L = Landing(lambda t: po_change_log(M.raw("fact_po_raw")) if t == "fact_po_raw" else M.raw(t))
+    V.register_views(spark, L)
+    return _portable(spark.sql("""
+        SELECT status, count(*) AS po_count, CAST(sum(total_amount) AS DECIMAL(18,4)) AS total_amount,
+               count(DISTINCT buyer_org_id) AS buyers, min(metric_date) AS first_po, max(metric_date) AS last_po
+        FROM fact_po GROUP BY status"""))
+
+
 def cdc_latest_live(spark, sf_dir):
     return _portable(latest_live(po_change_log(_po(spark, sf_dir)), PO.sort_key))
 
@@ -154,6 +171,8 @@ def queries() -> dict:
     q = {
         "cdc_latest": cdc_latest,
         "cdc_latest_live": cdc_latest_live,
+        "cdc_latest_by_max": cdc_latest_by_max,
+        "dashboard_po_by_status": dashboard_po_by_status,
         "cdc_key_drift": cdc_key_drift,
         "cdc_key_drift_primary_key": cdc_key_drift_primary_key,
         "cdc_snapshot_plus_tail": cdc_snapshot_plus_tail,
@@ -307,6 +326,11 @@ def oracle_sql() -> dict:
     out = {
         "cdc_latest": _on_log("res", extra=[("res", _dedup("log", SORT_KEY, False))]),
         "cdc_latest_live": _on_log("res", extra=[("res", _dedup("log", SORT_KEY, True))]),
+        "cdc_latest_by_max": _on_log("res", extra=[("res", _dedup("log", SORT_KEY, False))]),
+        "dashboard_po_by_status": with_fixtures(["fact_po_raw"], """SELECT status, count(*) AS po_count,
+  CAST(CAST(sum(total_amount) AS DECIMAL(18,4)) AS DOUBLE) AS total_amount, count(DISTINCT buyer_org_id) AS buyers,
+  strftime(min(po_date), '%Y-%m-%d %H:%M:%S') AS first_po, strftime(max(po_date), '%Y-%m-%d %H:%M:%S') AS last_po
+FROM res WHERE is_deleted = 0 GROUP BY status""", _log_ctes() + [("res", _dedup("log", SORT_KEY, True))]),
         "cdc_key_drift": _on_log("res", drift=True, extra=[("res", _dedup("log", SORT_KEY, True))]),
         "cdc_key_drift_primary_key": _on_log("res", drift=True, extra=[("res", _dedup("log", "id", True))]),
         "cdc_snapshot_plus_tail": _on_log("res", extra=snap_tail),
