@@ -48,14 +48,14 @@ def rows(pdf: pd.DataFrame) -> list[tuple]:
     return sorted(out, key=lambda r: tuple((x is None, str(type(x)), x if x is not None else 0) for x in r))
 
 
-def compare(spark_df, con, sql: str) -> tuple[bool, str]:
+def compare(spark_df, con, sql: str, check_dtypes: bool = True) -> tuple[bool, str]:
     s = spark_df.toPandas()
     d = con.sql(sql).df()
     if sorted(s.columns) != sorted(d.columns):
         return False, f"columns differ: {sorted(s.columns)} vs {sorted(d.columns)}"
     kinds = {c: (s[c].dtype.kind, d[c].dtype.kind) for c in s.columns}
     bad = {c: k for c, k in kinds.items() if k[0] != k[1]}
-    if bad:
+    if bad and check_dtypes:
         return False, f"column dtype kinds differ (spark, oracle): {bad}"
     if len(s) != len(d):
         return False, f"row counts differ: spark {len(s)} vs oracle {len(d)}"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import datetime as _dt
 import hashlib
 import threading
@@ -78,14 +79,18 @@ class Landing:
                     write_landing(fx.table(name), name, path)
                     _WRITTEN.add(path)
             return spark.read.parquet(path)
-        return cls(read)
+        land = cls(read)
+        land._fixtures = fx
+        return land
 
     def prepare(self, tables: list[str] | None = None, parallel: int = 4) -> None:
         """Resolve several landing tables at once: independent Spark jobs from a
         thread pool (``snapshot_num_tables_in_parallel``), so small tables do
         not leave cores idle."""
         names = list(tables or LANDING)
-        with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        fx = getattr(self, "_fixtures", None)
+        shared = fx.shared_aggregates() if fx is not None else contextlib.nullcontext()
+        with shared, ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
             list(pool.map(self.raw, names))
 
     @classmethod

@@ -7,8 +7,11 @@ with them; nothing is generated on the driver.
 
 from __future__ import annotations
 
+import contextlib
 import datetime as _dt
 
+from pyspark import StorageLevel
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -66,6 +69,28 @@ class Fixtures:
 
     def __init__(self, src: TableSource):
         self.src = src
+        self._shared: DataFrame | None = None
+
+    def _order_supplier(self) -> DataFrame:
+        """Line items per (order, supplier): amount and last ship date. Feeds
+        POs (smallest supplier), quotes, deliveries, ratings and contracts."""
+        if self._shared is not None:
+            return self._shared
+        return (self._lineitem("l_orderkey", "l_suppkey", "l_extendedprice", "l_shipdate")
+                .groupBy("l_orderkey", "l_suppkey")
+                .agg(F.sum(D("l_extendedprice")).alias("amt"), F.max("l_shipdate").alias("shipped")))
+
+    @contextlib.contextmanager
+    def shared_aggregates(self):
+        """While deriving several tables at once, compute the (order, supplier)
+        aggregate once (persisted; lost blocks are recomputed from lineage)."""
+        agg = self._order_supplier().persist(StorageLevel.MEMORY_AND_DISK)
+        self._shared = agg
+        try:
+            yield self
+        finally:
+            self._shared = None
+            agg.unpersist()
 
     # -- helpers ---------------------------------------------------------------
     def _orders(self, *cols: str) -> DataFrame:
@@ -76,8 +101,7 @@ class Fixtures:
 
     def _min_supplier(self) -> DataFrame:
         """Per order: the smallest supplier key on its lines (partial agg)."""
-        return (self._lineitem("l_orderkey", "l_suppkey")
-                .groupBy("l_orderkey").agg(F.min("l_suppkey").alias("min_supp")))
+        return self._order_supplier().groupBy("l_orderkey").agg(F.min("l_suppkey").alias("min_supp"))
 
     def _po_supplier(self) -> DataFrame:
         """Per order: ``(o_orderkey, supplier_org_id)``; 0 for orders without lines."""
@@ -168,8 +192,7 @@ class Fixtures:
 
     def fact_rfq_quote(self) -> DataFrame:
         o = self._lines_of_orders(even_only=True)
-        li = (self._lineitem("l_orderkey", "l_suppkey", "l_extendedprice")
-              .groupBy("l_orderkey", "l_suppkey").agg(F.sum(D("l_extendedprice")).alias("amt")))
+        li = self._order_supplier().select("l_orderkey", "l_suppkey", "amt")
         j = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
         quoted = F.col("o_orderdate") + F.make_dt_interval(F.lit(0), (F.col("l_suppkey") % 72).cast("int"))
         df = j.select(
@@ -186,8 +209,7 @@ class Fixtures:
 
     def fact_delivery(self) -> DataFrame:
         o = self._lines_of_orders()
-        li = (self._lineitem("l_orderkey", "l_suppkey", "l_shipdate")
-              .groupBy("l_orderkey", "l_suppkey").agg(F.max("l_shipdate").alias("shipped")))
+        li = self._order_supplier().select("l_orderkey", "l_suppkey", "shipped")
         j = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
         sched = F.date_add(F.to_date("o_orderdate"), 30)
         actual = F.to_date("shipped")
