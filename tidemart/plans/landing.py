@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.operators.cdc import latest_live, latest_version
-from tidemart.session import scratch_path
+from tidemart.session import app_id, scratch_path
 from tidemart.sources.fixtures import Fixtures
 from tidemart.sources.schemas import LANDING
 from tidemart.sources.tables import TableSource
@@ -27,7 +27,7 @@ _WRITTEN: set[str] = set()
 
 def _store_root(spark: SparkSession, sf_dir: str) -> str:
     tag = hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:12]
-    return scratch_path(spark, "landing", spark.sparkContext.applicationId, tag)
+    return scratch_path(spark, "landing", app_id(spark), tag)
 
 
 def write_landing(df: DataFrame, name: str, path: str, by_month: bool = False) -> None:

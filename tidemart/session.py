@@ -57,6 +57,22 @@ def build_session(master: str | None = None, app: str = "tidemart",
     return spark
 
 
+_LOCAL_DIRS: dict[str, str] = {}
+
+
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None on Spark Connect."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions have no SparkContext
+        return None
+
+
+def app_id(spark: SparkSession) -> str:
+    sc = _context(spark)
+    return sc.applicationId if sc is not None else spark.conf.get("spark.app.id", "app")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
@@ -65,15 +81,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     created and registered.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
+    sc = _context(spark)
+    if not path and sc is not None and sc.getCheckpointDir():
+        # SparkContext appends a random child folder; use its parent.
+        path = sc.getCheckpointDir().rsplit("/", 1)[0]
     if not path:
-        path = spark.sparkContext.getCheckpointDir()
-        if path:
-            # SparkContext appends a random child folder; use its parent.
-            path = path.rsplit("/", 1)[0]
-    if not path:
-        path = tempfile.mkdtemp(prefix="tidemart-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(path)
+        key = app_id(spark)
+        if key not in _LOCAL_DIRS:
+            _LOCAL_DIRS[key] = tempfile.mkdtemp(prefix="tidemart-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        path = _LOCAL_DIRS[key]
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(path)
     return path.rstrip("/")
 
 
