@@ -116,3 +116,19 @@ def test_pipeline_feed_to_marts_equals_batch(spark, landing_small):
         got = R.read_mart(spark, marts, name).drop("_etl_loaded_at")
         want = R.read_mart(spark, batch_root, name).drop("_etl_loaded_at")
         assert _rows(got.select(*want.columns)) == _rows(want)
+
+
+def test_cli_land_then_compact(spark):
+    from tidemart.cli import main
+    fx = Fixtures(TableSource(spark, SF0001))
+    log = po_change_log(fx, with_batch=True)
+    base = tempfile.mkdtemp(prefix="cli-", dir="/tmp")
+    _write_batches(log, f"{base}/feed", [0, 1, 2, 3])
+    assert main(["land", "--feed", f"{base}/feed", "--landing", f"{base}/landing", "--tables", "fact_po_raw",
+                 "--checkpoint", f"{base}/ckpt"], spark=spark) == 0
+    assert main(["compact", "--landing", f"{base}/landing", "--out", f"{base}/compact/fact_po_raw",
+                 "--table", "fact_po_raw"], spark=spark) == 0
+    compacted = spark.read.parquet(f"{base}/compact/fact_po_raw").drop("month")
+    cols = [f.name for f in LANDING["fact_po_raw"].schema.fields]
+    assert _rows(latest_live(compacted, PO_KEY).select(*cols)) == \
+        _rows(latest_live(log.drop("_batch"), PO_KEY).select(*cols))

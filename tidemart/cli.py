@@ -3,6 +3,8 @@
     python -m tidemart.cli run    --landing PATH --marts PATH [--group agg|snapshot|all]
                                   [--as-of YYYY-MM-DD] [--mode replace_window|literal]
     python -m tidemart.cli status --marts PATH
+    python -m tidemart.cli land    --feed PATH --landing PATH [--tables t1,t2] [--max-files N]
+    python -m tidemart.cli compact --landing PATH --out PATH --table T [--drop-deleted]
 
 ``run`` is a single pass (what an external scheduler calls every 10 / 60
 minutes); ``--as-of`` defaults to today's UTC date, used for every mart.
@@ -16,7 +18,10 @@ import sys
 
 from tidemart.plans import refresh as R
 from tidemart.plans.landing import Landing
+from tidemart.operators.cdc import write_compacted
 from tidemart.session import build_session
+from tidemart.sources.schemas import LANDING
+from tidemart.streaming.apply import change_feed, land_changes
 
 
 def main(argv: list[str] | None = None, spark=None) -> int:
@@ -30,8 +35,30 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     r.add_argument("--mode", choices=["replace_window", "literal"], default="replace_window")
     st = sub.add_parser("status", help="last refresh per mart")
     st.add_argument("--marts", required=True)
+    ld = sub.add_parser("land", help="land the change records available in a feed folder")
+    ld.add_argument("--feed", required=True)
+    ld.add_argument("--landing", required=True)
+    ld.add_argument("--tables", default=",".join(LANDING))
+    ld.add_argument("--max-files", type=int, default=None)
+    ld.add_argument("--checkpoint", default=None)
+    cp = sub.add_parser("compact", help="rewrite a landing table to one version per key")
+    cp.add_argument("--landing", required=True)
+    cp.add_argument("--out", required=True)
+    cp.add_argument("--table", required=True, choices=sorted(LANDING))
+    cp.add_argument("--drop-deleted", action="store_true")
     args = ap.parse_args(argv)
     spark = spark or build_session()
+    if args.cmd == "land":
+        tables = [t for t in args.tables.split(",") if t]
+        q = land_changes(change_feed(spark, args.feed, args.max_files), args.landing, args.checkpoint,
+                         tables, name="cli-landing")
+        q.awaitTermination()
+        return 0
+    if args.cmd == "compact":
+        df = spark.read.parquet(f"{args.landing.rstrip('/')}/{args.table}")
+        cols = [f.name for f in LANDING[args.table].schema.fields]
+        write_compacted(df.select(*cols), args.table, args.out, keep_tombstones=not args.drop_deleted)
+        return 0
     if args.cmd == "run":
         as_of = args.as_of or _dt.datetime.now(_dt.timezone.utc).date()
         status = R.run(spark, Landing.from_path(spark, args.landing), args.marts, as_of,
