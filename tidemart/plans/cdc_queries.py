@@ -360,7 +360,8 @@ FROM res WHERE is_deleted = 0 GROUP BY status""", _log_ctes() + [("res", _dedup(
 
 # --- marts over the versioned PO change log (dedup inside the marts) -----------
 
-LOG_MARTS = ["agg_daily_buyer", "agg_daily_revenue_territory", "snapshot_org_daily"]
+LOG_MARTS = ["agg_daily_buyer", "agg_daily_seller", "agg_daily_category_spend", "agg_daily_supplier_spend",
+             "agg_daily_revenue_territory", "snapshot_org_daily"]
 
 
 def with_po_log(sql: str) -> str:
