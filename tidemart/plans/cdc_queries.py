@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemart.operators.cdc import (
     drop_columns, latest_by_max, latest_live, latest_live_incremental, latest_version, map_to_landing,
-    snapshot_plus_tail, version_rank,
+    snapshot_plus_tail,
 )
 from tidemart.plans import views as V
 from tidemart.plans.landing import Landing
