@@ -119,3 +119,12 @@ def test_freshness_report(spark, landing_small):
     from tidemart.plans.reports import freshness
     rows = freshness(landing_small, dt.datetime(2024, 2, 2), ["fact_po_raw", "dim_user_raw"]).collect()
     assert {r["table_name"]: r["age_secs"] for r in rows} == {"fact_po_raw": 86400, "dim_user_raw": 86400}
+
+
+def test_refresh_strict_semantics(spark, landing_small):
+    from tidemart.plans import marts_strict as S
+    root = _root()
+    R.refresh_mart(spark, landing_small, "agg_daily_buyer", AS_OF, root, semantics="strict")
+    got = _rows(R.read_mart(spark, root, "agg_daily_buyer"))
+    want = sorted((tuple(r) for r in S.daily_buyer(landing_small, AS_OF).collect()), key=repr)
+    assert got == want

@@ -2,6 +2,7 @@
 
     python -m tidemart.cli run    --landing PATH --marts PATH [--group agg|snapshot|all]
                                   [--as-of YYYY-MM-DD] [--mode replace_window|literal]
+                                  [--semantics literal|strict]
     python -m tidemart.cli status --marts PATH
     python -m tidemart.cli land    --feed PATH --landing PATH [--tables t1,t2] [--max-files N]
     python -m tidemart.cli compact --landing PATH --out PATH --table T [--drop-deleted]
@@ -33,6 +34,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     r.add_argument("--group", choices=sorted(R.GROUPS), default="all")
     r.add_argument("--as-of", type=_dt.date.fromisoformat, default=None)
     r.add_argument("--mode", choices=["replace_window", "literal"], default="replace_window")
+    r.add_argument("--semantics", choices=["literal", "strict"], default="literal")
     st = sub.add_parser("status", help="last refresh per mart")
     st.add_argument("--marts", required=True)
     ld = sub.add_parser("land", help="land the change records available in a feed folder")
@@ -62,7 +64,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     if args.cmd == "run":
         as_of = args.as_of or _dt.datetime.now(_dt.timezone.utc).date()
         status = R.run(spark, Landing.from_path(spark, args.landing), args.marts, as_of,
-                       group=args.group, mode=args.mode)
+                       group=args.group, mode=args.mode, semantics=args.semantics)
         status.show(truncate=False)
         return 0 if all(row["status"] == "ok" for row in status.collect()) else 1
     R.refresh_status(spark, args.marts).orderBy("mart").show(truncate=False)

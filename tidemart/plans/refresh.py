@@ -61,19 +61,22 @@ def _exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def mart_result(L: Landing, name: str, as_of: _dt.date, loaded_at: _dt.datetime | None = None) -> DataFrame:
-    df = M.MARTS[name](L, as_of)
+def mart_result(L: Landing, name: str, as_of: _dt.date, loaded_at: _dt.datetime | None = None,
+                semantics: str = "literal") -> DataFrame:
+    from tidemart import mart
+    df = mart(L, name, as_of, semantics=semantics)
     ts = F.lit(loaded_at).cast("timestamp") if loaded_at else F.current_timestamp()
     return df.withColumn(LOADED_AT, ts).withColumn("month", yyyymm(MART_DATE_COL[name]))
 
 
 def refresh_mart(spark: SparkSession, L: Landing, name: str, as_of: _dt.date, root: str,
-                 mode: str = "replace_window", loaded_at: _dt.datetime | None = None) -> int:
+                 mode: str = "replace_window", loaded_at: _dt.datetime | None = None,
+                 semantics: str = "literal") -> int:
     """Refresh one mart table; returns the number of new rows written."""
     path = f"{root.rstrip('/')}/{name}"
     date_col = MART_DATE_COL[name]
     staging = scratch_path(spark, "staging", f"{name}-{uuid.uuid4().hex}")
-    result = mart_result(L, name, as_of, loaded_at)
+    result = mart_result(L, name, as_of, loaded_at, semantics)
     schema = result.schema
     result.write.mode("overwrite").partitionBy("month").parquet(staging)
     new = spark.read.schema(schema).parquet(staging)
@@ -127,7 +130,8 @@ def mart_latest(df: DataFrame, name: str) -> DataFrame:
 
 
 def run(spark: SparkSession, L: Landing, root: str, as_of: _dt.date, group: str = "all",
-        as_of_events: _dt.date | None = None, mode: str = "replace_window") -> DataFrame:
+        as_of_events: _dt.date | None = None, mode: str = "replace_window",
+        semantics: str = "literal") -> DataFrame:
     """R3 + R4: refresh a group of marts in one pass; a failing mart does not
     stop the others. The marts share their deduplicated inputs (fact_po is
     read by six of them). Returns one status row per mart."""
@@ -138,7 +142,7 @@ def run(spark: SparkSession, L: Landing, root: str, as_of: _dt.date, group: str
             t0 = time.time()
             day = as_of_events if (name == "agg_daily_engagement" and as_of_events) else as_of
             try:
-                n = refresh_mart(spark, shared, name, day, root, mode=mode)
+                n = refresh_mart(spark, shared, name, day, root, mode=mode, semantics=semantics)
                 rows.append((name, "ok", n, round(time.time() - t0, 3), ""))
             except Exception as exc:  # noqa: BLE001 - isolation is the point
                 rows.append((name, "failed", 0, round(time.time() - t0, 3), str(exc)[:500]))
