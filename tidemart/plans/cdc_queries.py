@@ -18,7 +18,7 @@ from tidemart.plans.oracle_fixtures import FIXTURE_SQL, latest_sql, with_fixture
 from tidemart.sources.copy import bounded_copy, insert_if_absent
 from tidemart.sources.changelog import LOG_START, po_change_log, po_mapping, po_source
 from tidemart.sources.fixtures import Fixtures
-from tidemart.sources.schemas import LANDING, SYNCED_AT, VERSION
+from tidemart.sources.schemas import LANDING, SYNCED_AT, VERSION, ts_lit
 from tidemart.sources.tables import TableSource
 
 PO = LANDING["fact_po_raw"]
@@ -80,10 +80,10 @@ def cdc_key_drift_primary_key(spark, sf_dir):
 def cdc_snapshot_plus_tail(spark, sf_dir):
     po = _po(spark, sf_dir)
     snap = po.drop(VERSION, SYNCED_AT).withColumn(
-        SYNCED_AT, F.lit(_dt.datetime(2024, 1, 31)).cast("timestamp"))
+        SYNCED_AT, ts_lit(_dt.datetime(2024, 1, 31)))
     log = po_change_log(po)
     # the tail overlaps the snapshot with the replayed version-1 copies
-    tail = log.filter((F.col(VERSION) >= 2) | (F.col(SYNCED_AT) >= F.lit(_dt.datetime(2024, 2, 2))))
+    tail = log.filter((F.col(VERSION) >= 2) | (F.col(SYNCED_AT) >= ts_lit(_dt.datetime(2024, 2, 2))))
     return _portable(snapshot_plus_tail(snap, tail, PO.sort_key).select(*PO_COLS))
 
 
@@ -130,12 +130,12 @@ SEED_ROWS = 2000
 def cdc_map_po(spark, sf_dir):
     src = po_source(_fx(spark, sf_dir))
     return _portable(map_to_landing(src, "fact_po_raw", po_mapping(),
-                                    synced_at=F.lit(LOG_START), version=F.lit(0)))
+                                    synced_at=ts_lit(LOG_START), version=F.lit(0)))
 
 
 def cdc_exclude_cols(spark, sf_dir):
     src = po_source(_fx(spark, sf_dir))
-    landed = map_to_landing(src, "fact_po_raw", po_mapping(), synced_at=F.lit(LOG_START), version=F.lit(0))
+    landed = map_to_landing(src, "fact_po_raw", po_mapping(), synced_at=ts_lit(LOG_START), version=F.lit(0))
     return _portable(drop_columns(landed, EXCLUDED))
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tidemart.operators.cdc import latest_live, latest_version
 from tidemart.session import app_id, scratch_path
 from tidemart.sources.fixtures import Fixtures
-from tidemart.sources.schemas import LANDING
+from tidemart.sources.schemas import LANDING, ts_lit
 from tidemart.sources.tables import TableSource
 
 
@@ -142,10 +142,9 @@ class Landing:
         raw = self.raw(name)
         if since is None or t.month_of not in key:
             return raw
-        start = _dt.datetime(since.year, since.month, since.day)
         if "month" in raw.columns:
             raw = raw.filter(F.col("month") >= F.lit(since.year * 100 + since.month))
-        return raw.filter(F.col(t.month_of) >= F.lit(start).cast("timestamp"))
+        return raw.filter(F.col(t.month_of) >= ts_lit(since))
 
 
 class SharedReadings(Landing):

@@ -29,7 +29,7 @@ from tidemart.functions.exprs import (
 )
 from tidemart.operators.joins import left_join_default, prefixed
 from tidemart.plans.landing import Landing
-from tidemart.sources.schemas import D184
+from tidemart.sources.schemas import D184, ts_lit
 
 WINDOW_DAYS = 90
 # Status codes used as predicates by the marts.
@@ -58,7 +58,7 @@ def in_window(ts, as_of: _dt.date) -> Column:
     filter, and below a dedup keyed on ``ts`` Catalyst moves it under the window.
     """
     start = window_start(as_of)
-    return F.col(ts) >= F.lit(_dt.datetime(start.year, start.month, start.day)).cast("timestamp")
+    return F.col(ts) >= ts_lit(start)
 
 
 def _at_least_one(c: Column) -> Column:

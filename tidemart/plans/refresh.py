@@ -37,7 +37,7 @@ from tidemart.operators.cdc import latest_version
 from tidemart.plans import marts as M
 from tidemart.plans.landing import Landing, SharedReadings
 from tidemart.session import scratch_path
-from tidemart.sources.schemas import MART_DATE_COL, MART_KEYS
+from tidemart.sources.schemas import MART_DATE_COL, MART_KEYS, ts_lit
 
 LOADED_AT = "_etl_loaded_at"
 AGG_GROUP = [n for n in M.MARTS if n.startswith("agg_")]
@@ -65,7 +65,7 @@ def mart_result(L: Landing, name: str, as_of: _dt.date, loaded_at: _dt.datetime
                 semantics: str = "literal") -> DataFrame:
     from tidemart import mart
     df = mart(L, name, as_of, semantics=semantics)
-    ts = F.lit(loaded_at).cast("timestamp") if loaded_at else F.current_timestamp()
+    ts = ts_lit(loaded_at) if loaded_at else F.current_timestamp()
     return df.withColumn(LOADED_AT, ts).withColumn("month", yyyymm(MART_DATE_COL[name]))
 
 

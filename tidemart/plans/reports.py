@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemart.functions.exprs import readable_quantity
 from tidemart.operators.cdc import version_rank
 from tidemart.plans.landing import Landing
-from tidemart.sources.schemas import IS_DELETED, LANDING, SYNCED_AT, VERSION
+from tidemart.sources.schemas import IS_DELETED, LANDING, SYNCED_AT, VERSION, ts_lit
 
 
 def row_counts(L: Landing, tables: Iterable[str] | None = None) -> DataFrame:
@@ -50,7 +50,7 @@ def cdc_lag(log: DataFrame, applied: Column, as_of: _dt.datetime, table: str) ->
         F.lit(table).alias("table_name"), "log_version", "applied_version",
         (F.col("log_version") - F.col("applied_version")).alias("version_lag"),
         "pending_rows", "pending_keys",
-        (F.unix_seconds(F.lit(as_of).cast("timestamp")) - F.unix_seconds("applied_synced_at"))
+        (F.unix_seconds(ts_lit(as_of)) - F.unix_seconds("applied_synced_at"))
         .alias("freshness_secs"),
         (F.unix_seconds("log_synced_at") - F.unix_seconds("applied_synced_at")).alias("lag_secs"))
 
@@ -67,5 +67,5 @@ def freshness(L: Landing, as_of: _dt.datetime, tables: Iterable[str] | None = No
     for p in parts[1:]:
         out = out.unionByName(p)
     return out.select("table_name", "last_synced_at", "last_version",
-                      (F.unix_seconds(F.lit(as_of).cast("timestamp")) - F.unix_seconds("last_synced_at"))
+                      (F.unix_seconds(ts_lit(as_of)) - F.unix_seconds("last_synced_at"))
                       .alias("age_secs"))

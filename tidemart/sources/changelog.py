@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.sources.fixtures import Fixtures
-from tidemart.sources.schemas import D184, IS_DELETED, LANDING, SYNCED_AT, VERSION
+from tidemart.sources.schemas import D184, IS_DELETED, LANDING, SYNCED_AT, VERSION, ts_lit
 
 # Arrival clock of the change log.
 LOG_START = _dt.datetime(2024, 2, 1, 0, 0, 0)
@@ -32,7 +32,7 @@ BATCHES = 4
 def _stamp(df: DataFrame, version: int, deleted: int, delay_days: int = 0) -> DataFrame:
     k = F.col("id") - 1
     batch = (k + F.lit(version)) % BATCHES
-    synced = (F.lit(LOG_START) + F.make_dt_interval(F.lit(delay_days), batch.cast("int")))
+    synced = (ts_lit(LOG_START) + F.make_dt_interval(F.lit(delay_days), batch.cast("int")))
     return (df.withColumn(SYNCED_AT, synced.cast("timestamp"))
               .withColumn(IS_DELETED, F.lit(deleted))
               .withColumn(VERSION, F.lit(version).cast("long"))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemart.sources.schemas import (
-    D184, IS_DELETED, LANDING, SYNCED_AT, VERSION, type_default,
+    D184, IS_DELETED, LANDING, SYNCED_AT, VERSION, ts_lit, type_default,
 )
 from tidemart.sources.tables import TableSource
 
@@ -58,7 +58,7 @@ def to_landing(df: DataFrame, table: str, synced_at=BASE_SYNCED_AT,
     cols = [F.coalesce(F.col(f.name).cast(f.dataType), type_default(f.dataType)).alias(f.name)
             if f.name in have else type_default(f.dataType).alias(f.name)
             for f in t.data.fields]
-    cols += [F.lit(synced_at).cast("timestamp").alias(SYNCED_AT),
+    cols += [ts_lit(synced_at).alias(SYNCED_AT),
              F.lit(0).alias(IS_DELETED),
              F.lit(version).cast("long").alias(VERSION)]
     return df.select(*cols)

@@ -132,13 +132,23 @@ EPOCH_DATE = _dt.date(1970, 1, 1)
 EPOCH_TS = _dt.datetime(1970, 1, 1, 0, 0, 0)
 
 
+def ts_lit(value) -> Column:
+    """A timestamp literal read in the *session* time zone (a Python datetime
+    literal would be converted with the Python process's local zone)."""
+    if isinstance(value, _dt.datetime):
+        text = value.strftime("%Y-%m-%d %H:%M:%S")
+    else:
+        text = f"{value:%Y-%m-%d} 00:00:00"
+    return F.lit(text).cast(T.TimestampType())
+
+
 def type_default(dtype: T.DataType) -> Column:
     if isinstance(dtype, T.StringType):
         return F.lit("")
     if isinstance(dtype, T.DateType):
         return F.lit(EPOCH_DATE)
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.lit(EPOCH_TS).cast(dtype)
+        return ts_lit(EPOCH_TS).cast(dtype)
     if isinstance(dtype, T.DecimalType):
         return F.lit(Decimal(0)).cast(dtype)
     if isinstance(dtype, T.BooleanType):
