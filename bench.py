@@ -37,7 +37,8 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
     spark = build_session(f"local[{cpus}]", app="tidemart-bench", shuffle_partitions=cpus * 2,
-                          extra={"spark.driver.memory": "16g"})
+                          extra={"spark.driver.memory": "16g",
+                                 "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k"})
     qs = all_queries()
     # warm the JVM (class loading, JIT) with one untimed pass on the smallest inputs
     Landing.materialized(spark, WARMUP_DIR).prepare(list(LANDING), parallel=LAND_PARALLEL)
