@@ -69,3 +69,18 @@ def test_session_is_configured_for_scale(spark):
     assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
     conf = scale_conf(100 * 2 ** 40)
     assert int(conf["spark.sql.shuffle.partitions"]) >= 100 * 2 ** 40 // (512 * 2 ** 20)
+
+
+def test_bucketed_landing_dedups_without_shuffle(spark, landing_small):
+    from tidemart.plans.landing import write_bucketed
+    from tidemart.session import scratch_path
+    root = scratch_path(spark, "bucketed", tempfile.mkdtemp(prefix="b-", dir="/tmp").rsplit("/", 1)[-1])
+    for t in ["fact_po_raw", "dim_organization_raw"]:
+        write_bucketed(landing_small.raw(t), t, f"tm_test_{t}", f"{root}/{t}", buckets=8)
+    L = Landing.from_tables(spark, "tm_test_")
+    key = ("buyer_org_id", "po_date", "id")
+    tree = plan_of(latest_live(L.raw("fact_po_raw"), key)).split("\n\n")[0]
+    assert "Window" in tree and "Exchange" not in tree          # clustered by the bucket key
+    got = sorted(map(tuple, M.daily_revenue_territory(L, dt.date(2001, 8, 1)).collect()), key=repr)
+    want = sorted(map(tuple, M.daily_revenue_territory(landing_small, dt.date(2001, 8, 1)).collect()), key=repr)
+    assert got == want

@@ -49,6 +49,15 @@ def write_landing(df: DataFrame, name: str, path: str, by_month: bool = False) -
     w.parquet(path)
 
 
+def write_bucketed(df: DataFrame, name: str, table: str, path: str, buckets: int) -> None:
+    """A landing table stored bucketed and sorted on its dedup key (a catalog
+    table at ``path`` in the shared folder). Reading it back, the dedup window
+    is already clustered by its partition key: no shuffle before the window."""
+    t = LANDING[name]
+    (df.write.mode("overwrite").bucketBy(buckets, *t.sort_key).sortBy(*t.sort_key)
+       .option("path", path).saveAsTable(table))
+
+
 class Landing:
     """Raw (all-version) landing tables plus their deduplicated readings."""
 
@@ -101,6 +110,12 @@ class Landing:
             return spark.read.parquet(f"{root.rstrip('/')}/{name}")
         return cls(read)
 
+    @classmethod
+    def from_tables(cls, spark: SparkSession, prefix: str = "") -> Landing:
+        """Landing tables registered in the catalog as ``<prefix><table>``
+        (e.g. bucketed ones written by ``write_bucketed``)."""
+        return cls(lambda name: spark.table(f"{prefix}{name}"))
+
     def raw(self, name: str) -> DataFrame:
         return self._raw(name)
 
