@@ -70,24 +70,30 @@ class Landing:
         return cls(fx.table)
 
     @classmethod
-    def materialized(cls, spark: SparkSession, sf_dir: str) -> Landing:
+    def materialized(cls, spark: SparkSession, sf_dir: str, bucketed: bool = False) -> Landing:
         """Landing tables derived from ``sf_dir`` and written once per Spark
-        application to the shared checkpoint folder, month-partitioned and
-        sorted by the dedup key (the layout the stream / compaction produce);
-        later reads get partition pruning and pushed filters, and lost
-        executors recompute from the files, not from the whole derivation."""
+        application to the shared checkpoint folder. ``bucketed``: as catalog
+        tables bucketed and sorted on the dedup key, so every later dedup runs
+        without a shuffle; otherwise plain Parquet folders. Lost executors
+        recompute from these files, not from the whole derivation."""
         fx = Fixtures(TableSource(spark, sf_dir))
-        root = _store_root(spark, sf_dir)
+        root = _store_root(spark, sf_dir) + ("-bucketed" if bucketed else "")
+        tag = hashlib.sha1(root.encode()).hexdigest()[:10]
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
         def read(name: str) -> DataFrame:
             path = f"{root}/{name}"
+            table = f"tidemart_{tag}_{name}"
             with _LOCK:
                 lock = _PATH_LOCKS.setdefault(path, threading.Lock())
             with lock:
                 if path not in _WRITTEN:
-                    write_landing(fx.table(name), name, path)
+                    if bucketed:
+                        write_bucketed(fx.table(name), name, table, path, buckets)
+                    else:
+                        write_landing(fx.table(name), name, path)
                     _WRITTEN.add(path)
-            return spark.read.parquet(path)
+            return spark.table(table) if bucketed else spark.read.parquet(path)
         land = cls(read)
         land._fixtures = fx
         return land
