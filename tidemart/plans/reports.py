@@ -9,22 +9,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.functions.exprs import readable_quantity
-from tidemart.operators.cdc import version_rank
+from tidemart.operators.cdc import latest_version
 from tidemart.plans.landing import Landing
 from tidemart.sources.schemas import IS_DELETED, LANDING, SYNCED_AT, VERSION, ts_lit
 
 
 def row_counts(L: Landing, tables: Iterable[str] | None = None) -> DataFrame:
     """Per landing table, all stored rows, keys and live keys, plus the
-    row count in readable form. One pass per table (rank versions, count)."""
+    row count in readable form.
+
+    Stored rows come from a plain scan aggregate; keys and live keys from the
+    newest version per key, whose partial limit drops older versions before
+    the shuffle. The two one-row results are summed (a union, not a join)."""
     parts = []
+    zero = F.lit(0).cast("long")
     for name in tables or LANDING:
         t = LANDING[name]
-        first = F.col("_cdc_rank") == 1
-        parts.append(version_rank(L.raw(name), t.sort_key).agg(
-            F.count(F.lit(1)).alias("raw_rows"), F.count_if(first).alias("keys"),
-            F.count_if(first & (F.col(IS_DELETED) == 0)).alias("live_rows"),
-        ).withColumn("table_name", F.lit(name)))
+        raw = L.raw(name)
+        stored = raw.agg(F.count(F.lit(1)).alias("raw_rows")).select("raw_rows", zero.alias("keys"),
+                                                                   zero.alias("live_rows"))
+        latest = latest_version(raw, t.sort_key).agg(
+            F.count(F.lit(1)).alias("keys"), F.count_if(F.col(IS_DELETED) == 0).alias("live_rows"))
+        parts.append(stored.unionByName(latest.select(zero.alias("raw_rows"), "keys", "live_rows"))
+                     .agg(F.sum("raw_rows").alias("raw_rows"), F.sum("keys").alias("keys"),
+                          F.sum("live_rows").alias("live_rows"))
+                     .withColumn("table_name", F.lit(name)))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
