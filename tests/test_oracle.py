@@ -49,3 +49,21 @@ def test_entry_runs(spark):
     df = mod.entry(spark)
     assert df.count() > 0
     assert set(mod.queries()) == set(mod.oracle_sql())
+
+
+def test_results_do_not_depend_on_the_python_time_zone(spark, con):
+    import os
+    import time
+    old = os.environ.get("TZ")
+    os.environ["TZ"] = "Asia/Kolkata"
+    time.tzset()
+    try:
+        for name in ["cdc_snapshot_plus_tail", "report_cdc_lag", "cdc_map_po", "agg_daily_buyer"]:
+            ok, msg = compare(QUERIES[name](spark, SF0001), con, ORACLE[name])
+            assert ok, f"{name}: {msg}"
+    finally:
+        if old is None:
+            os.environ.pop("TZ", None)
+        else:
+            os.environ["TZ"] = old
+        time.tzset()
