@@ -55,7 +55,9 @@ def daily_buyer(L: Landing, as_of: _dt.date) -> DataFrame:
         count_if(st == M.PO_CANCELLED).alias("po_cancelled_count"),
         F.sum("total_amount").alias("total_spend"),
         sum_if("total_amount", st == M.PO_APPROVED, M.DEC_WIDE).alias("approved_spend"))
-    r = _live(L, "fact_rfq_raw")
+    # sides joined on their own day can only meet groups inside the window:
+    # filter them right after their dedup (a primary-key dedup cannot take it below)
+    r = _live(L, "fact_rfq_raw").filter(M.in_window("rfq_date", as_of))
     qc = F.col("quote_count")
     rfq = r.groupBy(day("rfq_date").alias("metric_date"), F.col("buyer_org_id").alias("org_id")).agg(
         count_rows().alias("rfq_count"), count_if(F.col("status") == M.RFQ_AWARDED).alias("rfq_awarded_count"),
@@ -69,7 +71,7 @@ def daily_buyer(L: Landing, as_of: _dt.date) -> DataFrame:
     d = _live(L, "fact_delivery_raw").select("po_id", "delay_days")
     dlv = (d.groupBy("po_id").agg(count_rows().alias("n"), count_if(F.col("delay_days") <= 0).alias("ot"))
            .join(pk, F.col("po_id") == pk.id).groupBy(*keys).agg(F.sum("n").alias("nd"), F.sum("ot").alias("ot")))
-    rt = _live(L, "fact_rating_raw")
+    rt = _live(L, "fact_rating_raw").filter(M.in_window("rated_at", as_of))
     rat = rt.groupBy(day("rated_at").alias("metric_date"), F.col("rater_org_id").alias("org_id")).agg(
         F.avg("rating").alias("avg_supplier_rating"))
     g = po.join(rfq, keys, "left").join(inv, keys, "left").join(dlv, keys, "left").join(rat, keys, "left")
@@ -92,14 +94,14 @@ def daily_seller(L: Landing, as_of: _dt.date) -> DataFrame:
     quotes = qj.groupBy(day("quoted_at").alias("metric_date"), F.col("supplier_org_id").alias("org_id")).agg(
         uniq("r_id").alias("rfq_received"), count_rows().alias("quotes_submitted"),
         count_if(won).alias("quotes_won"), ratio(count_if(won), count_rows()).alias("win_rate"))
-    p = _pos(L, None).select("id", "supplier_org_id", "po_date", "total_amount")
+    p = _pos(L, as_of).select("id", "supplier_org_id", "po_date", "total_amount")
     d = _live(L, "fact_delivery_raw").groupBy("po_id").agg(
         count_rows().alias("nd"), count_if(F.col("delay_days") <= 0).alias("ot"))
     pd_ = p.join(d, p.id == d.po_id, "left")
     pos = pd_.groupBy(day("po_date").alias("metric_date"), F.col("supplier_org_id").alias("org_id")).agg(
         F.sum("total_amount").alias("revenue"), count_rows().alias("po_received"),
         sum_or_zero("ot").alias("po_fulfilled"), F.sum("nd").alias("nd"), F.sum("ot").alias("ot"))
-    rat = _live(L, "fact_rating_raw").groupBy(
+    rat = _live(L, "fact_rating_raw").filter(M.in_window("rated_at", as_of)).groupBy(
         day("rated_at").alias("metric_date"), F.col("rated_org_id").alias("org_id")).agg(
         F.avg("rating").alias("avg_buyer_rating"))
     g = quotes.join(pos, keys, "left").join(rat, keys, "left")
@@ -130,7 +132,7 @@ def daily_supplier_spend(L: Landing, as_of: _dt.date) -> DataFrame:
     i = (_live(L, "fact_invoice_raw").groupBy("po_id").agg(
         sum_if(F.col("amount") - F.col("paid_amount"), F.col("status") == "overdue", M.DEC_WIDE).alias("od"))
         .join(pk, F.col("po_id") == pk.id).groupBy(*keys).agg(F.sum("od").alias("od")))
-    rat = _live(L, "fact_rating_raw").groupBy(
+    rat = _live(L, "fact_rating_raw").filter(M.in_window("rated_at", as_of)).groupBy(
         day("rated_at").alias("metric_date"), F.col("rater_org_id").alias("buyer_org_id"),
         F.col("rated_org_id").alias("supplier_org_id")).agg(F.avg("rating").alias("rating"))
     g = po.join(d, keys, "left").join(i, keys, "left").join(rat, keys, "left")
