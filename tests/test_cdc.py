@@ -117,3 +117,13 @@ def test_semi_join_reduction_only_on_key_columns(spark):
 
 
 PO_DELIVERY_KEY = LANDING["fact_delivery_raw"].sort_key
+
+
+def test_write_target_by_type(spark):
+    from tidemart.sources.copy import write_target
+    path = tempfile.mkdtemp(prefix="tgt-", dir="/tmp") + "/t"
+    write_target(spark.range(4), "parquet", path)
+    write_target(spark.range(2), "PARQUET", path)
+    assert spark.read.parquet(path).count() == 6
+    with pytest.raises(ValueError):
+        write_target(spark.range(1), "BIGQUERY", "x")

@@ -62,3 +62,33 @@ def guard_result_size(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
     if df.limit(max_rows + 1).count() > max_rows:
         raise ResultTooLarge(f"result exceeds {max_rows} rows")
     return df
+
+
+# Destination type names the mirror definitions accept, and how
+# each is written from Spark here ("jdbc" needs the database's driver jar on
+# the classpath; the others have no connector in this build).
+TARGET_FORMATS = {
+    "PARQUET": "parquet",
+    "POSTGRES": "jdbc",
+    "MYSQL": "jdbc",
+    "CLICKHOUSE": "jdbc",
+    "SNOWFLAKE": None,
+    "BIGQUERY": None,
+    "MONGO": None,
+}
+
+
+def write_target(df: DataFrame, target: str, location: str, mode: str = "append",
+                 options: dict | None = None) -> None:
+    """Write to a destination named by type. ``location`` is a path for
+    PARQUET and a table name for JDBC targets (``options`` carries url, user,
+    password, driver)."""
+    fmt = TARGET_FORMATS.get(target.upper())
+    if fmt is None:
+        raise ValueError(f"no connector for target type {target!r} in this build; "
+                         f"supported: {[k for k, v in TARGET_FORMATS.items() if v]}")
+    w = df.write.mode(mode).options(**(options or {}))
+    if fmt == "parquet":
+        w.parquet(location)
+    else:
+        w.format("jdbc").option("dbtable", location).save()
