@@ -174,7 +174,7 @@ def write_compacted(df: DataFrame, table: str | LandingTable, path: str,
 
 
 def latest_live_incremental(base: DataFrame, tail: DataFrame, key: Sequence[str],
-                            max_tail_keys: int = 5_000_000) -> DataFrame:
+                            max_tail_keys: int = 1_000_000) -> DataFrame:
     """C8 + C9 at scale: live rows of ``base`` (compacted: one version per key,
     tombstones kept) with a change ``tail`` applied.
 

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from tidemart.sources.schemas import type_default
 
 # A side is broadcast only after a bounded count proves it has at most this
-# many rows; otherwise the planner (with AQE's measured sizes) decides.
-BROADCAST_MAX_ROWS = 2_000_000
+# many rows; otherwise the planner (with AQE's measured sizes) decides. Used
+# only for narrow key sets (one to three id columns: some tens of MB at most).
+BROADCAST_MAX_ROWS = 1_000_000
 
 
 def prefixed(df: DataFrame, prefix: str, cols: Iterable[str] | None = None) -> DataFrame:

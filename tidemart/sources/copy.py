@@ -29,7 +29,7 @@ def bounded_copy(df: DataFrame, n: int, order_by: Sequence[str | Column]) -> Dat
 
 def insert_if_absent(new: DataFrame, existing: DataFrame, pk: Sequence[str],
                      first_by: Sequence[str | Column] | None = None,
-                     max_broadcast_rows: int = 2_000_000) -> DataFrame:
+                     max_broadcast_rows: int = 1_000_000) -> DataFrame:
     """``INSERT ... ON CONFLICT DO NOTHING``: the rows of ``new`` whose key
     is not in ``existing``; among new rows sharing a key the first by
     ``first_by`` wins. Returns only the rows to append."""
