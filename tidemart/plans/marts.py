@@ -205,8 +205,12 @@ M2_COLS = ["metric_date", "org_id", "rfq_received", "quotes_submitted", "quotes_
 def daily_seller(L: Landing, as_of: _dt.date, plan: str = "factorised") -> DataFrame:
     start = window_start(as_of)
     q = L.live("fact_rfq_quote_raw", since=start).filter(in_window("quoted_at", as_of))
-    # only RFQs that a quote of the window refers to can match (id is in the RFQ key)
-    r = L.latest_for_keys("fact_rfq_raw", q.select(F.col("rfq_id").alias("id")))
+    # only RFQs that a quote of the window refers to can match (id is in the RFQ
+    # key). The key set comes from the raw quote rows of the window — a superset
+    # of what the deduplicated quotes refer to, so the restriction stays exact
+    # and costs a scan + distinct instead of a second dedup of the quotes
+    quoted = L.raw("fact_rfq_quote_raw").filter(in_window("quoted_at", as_of))
+    r = L.latest_for_keys("fact_rfq_raw", quoted.select(F.col("rfq_id").alias("id")))
     # POs and ratings join on their key date = the quote day (>= start)
     p = L.latest("fact_po_raw", since=start)
     d = L.latest("fact_delivery_raw")
@@ -377,8 +381,10 @@ M5_COLS = ["metric_date", "org_id", "rfq_open", "rfq_closed", "rfq_awarded", "av
 
 def daily_rfq_pipeline(L: Landing, as_of: _dt.date, plan: str = "factorised") -> DataFrame:
     r = L.live("fact_rfq_raw", since=window_start(as_of)).filter(in_window("rfq_date", as_of))
-    # only quotes of RFQs in the window can match (rfq_id is in the quote key)
-    q = L.latest_for_keys("fact_rfq_quote_raw", r.select(F.col("id").alias("rfq_id")))
+    # only quotes of RFQs in the window can match (rfq_id is in the quote key);
+    # key set from the raw RFQ rows of the window (a superset, see M2)
+    in_win = L.raw("fact_rfq_raw").filter(in_window("rfq_date", as_of))
+    q = L.latest_for_keys("fact_rfq_quote_raw", in_win.select(F.col("id").alias("rfq_id")))
     st = F.col("status")
     if plan == "joins":
         j = left_join_default(r.select("id", "buyer_org_id", "status", "rfq_date", "quote_count", "total_budget"),
