@@ -238,3 +238,16 @@ def test_views_registered_for_sql(spark, landing_small):
     orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
     expected = orders.filter("o_orderdate >= TIMESTAMP '2001-05-03' AND o_orderkey % 97 <> 0").count()
     assert n == expected    # orders in the window, minus the soft-deleted ones
+
+
+def test_engagement_approximate_option(spark, landing_small):
+    from tidemart import mart
+    as_of = dt.date(2024, 1, 30)
+    exact = {(r["metric_date"], r["org_id"]): r for r in mart(landing_small, "agg_daily_engagement", as_of).collect()}
+    approx = {(r["metric_date"], r["org_id"]): r
+              for r in mart(landing_small, "agg_daily_engagement", as_of, approx=True).collect()}
+    assert exact.keys() == approx.keys()
+    for k, e in exact.items():
+        a = approx[k]
+        assert abs(a["active_users"] - e["active_users"]) <= max(1, 0.05 * e["active_users"])
+        assert a["page_views"] == e["page_views"]

@@ -23,13 +23,14 @@ def __getattr__(name):
     raise AttributeError(name)
 
 
-def mart(L, name: str, as_of: _dt.date, semantics: str = "literal", plan: str = "factorised"):
+def mart(L, name: str, as_of: _dt.date, semantics: str = "literal", plan: str = "factorised", **options):
     """One mart as a DataFrame.
 
     ``semantics="literal"`` reproduces the reference (default-filled LEFT
     JOINs, fan-out, tombstones filtered on the driving table only);
     ``plan`` picks the factorised (default) or the chained-join plan for the
     marts that fan out. ``semantics="strict"`` is the fan-out-free reading.
+    ``options`` go to the mart (e.g. ``approx=True`` for the engagement mart).
     """
     from tidemart.plans import marts as M
     from tidemart.plans import marts_strict as S
@@ -38,4 +39,4 @@ def mart(L, name: str, as_of: _dt.date, semantics: str = "literal", plan: str =
     if semantics != "literal":
         raise ValueError(f"unknown semantics {semantics!r}")
     fn = M.MARTS[name]
-    return fn(L, as_of, plan=plan) if name in M.FACTORISED else fn(L, as_of)
+    return fn(L, as_of, plan=plan, **options) if name in M.FACTORISED else fn(L, as_of, **options)

@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from tidemart.functions.exprs import (
     count_if, count_rows, day, dec_avg, dec_div, greatest0, hour_boundaries, rate_if,
-    ratio, sum_if, sum_or_zero, top1, uniq,
+    ratio, sum_if, sum_or_zero, top1, top1_approx, uniq, uniq_approx,
 )
 from tidemart.operators.joins import left_join_default, prefixed
 from tidemart.plans.landing import Landing
@@ -445,14 +445,19 @@ def daily_revenue_territory(L: Landing, as_of: _dt.date) -> DataFrame:
 # M7 agg_daily_engagement
 # ---------------------------------------------------------------------------
 
-def daily_engagement(L: Landing, as_of: _dt.date) -> DataFrame:
+def daily_engagement(L: Landing, as_of: _dt.date, approx: bool = False, rsd: float = 0.01) -> DataFrame:
+    """``approx=True``: HyperLogLog++ distinct counts (relative error ``rsd``)
+    and a top-k sketch for the most frequent event type — fixed-size state per
+    group instead of exact distinct sets, for very large orgs."""
     e = L.live("fact_engagement_raw", since=window_start(as_of)).filter(in_window("event_ts", as_of))
+    distinct = (lambda c: uniq_approx(c, rsd)) if approx else uniq
+    top = top1_approx("event_type") if approx else top1("event_type")
     return e.groupBy(day("event_ts").alias("metric_date"), "org_id").agg(
-        uniq("user_id").alias("active_users"),
-        uniq("session_id").alias("sessions"),
+        distinct("user_id").alias("active_users"),
+        distinct("session_id").alias("sessions"),
         F.avg("duration_secs").alias("avg_session_secs"),
         count_rows().alias("page_views"),
-        top1("event_type").alias("top_event_type"),
+        top.alias("top_event_type"),
     )
 
 
