@@ -13,7 +13,7 @@ from tidemart.operators.cdc import (
 )
 from tidemart.plans import views as V
 from tidemart.plans.landing import Landing
-from tidemart.plans.reports import cdc_lag, row_counts
+from tidemart.plans.reports import cdc_lag, freshness, row_counts
 from tidemart.plans.oracle_fixtures import FIXTURE_SQL, latest_sql, with_fixtures
 from tidemart.sources.copy import bounded_copy, insert_if_absent
 from tidemart.sources.changelog import LOG_START, po_change_log, po_mapping, po_source
@@ -160,6 +160,12 @@ def report_row_counts(spark, sf_dir):
     return row_counts(Landing.materialized(spark, sf_dir))
 
 
+def report_freshness(spark, sf_dir):
+    """R7 (monitor view): per landing table, newest arrival, newest version and
+    the age of the newest arrival at the report time."""
+    return _portable(freshness(Landing.materialized(spark, sf_dir), LAG_AS_OF))
+
+
 def report_cdc_lag(spark, sf_dir):
     """Log position vs applied position and freshness, for the PO change log
     when arrival batches 0..2 are applied."""
@@ -185,6 +191,7 @@ def queries() -> dict:
         "seed_insert_if_absent": seed_insert_if_absent,
         "report_row_counts": report_row_counts,
         "report_cdc_lag": report_cdc_lag,
+        "report_freshness": report_freshness,
     }
     for name in V.VIEWS:
         q[f"view_{name}"] = _view(name)
@@ -302,6 +309,16 @@ def _row_counts_sql() -> str:
 FROM counts""", [("counts", union)])
 
 
+def _freshness_sql() -> str:
+    union = "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, max(_cdc_synced_at) AS ts, max(_cdc_version) AS last_version FROM {t}"
+        for t in LANDING)
+    return with_fixtures(list(LANDING), f"""SELECT table_name,
+  strftime(ts, '%Y-%m-%d %H:%M:%S') AS last_synced_at, last_version,
+  CAST(epoch(TIMESTAMP '{LAG_AS_OF:%Y-%m-%d %H:%M:%S}') - epoch(ts) AS BIGINT) AS age_secs
+FROM fresh""", [("fresh", union)])
+
+
 def _lag_sql() -> str:
     return with_fixtures(["fact_po_raw"], f"""SELECT 'fact_po_raw' AS table_name,
   max(_cdc_version) AS log_version,
@@ -351,6 +368,7 @@ FROM res WHERE is_deleted = 0 GROUP BY status""", _log_ctes() + [("res", _dedup(
         "cdc_exclude_cols": _map_po_sql(tuple(EXCLUDED)),
         "report_row_counts": _row_counts_sql(),
         "report_cdc_lag": _lag_sql(),
+        "report_freshness": _freshness_sql(),
     }
     for name in V.VIEWS:
         out[f"view_{name}"] = V.view_sql(name)
