@@ -127,3 +127,14 @@ def test_write_target_by_type(spark):
     assert spark.read.parquet(path).count() == 6
     with pytest.raises(ValueError):
         write_target(spark.range(1), "BIGQUERY", "x")
+
+
+def test_content_tiebreak_is_stable_across_partitionings(spark):
+    from tidemart.sources.rows import landing_rows
+    rows = [{"id": 1, "po_date": "2001-07-20 10:00:00", "status": s} for s in (1, 2, 3, 4)]
+    log = landing_rows(spark, "fact_po_raw", rows)      # same key, version and arrival time
+    picks = {latest_version(log.repartition(n), PO.sort_key, content_tiebreak=True).first()["status"]
+             for n in (1, 2, 3, 4)}
+    picks |= {latest_version(log.orderBy(F.col("status").desc()).coalesce(1), PO.sort_key,
+                             content_tiebreak=True).first()["status"]}
+    assert len(picks) == 1
