@@ -138,3 +138,23 @@ def test_content_tiebreak_is_stable_across_partitionings(spark):
     picks |= {latest_version(log.orderBy(F.col("status").desc()).coalesce(1), PO.sort_key,
                              content_tiebreak=True).first()["status"]}
     assert len(picks) == 1
+
+
+def test_jdbc_snapshot_splits_into_key_ranges():
+    from tidemart.sources.copy import jdbc_snapshot
+    seen = {}
+
+    class Reader:
+        def jdbc(self, url, table, **kw):
+            seen.update(kw, url=url, table=table)
+            return "df"
+
+    class Session:
+        read = Reader()
+
+    # 73,336 rows at 50,000 rows per partition -> 2 key ranges
+    assert jdbc_snapshot(Session(), "jdbc:postgresql://db/x", "master_products", "id", 1, 73336, 73336) == "df"
+    assert seen["numPartitions"] == 2 and seen["column"] == "id"
+    assert (seen["lowerBound"], seen["upperBound"]) == (1, 73336)
+    jdbc_snapshot(Session(), "u", "t", "id", 1, 10, 10, rows_per_partition=100_000)
+    assert seen["numPartitions"] == 1
