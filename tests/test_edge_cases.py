@@ -251,3 +251,9 @@ def test_engagement_approximate_option(spark, landing_small):
         a = approx[k]
         assert abs(a["active_users"] - e["active_users"]) <= max(1, 0.05 * e["active_users"])
         assert a["page_views"] == e["page_views"]
+
+
+def test_strict_engagement_accepts_approx(spark, landing_small):
+    from tidemart import mart
+    df = mart(landing_small, "agg_daily_engagement", dt.date(2024, 1, 30), semantics="strict", approx=True)
+    assert df.count() == 397

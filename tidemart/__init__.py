@@ -35,7 +35,7 @@ def mart(L, name: str, as_of: _dt.date, semantics: str = "literal", plan: str =
     from tidemart.plans import marts as M
     from tidemart.plans import marts_strict as S
     if semantics == "strict":
-        return S.STRICT_MARTS[name](L, as_of)
+        return S.STRICT_MARTS[name](L, as_of, **options)
     if semantics != "literal":
         raise ValueError(f"unknown semantics {semantics!r}")
     fn = M.MARTS[name]

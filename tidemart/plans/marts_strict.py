@@ -166,8 +166,8 @@ def daily_revenue_territory(L: Landing, as_of: _dt.date) -> DataFrame:
     return M.daily_revenue_territory(_PkLanding(L), as_of)
 
 
-def daily_engagement(L: Landing, as_of: _dt.date) -> DataFrame:
-    return M.daily_engagement(_PkLanding(L), as_of)
+def daily_engagement(L: Landing, as_of: _dt.date, **options) -> DataFrame:
+    return M.daily_engagement(_PkLanding(L), as_of, **options)
 
 
 def snapshot_org(L: Landing, as_of: _dt.date) -> DataFrame:
