@@ -1,4 +1,5 @@
-"""Access to landing tables, whatever produced them (fixtures, stream, files)."""
+"""Access to landing tables, whatever produced them (fixtures, a stream, files,
+bucketed catalog tables), plus the shared per-application landing store."""
 
 from __future__ import annotations
 
