@@ -143,3 +143,16 @@ def test_run_all_marts_equals_direct_results(spark, landing_small):
         cols = R.read_mart(spark, root, name).drop("_etl_loaded_at", "month").columns
         assert cols == mart(landing_small, name, day).columns, name
         assert got == want, name
+
+
+def test_a_deleted_future_order_leaves_the_mart(spark):
+    """The window has no upper bound: a later month that no longer has rows is emptied."""
+    root = tempfile.mkdtemp(prefix="marts-", dir="/tmp")
+    org = [{"id": 2, "state": "s", "city_name": "c"}]
+    po = lambda day, deleted: {"id": 1, "buyer_org_id": 2, "supplier_org_id": 3, "po_date": day, "status": 5,
+                               "total_amount": 10, "is_deleted": deleted}
+    future = dt.datetime(2001, 10, 5)
+    for deleted in (0, 1):
+        L = make_landing(spark, {"fact_po_raw": [po(future, deleted)], "dim_organization_raw": org})
+        R.refresh_mart(spark, L, "agg_daily_revenue_territory", AS_OF, root)
+        assert R.read_mart(spark, root, "agg_daily_revenue_territory").count() == 1 - deleted

@@ -20,7 +20,7 @@ from conftest import SF001
 from tidemart.plans import marts as M
 from tidemart.plans.landing import Landing
 
-HOT = 1
+HOT = 2  # an organisation id of a customer: even
 HOT_TABLES = {"fact_po_raw": "buyer_org_id", "fact_rfq_raw": "buyer_org_id"}
 
 
@@ -44,10 +44,10 @@ def test_hot_buyer_snapshot_is_linear_and_exact(spark, skewed):
     assert len(got) == 1
     row = got[0]
 
-    po = skewed.live("fact_po_raw").filter("is_deleted = 0 AND buyer_org_id = 1")
-    n_rfq = skewed.latest("fact_rfq_raw").filter("buyer_org_id = 1").count()
-    open_rfq = skewed.latest("fact_rfq_raw").filter("buyer_org_id = 1 AND status NOT IN (3, 6, 12, 14)").count()
-    mov = skewed.latest("fact_inventory_movement_raw").filter("org_id = 1")
+    po = skewed.live("fact_po_raw").filter("is_deleted = 0 AND buyer_org_id = 2")
+    n_rfq = skewed.latest("fact_rfq_raw").filter("buyer_org_id = 2").count()
+    open_rfq = skewed.latest("fact_rfq_raw").filter("buyer_org_id = 2 AND status NOT IN (3, 6, 12, 14)").count()
+    mov = skewed.latest("fact_inventory_movement_raw").filter("org_id = 2")
     n_mov = mov.count()
     inv_value = mov.agg(F.sum(F.col("quantity") * F.col("unit_cost"))).first()[0]
     inv = skewed.latest("fact_invoice_raw").groupBy("po_id").agg(F.count(F.lit(1)).alias("ni"))
@@ -71,3 +71,29 @@ def test_hot_buyer_daily_marts_finish(spark, skewed):
     for fn in (M.daily_buyer, M.daily_supplier_spend, M.daily_revenue_territory):
         fn(skewed, dt.date(2001, 8, 1)).write.format("noop").mode("overwrite").save()
     assert time.time() - t0 < 180
+
+
+def test_one_very_large_buyer_does_not_fail_the_snapshot(spark):
+    """110,000 RFQs x 110,000 POs of one buyer: weights of 1.21e10 joined rows."""
+    from conftest import make_landing
+    n = 110_000
+    empty = make_landing(spark, {})
+
+    def grown(name, **cols):
+        t = empty.raw(name)
+        have = {"id": F.col("id") + 1, "_cdc_version": F.lit(1).cast("long"), **cols}
+        base = spark.range(n)
+        from tidemart.sources.schemas import type_default
+        return base.select(*[have[f.name].cast(f.dataType).alias(f.name) if f.name in have
+                             else type_default(f.dataType).alias(f.name) for f in t.schema.fields])
+    po = grown("fact_po_raw", buyer_org_id=F.lit(2), status=F.lit(1), total_amount=F.lit(1), po_date=F.lit("2001-07-01"))
+    rfq = grown("fact_rfq_raw", buyer_org_id=F.lit(2), status=F.lit(1), rfq_date=F.lit("2001-07-01"))
+    mov = spark.range(1).select(*[
+        {"id": F.lit(1), "org_id": F.lit(2), "quantity": F.lit("3"), "unit_cost": F.lit("0.0001")}.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
+        if f.name in ("id", "org_id", "quantity", "unit_cost") else __import__("tidemart.sources.schemas", fromlist=["x"]).type_default(f.dataType).alias(f.name)
+        for f in empty.raw("fact_inventory_movement_raw").schema.fields])
+    tables = {"fact_po_raw": po, "fact_rfq_raw": rfq, "fact_inventory_movement_raw": mov}
+    land = Landing(lambda t: tables[t] if t in tables else empty.raw(t))
+    row = M.snapshot_org(land, dt.date(2001, 8, 1)).first()
+    assert row["open_po_count"] == n * n and row["open_rfq_count"] == n * n and row["pending_invoices"] == n * n
+    assert row["open_po_value"] == Decimal(n * n) and row["inventory_value"] == Decimal(n * n) * Decimal("0.0003")

@@ -2,8 +2,12 @@
 rows equal the batch reading; restart and replay are idempotent."""
 
 import datetime as dt
+import json
+import os
 import tempfile
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from conftest import SF0001
@@ -24,6 +28,14 @@ def _rows(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
+def _checkpoint(stream_id):
+    """A folder like a stream's checkpoint, for calling a batch function directly."""
+    path = tempfile.mkdtemp(prefix="ckpt-", dir="/tmp")
+    with open(f"{path}/metadata", "w") as f:
+        json.dump({"id": stream_id}, f)
+    return path
+
+
 def _write_batches(log, feed_dir, batches):
     for b in batches:
         (to_envelope(log.filter(F.col("_batch") == b).drop("_batch"), "fact_po_raw")
@@ -42,14 +54,14 @@ def test_stream_lands_change_log_idempotently(spark):
     _write_batches(log, feed, [0, 2])
     # restart on the same checkpoint: only the new files are read
     land_changes(change_feed(spark, feed, max_files_per_trigger=1), root, ckpt, ["fact_po_raw"]).awaitTermination()
-    landed = read_landed(spark, root, "fact_po_raw")
+    landed = read_landed(spark, root, "fact_po_raw").drop("month")
     assert landed.count() == log.count()
     expected = latest_live(log.drop("_batch"), PO_KEY)
     assert _rows(latest_live(landed, PO_KEY)) == _rows(expected)
     # a replayed batch (duplicate delivery) changes nothing once versions resolve
     _write_batches(log, feed, [1])
     land_changes(change_feed(spark, feed), root, ckpt, ["fact_po_raw"]).awaitTermination()
-    landed = read_landed(spark, root, "fact_po_raw")
+    landed = read_landed(spark, root, "fact_po_raw").drop("month")
     assert landed.count() > log.count()
     assert _rows(latest_live(landed, PO_KEY)) == _rows(expected)
     log.unpersist()
@@ -109,7 +121,7 @@ def test_pipeline_feed_to_marts_equals_batch(spark, landing_small):
         to_envelope(landing_small.raw(t), t).write.mode("append").parquet(feed)
     as_of = dt.date(2001, 8, 1)
     start_pipeline(change_feed(spark, feed), land, marts, tables, lambda: as_of, group="agg",
-                   checkpoint=f"{base}/ckpt").awaitTermination()
+                   checkpoint=f"{base}/ckpt", refresh_every=0).awaitTermination()
     batch_root = f"{base}/batch"
     for name in ["agg_daily_category_spend", "agg_daily_revenue_territory"]:
         R.refresh_mart(spark, landing_small, name, as_of, batch_root)
@@ -140,13 +152,83 @@ def test_upsert_replayed_batch_id_is_idempotent(spark):
     log = po_change_log(fx, with_batch=True)
     env = {b: to_envelope(log.filter(F.col("_batch") == b).drop("_batch"), "fact_po_raw") for b in range(4)}
     state = tempfile.mkdtemp(prefix="upsert-", dir="/tmp") + "/state"
-    write = upsert_writer(state, "fact_po_raw")
+    ckpt = _checkpoint("u")
+    write = upsert_writer(state, "fact_po_raw", ckpt)
     for b in range(4):
         write(env[b], b)
     once = _rows(read_state(spark, state, "fact_po_raw"))
     write(env[3], 3)            # the last batch delivered again under the same id
-    write(env[2], 2)            # an earlier one too: rebuilt from its predecessor
+    write(env[2], 2)            # an earlier one too: its versions lose or tie
     write(env[3], 3)
     assert _rows(read_state(spark, state, "fact_po_raw")) == once
     cols = [f.name for f in LANDING["fact_po_raw"].schema.fields]
     assert once == _rows(latest_version(log.drop("_batch"), PO_KEY).select(*cols))
+
+
+def _envelope(spark, rows):
+    from tidemart.streaming.apply import ENVELOPE
+    at = dt.datetime(2024, 2, 1)
+    return spark.createDataFrame([(t, v, 0, at, p) for t, v, p in rows], ENVELOPE)
+
+
+def test_two_feeds_and_a_lost_checkpoint_erase_nothing(spark):
+    from tidemart.streaming.apply import batch_writer
+    root = tempfile.mkdtemp(prefix="land-", dir="/tmp") + "/landing"
+    one, two, new = (_checkpoint(x) for x in ("one", "two", "new"))
+    row = lambda i: _envelope(spark, [("fact_po_raw", 1, json.dumps({"id": i, "buyer_org_id": 2, "po_date": "2001-05-06T00:00:00"}))])
+    batch_writer(root, ["fact_po_raw", "fact_rfq_raw"], "a", one)(row(1), 0)
+    batch_writer(root, ["fact_po_raw"], "b", two)(row(2), 0)
+    batch_writer(root, ["fact_po_raw"], "a", one)(row(1), 0)      # a restart replays its batch
+    batch_writer(root, ["fact_po_raw"], "a", new)(row(3), 0)      # its checkpoint was lost and the feed trimmed
+    landed = read_landed(spark, root, "fact_po_raw")
+    assert sorted(r["id"] for r in landed.collect()) == [1, 2, 3]
+    assert {r["month"] for r in landed.collect()} == {200105}
+    assert read_landed(spark, root, "fact_rfq_raw").count() == 0
+    assert not os.path.exists(f"{root}/fact_rfq_raw")             # no folder for a table without records
+
+
+def test_malformed_and_unlisted_records_are_kept_aside(spark):
+    from tidemart.streaming.apply import TooManyRejects, batch_writer, read_rejected
+    root = tempfile.mkdtemp(prefix="land-", dir="/tmp") + "/landing"
+    batch = _envelope(spark, [("fact_po_raw", 1, "{broken"), ("fact_po_raw", 1, '{"id":"abc"}'), ("other", 1, "{}"),
+                              ("fact_po_raw", 1, "null"), ("fact_po_raw", 1, '{"id":7,"status":null}')])
+    batch_writer(root, ["fact_po_raw"], "s", _checkpoint("s"), max_malformed=0.9)(batch, 0)
+    assert [(r["id"], r["status"]) for r in read_landed(spark, root, "fact_po_raw").collect()] == [(7, 0)]
+    got = sorted((r["reason"], r["payload"]) for r in read_rejected(spark, root).collect())
+    assert got == [("malformed payload", "null"), ("malformed payload", '{"id":"abc"}'), ("malformed payload", "{broken"),
+                   ("unlisted table", "{}")]
+    with pytest.raises(TooManyRejects):
+        batch_writer(root, ["fact_po_raw"], "s", _checkpoint("t"))(batch, 0)
+
+
+def test_upsert_survives_a_crash_before_commit(spark):
+    from tidemart.streaming.apply import read_state, upsert_writer
+    state, ckpt = tempfile.mkdtemp(prefix="upsert-", dir="/tmp") + "/state", _checkpoint("c")
+    write = upsert_writer(state, "fact_po_raw", ckpt)
+    row = lambda i, v: ("fact_po_raw", v, json.dumps({"id": i, "buyer_org_id": 2, "po_date": "2001-05-06T00:00:00"}))
+    write(_envelope(spark, [row(1, 1), row(2, 1)]), 0)
+    os.makedirs(f"{state}/gen-000000001-c-1")                     # a generation that was never committed
+    assert read_state(spark, state, "fact_po_raw").count() == 2
+    write(_envelope(spark, [row(2, 2)]), 1)
+    got = {r["id"]: r["_cdc_version"] for r in read_state(spark, state, "fact_po_raw").collect()}
+    assert got == {1: 1, 2: 2}
+    for b in range(2, 6):
+        write(_envelope(spark, [row(2, b + 1)]), b)
+    assert len([n for n in os.listdir(state) if n.startswith("gen-")]) <= 3
+    upsert_writer(state, "fact_po_raw", _checkpoint("lost"))(_envelope(spark, [row(3, 1)]), 0)
+    assert sorted(r["id"] for r in read_state(spark, state, "fact_po_raw").collect()) == [1, 2, 3]
+
+
+def test_pipeline_raises_when_a_mart_fails(spark, landing_small, monkeypatch):
+    from tidemart.plans import refresh as R
+    from tidemart.streaming.pipeline import start_pipeline
+    base = tempfile.mkdtemp(prefix="pipe-", dir="/tmp")
+    to_envelope(landing_small.raw("fact_po_raw"), "fact_po_raw").write.parquet(f"{base}/feed")
+
+    def broken(*args, **kwargs):
+        raise ValueError("no mart today")
+    monkeypatch.setattr(R, "refresh_mart", broken)
+    q = start_pipeline(change_feed(spark, f"{base}/feed"), f"{base}/land", f"{base}/marts", ["fact_po_raw"],
+                       lambda: dt.date(2001, 8, 1), checkpoint=f"{base}/ckpt")
+    with pytest.raises(Exception, match="no mart today"):
+        q.awaitTermination()

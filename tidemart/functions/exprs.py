@@ -79,16 +79,28 @@ def top1_approx(x, name: str | None = None) -> Column:
     return F.expr(f"approx_top_k(`{col}`, 1)")[0]["item"]
 
 
-def dec_div(num, den, scale: int = 4, precision: int = 18) -> Column:
-    """``num / den`` for a decimal ``num`` and a row-count ``den``, rounded
-    half-up once to ``Decimal(precision, scale)``.
+INT38 = T.DecimalType(38, 0)
 
-    The operands are narrowed first so Spark keeps 15+ fractional digits in
-    the quotient (no double rounding through an intermediate 8-digit scale).
+
+def shifted(x: Column, places: int) -> Column:
+    """A decimal with at most ``places`` fraction digits as the integer x * 10^places."""
+    return F.try_multiply(x, F.lit(10 ** places).cast(T.DecimalType(places + 1, 0))).cast(INT38)
+
+
+def dec_div(num, den, scale: int = 4) -> Column:
+    """``num / den`` for a decimal ``num`` (4 fraction digits at most) and a
+    non-negative integer ``den`` of any size, rounded half-up once to
+    ``Decimal(18, 4)``; NULL for ``den`` 0.
+
+    Integer arithmetic on up to 38 digits, (2 |n| + d) div 2 d, so nothing is
+    rounded on the way. A sum that leaves 38 digits gives NULL, not an error.
     """
-    n = _c(num).cast(T.DecimalType(24, scale))
-    d = _c(den).cast(T.DecimalType(12, 0))
-    return F.when(d == 0, F.lit(None)).otherwise(n / d).cast(T.DecimalType(precision, scale))
+    d = _c(den).cast(INT38)
+    n = shifted(_c(num).cast(T.DecimalType(38, scale)), scale)
+    q = F.call_function("div", F.try_add(F.try_multiply(F.abs(n), F.lit(2).cast(T.DecimalType(1, 0))), d),
+                        F.when(d != 0, F.try_multiply(d, F.lit(2).cast(T.DecimalType(1, 0)))))
+    units = F.sign(n.cast("double")).cast("long") * q
+    return F.try_multiply(units.cast(T.DecimalType(19, 0)), F.lit(0.0001).cast(T.DecimalType(5, 4))).try_cast(D184)
 
 
 def dec_avg(x, scale: int = 4) -> Column:
@@ -164,7 +176,3 @@ def pretty_size(x) -> Column:
                       F.concat(F.format_string("%.0f", F.round(v / F.lit(base))), F.lit(" " + unit))
                       ).otherwise(expr)
     return expr
-
-
-def to_d184(x) -> Column:
-    return _c(x).cast(D184)

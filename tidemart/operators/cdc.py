@@ -173,20 +173,18 @@ def write_compacted(df: DataFrame, table: str | LandingTable, path: str,
     w.parquet(path)
 
 
-def latest_live_incremental(base: DataFrame, tail: DataFrame, key: Sequence[str],
-                            max_tail_keys: int = 1_000_000) -> DataFrame:
+def latest_live_incremental(base: DataFrame, tail: DataFrame, key: Sequence[str]) -> DataFrame:
     """C8 + C9 at scale: live rows of ``base`` (compacted: one version per key,
     tombstones kept) with a change ``tail`` applied.
 
     Only keys present in the tail are re-deduplicated. The tail's distinct keys
-    are broadcast when a bounded count proves them small, so the (large,
-    compacted) base is filtered map-side by a semi and an anti join and never
-    shuffled as a whole; above the bound the same joins run as shuffles.
+    are an aggregate, so AQE broadcasts them when their measured size is small
+    and the (large, compacted) base is then filtered map-side by a semi and an
+    anti join; otherwise the same joins run as shuffles.
     Equal to ``latest_live(base ∪ tail)``, including tail rows older than the
     base version (late replays lose to the base).
     """
-    from tidemart.operators.joins import maybe_broadcast
-    keys = maybe_broadcast(tail.select(*key).distinct(), max_tail_keys)
+    keys = tail.select(*key).distinct()
     touched = base.join(keys, list(key), "left_semi")
     untouched = base.join(keys, list(key), "left_anti")
     merged = latest_version(touched.unionByName(tail), key)

@@ -1,4 +1,4 @@
-"""Join helpers: default-filling LEFT JOIN and size-checked broadcast."""
+"""Join helpers: default-filling LEFT JOIN."""
 
 from __future__ import annotations
 
@@ -9,11 +9,6 @@ from pyspark.sql import functions as F
 
 from tidemart.sources.schemas import type_default
 
-# A side is broadcast only after a bounded count proves it has at most this
-# many rows; otherwise the planner (with AQE's measured sizes) decides. Used
-# only for narrow key sets (one to three id columns: some tens of MB at most).
-BROADCAST_MAX_ROWS = 1_000_000
-
 
 def prefixed(df: DataFrame, prefix: str, cols: Iterable[str] | None = None) -> DataFrame:
     """Rename columns to ``<prefix><name>`` so chained joins stay unambiguous."""
@@ -36,18 +31,3 @@ def left_join_default(left: DataFrame, right: DataFrame, on: Column,
         *[F.col(c) for c in left.columns],
         *[F.coalesce(F.col(c), type_default(rtypes[c])).alias(c) for c in rcols],
     )
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    A ``limit(max_rows + 1).count()`` stops reading once the bound is
-    exceeded, so the check costs at most ``max_rows`` rows of scan.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint behind a proven row bound; else leave the choice to the
-    planner (sort-merge join, or AQE's runtime broadcast from measured sizes)."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df

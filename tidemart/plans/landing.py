@@ -162,6 +162,22 @@ class Landing:
         raw = self.raw(name).join(keys.distinct(), list(keys.columns), "left_semi")
         return latest_live(raw, key) if live else latest_version(raw, key)
 
+    def latest_referring(self, name: str, values: DataFrame, key_mode: str = "sort_key",
+                         live: bool = False) -> DataFrame:
+        """Newest version of the rows of ``name`` of which *some* version holds one of
+        ``values`` (columns named like the table's, not all in its key).
+
+        Two steps, so that no older version revives: the keys of raw rows that hold
+        a value, then a semi join of the raw rows with these keys before the
+        dedup. A row whose newest version holds a value is among them, since that
+        version is a raw row too; rows whose newest version holds another value are
+        left to the caller's join."""
+        key = LANDING[name].key(key_mode)
+        raw = self.raw(name)
+        touched = raw.join(values.distinct(), list(values.columns), "left_semi").select(*key).distinct()
+        rows = raw.join(touched, list(key), "left_semi")
+        return latest_live(rows, key) if live else latest_version(rows, key)
+
     def _since(self, name: str, key, since: _dt.date | None) -> DataFrame:
         t = LANDING[name]
         raw = self.raw(name)
@@ -172,10 +188,26 @@ class Landing:
         return raw.filter(F.col(t.month_of) >= ts_lit(since))
 
 
+# Columns of the landing tables that some mart reads, besides their keys.
+USED_COLUMNS = {
+    "fact_po_raw": ["id", "buyer_org_id", "supplier_org_id", "po_date", "status", "total_amount", "is_deleted"],
+    "fact_po_item_raw": ["id", "po_id", "category_id", "total_price", "unit_price"],
+    "fact_rfq_raw": ["id", "buyer_org_id", "status", "rfq_date", "quote_count", "total_budget"],
+    "fact_rfq_quote_raw": ["id", "rfq_id", "supplier_org_id", "status", "quoted_at"],
+    "fact_invoice_raw": ["id", "po_id", "status", "amount", "paid_amount"],
+    "fact_delivery_raw": ["id", "po_id", "delay_days"],
+    "fact_rating_raw": ["id", "rater_org_id", "rated_org_id", "rated_at", "rating"],
+    "fact_inventory_movement_raw": ["id", "org_id", "warehouse_id", "product_id", "movement_type", "quantity", "unit_cost"],
+    "fact_engagement_raw": ["id", "org_id", "user_id", "session_id", "event_type", "duration_secs", "event_ts"],
+    "dim_organization_raw": ["id", "state", "city_name"],
+}
+
+
 class SharedReadings(Landing):
     """A Landing whose deduplicated readings are computed once and shared by
-    every mart of one refresh pass (``persist``; lost blocks are recomputed
-    from lineage). ``release()`` frees them at the end of the pass."""
+    every mart of one refresh pass (``persist`` of the columns that marts use; lost
+    blocks are recomputed from lineage). ``release()`` frees them at the end of the
+    pass."""
 
     def __init__(self, inner: Landing):
         super().__init__(inner.raw)
@@ -188,7 +220,9 @@ class SharedReadings(Landing):
         with self._lock:
             if k not in self._memo:
                 fn = self._inner.live if kind == "live" else self._inner.latest
-                self._memo[k] = fn(name, key_mode=key_mode, since=since).persist(StorageLevel.MEMORY_AND_DISK)
+                df = fn(name, key_mode=key_mode, since=since)
+                wanted = {*USED_COLUMNS.get(name, df.columns), *LANDING[name].key(key_mode)}
+                self._memo[k] = df.select(*[c for c in df.columns if c in wanted]).persist(StorageLevel.MEMORY_AND_DISK)
             return self._memo[k]
 
     def live(self, name: str, key_mode: str = "sort_key", since: _dt.date | None = None) -> DataFrame:
@@ -197,6 +231,9 @@ class SharedReadings(Landing):
     def latest(self, name: str, key_mode: str = "sort_key", since: _dt.date | None = None) -> DataFrame:
         return self._get("latest", name, key_mode, since)
 
+    def latest_referring(self, name, values, key_mode="sort_key", live=False):
+        return self._inner.latest_referring(name, values, key_mode, live)
+
     def latest_for_keys(self, name, keys, key_mode="sort_key", live=False):
         return self._inner.latest_for_keys(name, keys, key_mode, live)
 

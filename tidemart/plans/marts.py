@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemart.functions.exprs import (
-    count_if, count_rows, day, dec_avg, dec_div, greatest0, hour_boundaries, rate_if,
-    ratio, sum_if, sum_or_zero, top1, top1_approx, uniq, uniq_approx,
+    avg_if, count_if, count_rows, day, dec_avg, dec_div, greatest0, hour_boundaries, rate_if,
+    ratio, shifted, sum_if, sum_or_zero, top1, top1_approx, uniq, uniq_approx,
 )
 from tidemart.operators.joins import left_join_default, prefixed
 from tidemart.plans.landing import Landing
@@ -44,6 +44,7 @@ QUOTE_WON = [6, 11, 14]
 INVOICE_SETTLED = ["paid", "cancelled"]
 
 DEC_WIDE = T.DecimalType(38, 4)
+INT38 = T.DecimalType(38, 0)
 
 
 def window_start(as_of: _dt.date) -> _dt.date:
@@ -66,7 +67,24 @@ def _at_least_one(c: Column) -> Column:
 
 
 def _dec(c: Column) -> Column:
-    return c.cast(D184)
+    """A value in the published Decimal(18,4); NULL in the one group whose value
+    does not fit (``refresh.run`` names such groups), so others still load."""
+    return c.try_cast(D184)
+
+
+def _times(first: Column, *rest: Column) -> Column:
+    """Product of weights in up to 38 digits (fan-out products leave BIGINT long
+    before they leave that; beyond, NULL)."""
+    out = first
+    for c in rest:
+        out = F.try_multiply(out, c.cast(INT38))
+    return out
+
+
+def _count(*weights: Column) -> Column:
+    """A joined-row count as a product of weights, published as BIGINT (NULL in a
+    group whose count does not fit)."""
+    return _times(weights[0].cast(INT38), *weights[1:]).try_cast("long")
 
 
 def _hour_index(ts) -> Column:
@@ -81,10 +99,17 @@ def _po_scope(L: Landing, as_of: _dt.date | None) -> DataFrame:
     return p.filter(in_window("po_date", as_of))
 
 
+def _po_ids(L: Landing, as_of: _dt.date) -> DataFrame:
+    """po_id of every raw PO row of the window: a superset of the window's POs that
+    costs a scan of two columns instead of a second dedup."""
+    return L.raw("fact_po_raw").filter(in_window("po_date", as_of)).select(F.col("id").alias("po_id"))
+
+
 # ---------------------------------------------------------------------------
 # M1 agg_daily_buyer
 # ---------------------------------------------------------------------------
 
+# The published columns of each mart (M1_COLS ... M8_COLS).
 M1_COLS = ["metric_date", "org_id", "po_count", "po_approved_count", "po_pending_count",
            "po_cancelled_count", "total_spend", "approved_spend", "rfq_count", "rfq_awarded_count",
            "quote_received", "avg_quote_per_rfq", "invoice_count", "invoice_paid", "invoice_overdue",
@@ -95,10 +120,12 @@ def daily_buyer(L: Landing, as_of: _dt.date, plan: str = "factorised") -> DataFr
     p = _po_scope(L, as_of)
     start = window_start(as_of)
     # RFQs and ratings join on their own key date = the PO day (>= start): the
-    # range goes below their dedup; invoices and deliveries join on po_id only
+    # range goes below their dedup; invoices and deliveries join on po_id, so only
+    # those that refer to a PO of the window are deduplicated
     r = L.latest("fact_rfq_raw", since=start)
-    i = L.latest("fact_invoice_raw")
-    d = L.latest("fact_delivery_raw")
+    po_ids = _po_ids(L, as_of)
+    i = L.latest_referring("fact_invoice_raw", po_ids)
+    d = L.latest_referring("fact_delivery_raw", po_ids)
     rt = L.latest("fact_rating_raw", since=start)
     if plan == "joins":
         j = prefixed(p.select("id", "buyer_org_id", "po_date", "status", "total_amount"), "p_")
@@ -119,7 +146,7 @@ def daily_buyer(L: Landing, as_of: _dt.date, plan: str = "factorised") -> DataFr
             uniq("r_id").alias("rfq_count"),
             count_if(F.col("r_status") == RFQ_AWARDED).alias("rfq_awarded_count"),
             sum_or_zero("r_quote_count").cast("long").alias("quote_received"),
-            F.avg(F.when(F.col("r_quote_count") > 0, F.col("r_quote_count"))).alias("avg_quote_per_rfq"),
+            avg_if("r_quote_count", F.col("r_quote_count") > 0).alias("avg_quote_per_rfq"),
             uniq("i_id").alias("invoice_count"),
             count_if(F.col("i_status") == "paid").alias("invoice_paid"),
             count_if(F.col("i_status") == "overdue").alias("invoice_overdue"),
@@ -163,31 +190,30 @@ def daily_buyer(L: Landing, as_of: _dt.date, plan: str = "factorised") -> DataFr
     rfq = r.groupBy(day("rfq_date").alias("metric_date"), F.col("buyer_org_id").alias("org_id")).agg(
         count_rows().alias("nr"), uniq("id").alias("r_ids"),
         count_if(F.col("status") == RFQ_AWARDED).alias("r_awarded"),
-        F.sum(rq).alias("r_quotes"), F.avg(F.when(rq > 0, rq)).alias("avg_quote_per_rfq"))
+        F.sum(rq).alias("r_quotes"), avg_if(rq, rq > 0).alias("avg_quote_per_rfq"))
     rat = rt.groupBy(day("rated_at").alias("metric_date"), F.col("rater_org_id").alias("org_id")).agg(
         count_rows().alias("nt"), F.sum("rating").alias("st"))
     keys = ["metric_date", "org_id"]
     g = per_g.join(uniq_inv, keys, "left").join(rfq, keys, "left").join(rat, keys, "left")
     n_R, n_T = _at_least_one(F.col("nr")), _at_least_one(F.col("nt"))
-    mult = n_R * n_T
     W = F.col("W")
     return g.select(
         "metric_date", "org_id",
-        (mult * W).alias("po_count"),
-        (mult * F.col("W_appr")).alias("po_approved_count"),
-        (mult * F.col("W_pend")).alias("po_pending_count"),
-        (mult * F.col("W_canc")).alias("po_cancelled_count"),
-        _dec(F.col("S") * mult).alias("total_spend"),
-        _dec(F.col("S_appr") * mult).alias("approved_spend"),
+        _count(n_R, n_T, W).alias("po_count"),
+        _count(n_R, n_T, F.col("W_appr")).alias("po_approved_count"),
+        _count(n_R, n_T, F.col("W_pend")).alias("po_pending_count"),
+        _count(n_R, n_T, F.col("W_canc")).alias("po_cancelled_count"),
+        _dec(_times(F.col("S"), n_R, n_T)).alias("total_spend"),
+        _dec(_times(F.col("S_appr"), n_R, n_T)).alias("approved_spend"),
         F.when(F.col("nr") > 0, F.col("r_ids")).otherwise(F.lit(1)).alias("rfq_count"),
-        (F.coalesce(F.col("r_awarded"), F.lit(0)) * n_T * W).alias("rfq_awarded_count"),
-        (F.coalesce(F.col("r_quotes"), F.lit(0)) * n_T * W).cast("long").alias("quote_received"),
+        _count(F.coalesce(F.col("r_awarded"), F.lit(0)), n_T, W).alias("rfq_awarded_count"),
+        _count(F.coalesce(F.col("r_quotes"), F.lit(0)), n_T, W).alias("quote_received"),
         F.col("avg_quote_per_rfq"),
         (F.coalesce(F.col("inv_ids"), F.lit(0))
          + F.when(F.col("po_without_invoice") & ~F.coalesce(F.col("has_id0"), F.lit(False)), 1).otherwise(0)
          ).alias("invoice_count"),
-        (mult * F.col("PAID")).alias("invoice_paid"),
-        (mult * F.col("OVER")).alias("invoice_overdue"),
+        _count(n_R, n_T, F.col("PAID")).alias("invoice_paid"),
+        _count(n_R, n_T, F.col("OVER")).alias("invoice_overdue"),
         (F.col("OT").cast("double") / W.cast("double")).alias("on_time_delivery_rate"),
         (F.coalesce(F.col("st"), F.lit(0.0)) / n_T.cast("double")).alias("avg_supplier_rating"),
     )
@@ -213,7 +239,10 @@ def daily_seller(L: Landing, as_of: _dt.date, plan: str = "factorised") -> DataF
     r = L.latest_for_keys("fact_rfq_raw", quoted.select(F.col("rfq_id").alias("id")))
     # POs and ratings join on their key date = the quote day (>= start)
     p = L.latest("fact_po_raw", since=start)
-    d = L.latest("fact_delivery_raw")
+    # deliveries of these POs, and of the default PO id 0
+    po_ids = L.raw("fact_po_raw").filter(F.col("po_date") >= ts_lit(start)).select(F.col("id").alias("po_id"))
+    zero = L.raw("fact_delivery_raw").filter(F.col("po_id") == 0).select("po_id")
+    d = L.latest_referring("fact_delivery_raw", po_ids.unionByName(zero))
     rt = L.latest("fact_rating_raw", since=start)
     won = F.col("q_status").isin(QUOTE_WON)
     if plan == "joins":
@@ -271,17 +300,17 @@ def daily_seller(L: Landing, as_of: _dt.date, plan: str = "factorised") -> DataF
     SA = F.when(has_p, F.col("SA")).otherwise(F.lit(0).cast(D184))
     n_T = _at_least_one(F.col("nt"))
     Q = F.col("Q")
-    submitted = Q * NP * n_T
-    won_n = F.col("WON") * NP * n_T
+    submitted = _count(Q, NP, n_T)
+    won_n = _count(F.col("WON"), NP, n_T)
     return g.select(
         "metric_date", "org_id", "rfq_received",
         submitted.alias("quotes_submitted"),
         won_n.alias("quotes_won"),
-        ratio(won_n, submitted).alias("win_rate"),
-        _dec(SA * (Q * n_T)).alias("revenue"),
+        ratio(F.col("WON"), Q).alias("win_rate"),
+        _dec(_times(SA, Q, n_T)).alias("revenue"),
         dec_div(SA, NP).alias("avg_deal_size"),
         F.when(has_p, F.col("p_ids")).otherwise(F.lit(1).cast("long")).alias("po_received"),
-        (Q * n_T * OT).alias("po_fulfilled"),
+        _count(Q, n_T, OT).alias("po_fulfilled"),
         (OT.cast("double") / NP.cast("double")).alias("on_time_delivery"),
         (F.coalesce(F.col("st"), F.lit(0.0)) / n_T.cast("double")).alias("avg_buyer_rating"),
     )
@@ -292,7 +321,8 @@ def daily_seller(L: Landing, as_of: _dt.date, plan: str = "factorised") -> DataF
 # ---------------------------------------------------------------------------
 
 def daily_category_spend(L: Landing, as_of: _dt.date) -> DataFrame:
-    items = L.live("fact_po_item_raw")
+    # po_id is in the item key: only items of the window's POs are deduplicated
+    items = L.latest_for_keys("fact_po_item_raw", _po_ids(L, as_of), live=True)
     p = _po_scope(L, as_of).select("id", "buyer_org_id", "po_date")
     # pre-aggregate items per (PO, category) before the join shuffle
     pre = items.groupBy("po_id", "category_id").agg(
@@ -315,8 +345,9 @@ M4_COLS = ["metric_date", "buyer_org_id", "supplier_org_id", "po_count", "total_
 
 def daily_supplier_spend(L: Landing, as_of: _dt.date, plan: str = "factorised") -> DataFrame:
     p = _po_scope(L, as_of)
-    d = L.latest("fact_delivery_raw")
-    i = L.latest("fact_invoice_raw")
+    po_ids = _po_ids(L, as_of)
+    d = L.latest_referring("fact_delivery_raw", po_ids)
+    i = L.latest_referring("fact_invoice_raw", po_ids)
     rt = L.latest("fact_rating_raw", since=window_start(as_of))
     if plan == "joins":
         j = prefixed(p.select("id", "buyer_org_id", "supplier_org_id", "po_date", "total_amount"), "p_")
@@ -362,12 +393,12 @@ def daily_supplier_spend(L: Landing, as_of: _dt.date, plan: str = "factorised")
     W = F.col("W").cast("double")
     return g.select(
         *keys,
-        (n_T * F.col("W")).alias("po_count"),
-        _dec(F.col("S") * n_T).alias("total_spend"),
+        _count(n_T, F.col("W")).alias("po_count"),
+        _dec(_times(F.col("S"), n_T)).alias("total_spend"),
         (F.col("FD").cast("double") / W).alias("avg_delivery_days"),
         (F.col("OT").cast("double") / W).alias("on_time_rate"),
         (F.coalesce(F.col("st"), F.lit(0.0)) / n_T.cast("double")).alias("rating"),
-        _dec(F.col("OD") * n_T).alias("invoice_overdue_amt"),
+        _dec(_times(F.col("OD"), n_T)).alias("invoice_overdue_amt"),
     )
 
 
@@ -514,18 +545,17 @@ def snapshot_org(L: Landing, as_of: _dt.date, plan: str = "factorised") -> DataF
     g = per_b.join(rfq, "org_id", "left").join(mov, "org_id", "left")
     n_R, n_M = _at_least_one(F.col("nr")), _at_least_one(F.col("nm"))
     o_R = F.when(F.col("nr") > 0, F.col("or_")).otherwise(F.lit(1))
-    # V_M has 8 decimals: multiply in Decimal(27,8) x Decimal(10,0) so the
-    # product keeps all 8 before the single half-up cast to 4
-    v_m = F.coalesce(F.col("vm"), F.lit(0)).cast(T.DecimalType(27, 8))
-    weight = (n_R * F.col("NI")).cast(T.DecimalType(10, 0))
+    # V_M has 8 decimals: multiply as an integer of 10^-8 units by the integer
+    # weight, round half-up once to 10^-4 units, then place the decimal point
+    units = _times(shifted(F.coalesce(F.col("vm"), F.lit(0)).cast(T.DecimalType(38, 8)), 8), n_R, F.col("NI"))
     return g.select(
         snap, "org_id",
-        (n_R * n_M * F.col("OPEN")).alias("open_po_count"),
-        _dec(F.col("OPENV") * (n_R * n_M)).alias("open_po_value"),
-        (o_R * n_M * F.col("NI")).alias("open_rfq_count"),
-        (n_R * n_M * F.col("OI")).alias("pending_invoices"),
-        _dec(F.col("VI") * (n_R * n_M)).alias("pending_invoice_amt"),
-        _dec(v_m * weight).alias("inventory_value"),
+        _count(n_R, n_M, F.col("OPEN")).alias("open_po_count"),
+        _dec(_times(F.col("OPENV"), n_R, n_M)).alias("open_po_value"),
+        _count(o_R, n_M, F.col("NI")).alias("open_rfq_count"),
+        _count(n_R, n_M, F.col("OI")).alias("pending_invoices"),
+        _dec(_times(F.col("VI"), n_R, n_M)).alias("pending_invoice_amt"),
+        dec_div(units.cast(DEC_WIDE), F.lit(100_000_000)).alias("inventory_value"),
     )
 
 

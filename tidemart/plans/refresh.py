@@ -27,7 +27,6 @@ import datetime as _dt
 import time
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,12 +35,24 @@ from tidemart.functions.exprs import yyyymm
 from tidemart.operators.cdc import latest_version
 from tidemart.plans import marts as M
 from tidemart.plans.landing import Landing, SharedReadings
-from tidemart.session import scratch_path
+from tidemart.session import child_names, delete_path, scratch_path
 from tidemart.sources.schemas import MART_DATE_COL, MART_KEYS, ts_lit
 
 LOADED_AT = "_etl_loaded_at"
 AGG_GROUP = [n for n in M.MARTS if n.startswith("agg_")]
 SNAPSHOT_GROUP = [n for n in M.MARTS if n.startswith("snapshot_")]
+# Columns that are NULL only if their value does not fit the published type.
+_NEVER_NULL = {
+    "agg_daily_buyer": ["po_count", "total_spend", "approved_spend", "rfq_awarded_count", "quote_received",
+                        "invoice_paid", "invoice_overdue"],
+    "agg_daily_seller": ["quotes_submitted", "quotes_won", "revenue", "po_fulfilled"],
+    "agg_daily_supplier_spend": ["po_count", "total_spend", "invoice_overdue_amt"],
+    "agg_daily_category_spend": ["total_spend"],
+    "agg_daily_revenue_territory": ["revenue"],
+    "agg_daily_rfq_pipeline": ["pipeline_value"],
+    "snapshot_org_daily": ["open_po_count", "open_po_value", "open_rfq_count", "pending_invoices",
+                           "pending_invoice_amt", "inventory_value"],
+}
 GROUPS = {"agg": AGG_GROUP, "snapshot": SNAPSHOT_GROUP, "all": AGG_GROUP + SNAPSHOT_GROUP}
 
 
@@ -53,12 +64,9 @@ def _months_between(a: _dt.date, b: _dt.date) -> list[int]:
     return out
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema  # resolves the file listing only
-        return True
-    except AnalysisException:
-        return False
+def _stored_months(spark: SparkSession, path: str) -> list[int]:
+    """Months of a mart table, from its partition folders."""
+    return [int(n.removeprefix("month=")) for n in child_names(spark, path) if n.startswith("month=")]
 
 
 def mart_result(L: Landing, name: str, as_of: _dt.date, loaded_at: _dt.datetime | None = None,
@@ -71,8 +79,9 @@ def mart_result(L: Landing, name: str, as_of: _dt.date, loaded_at: _dt.datetime
 
 def refresh_mart(spark: SparkSession, L: Landing, name: str, as_of: _dt.date, root: str,
                  mode: str = "replace_window", loaded_at: _dt.datetime | None = None,
-                 semantics: str = "literal") -> int:
-    """Refresh one mart table; returns the number of new rows written."""
+                 semantics: str = "literal") -> tuple[int, int]:
+    """Refresh one mart table; returns the number of new rows written, and how many
+    of them hold a value that does not fit the published type (NULL there)."""
     path = f"{root.rstrip('/')}/{name}"
     date_col = MART_DATE_COL[name]
     staging = scratch_path(spark, "staging", f"{name}-{uuid.uuid4().hex}")
@@ -98,10 +107,13 @@ def refresh_mart(spark: SparkSession, L: Landing, name: str, as_of: _dt.date, ro
         survive = F.col(date_col) != F.lit(as_of)
     else:
         start = as_of - _dt.timedelta(days=M.WINDOW_DAYS)
-        affected = sorted(set(_months_between(start, as_of)) | set(new_months))
+        # the window has no upper bound: a later month that is stored is replaced
+        # too, else rows of a since deleted future-dated order would stay
+        later = [m for m in _stored_months(spark, path) if m >= start.year * 100 + start.month]
+        affected = sorted({*_months_between(start, as_of), *new_months, *later})
         survive = F.col(date_col) < F.lit(start)
 
-    if _exists(spark, path) and survive is not None:
+    if _stored_months(spark, path) and survive is not None:
         old = spark.read.schema(schema).parquet(path).filter(F.col("month").isin(affected)).filter(survive)
         merged = old.unionByName(new.filter(F.col("month").isin(affected)))
     else:
@@ -117,7 +129,11 @@ def refresh_mart(spark: SparkSession, L: Landing, name: str, as_of: _dt.date, ro
     for m in affected:
         if m not in present:
             spark.createDataFrame([], empty_schema).write.mode("overwrite").parquet(f"{path}/month={m}")
-    return n_rows
+    never = _NEVER_NULL.get(name)
+    unfit = new.filter(" OR ".join(f"{c} IS NULL" for c in never)).count() if never else 0
+    for folder in (staging, staged):
+        delete_path(spark, folder)
+    return n_rows, unfit
 
 
 def read_mart(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -142,10 +158,11 @@ def run(spark: SparkSession, L: Landing, root: str, as_of: _dt.date, group: str
             t0 = time.time()
             day = as_of_events if (name == "agg_daily_engagement" and as_of_events) else as_of
             try:
-                n = refresh_mart(spark, shared, name, day, root, mode=mode, semantics=semantics)
-                rows.append((name, "ok", n, round(time.time() - t0, 3), ""))
+                n, unfit = refresh_mart(spark, shared, name, day, root, mode=mode, semantics=semantics)
+                note = f"{unfit} groups hold a value beyond the published type (NULL)" if unfit else ""
+                rows.append((name, "ok", n, round(time.time() - t0, 3), note))
             except Exception as exc:  # noqa: BLE001 - isolation is the point
-                rows.append((name, "failed", 0, round(time.time() - t0, 3), str(exc)[:500]))
+                rows.append((name, "failed", 0, round(time.time() - t0, 3), str(exc)))
     finally:
         shared.release()
     return spark.createDataFrame(rows, "mart string, status string, rows long, seconds double, error string")
@@ -157,7 +174,7 @@ def refresh_status(spark: SparkSession, root: str, names: list[str] | None = Non
     parts = []
     for name in names or GROUPS["all"]:
         path = f"{root.rstrip('/')}/{name}"
-        if not _exists(spark, path):
+        if not _stored_months(spark, path):
             continue
         parts.append(read_mart(spark, root, name).agg(
             F.max(LOADED_AT).alias("last_refresh"), F.count(F.lit(1)).alias("rows"))

@@ -77,8 +77,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     A cluster names it in ``spark.checkpoint.dir``; it is read from the session
-    and used as is. Only when it is unset (local runs, tests) a scratch folder is
-    created and registered.
+    and used as is. Only when it is unset on a local master (tests, one machine) a
+    scratch folder is created and registered; on any other master an unset folder
+    is an error, since a local one would not be seen by the other machines.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     sc = _context(spark)
@@ -86,6 +87,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         # SparkContext appends a random child folder; use its parent.
         path = sc.getCheckpointDir().rsplit("/", 1)[0]
     if not path:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir is not set: a shared folder is needed on a cluster")
         key = app_id(spark)
         if key not in _LOCAL_DIRS:
             _LOCAL_DIRS[key] = tempfile.mkdtemp(prefix="tidemart-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
@@ -98,3 +102,25 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path below the shared checkpoint folder."""
     return "/".join([checkpoint_dir(spark), *parts])
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the path exists; an unreachable store is an error, not "no"."""
+    p, fs = _fs(spark, path)
+    return fs.exists(p)
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it does not exist."""
+    p, fs = _fs(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    p, fs = _fs(spark, path)
+    fs.delete(p, True)

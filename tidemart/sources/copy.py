@@ -8,8 +8,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.operators.joins import maybe_broadcast
-
 
 def jdbc_snapshot(spark: SparkSession, url: str, table: str, pk: str, lower: int, upper: int,
                   rows: int, rows_per_partition: int = 50_000, properties: dict | None = None) -> DataFrame:
@@ -28,14 +26,12 @@ def bounded_copy(df: DataFrame, n: int, order_by: Sequence[str | Column]) -> Dat
 
 
 def insert_if_absent(new: DataFrame, existing: DataFrame, pk: Sequence[str],
-                     first_by: Sequence[str | Column] | None = None,
-                     max_broadcast_rows: int = 1_000_000) -> DataFrame:
+                     first_by: Sequence[str | Column] | None = None) -> DataFrame:
     """``INSERT ... ON CONFLICT DO NOTHING``: the rows of ``new`` whose key
     is not in ``existing``; among new rows sharing a key the first by
     ``first_by`` wins. Returns only the rows to append."""
     cand = _first_per_key(new, pk, first_by) if first_by else new.dropDuplicates(list(pk))
-    keys = existing.select(*pk).distinct()
-    return cand.join(maybe_broadcast(keys, max_broadcast_rows), list(pk), "left_anti").select(*new.columns)
+    return cand.join(existing.select(*pk), list(pk), "left_anti").select(*new.columns)
 
 
 def _first_per_key(df: DataFrame, pk: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
@@ -56,11 +52,16 @@ class ResultTooLarge(RuntimeError):
     pass
 
 
-def guard_result_size(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """``max_result_rows`` with overflow = throw, checked before any
-    collect with a bounded count (reads at most ``max_rows + 1`` rows)."""
-    if df.limit(max_rows + 1).count() > max_rows:
-        raise ResultTooLarge(f"result exceeds {max_rows} rows")
+def guard_result_size(df: DataFrame, max_rows: int = 1_000_000, max_bytes: int = 10 * 2 ** 30) -> DataFrame:
+    """``max_result_rows`` / ``max_result_bytes`` with overflow = throw,
+    checked before any collect by one partial aggregation over the result (rows,
+    and bytes of the rows as JSON text)."""
+    row = df.select(F.octet_length(F.to_json(F.struct(*df.columns))).alias("b")).agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("b"), F.lit(0)).alias("b")).first()
+    if row["n"] > max_rows:
+        raise ResultTooLarge(f"result has {row['n']} rows, more than {max_rows} rows")
+    if row["b"] > max_bytes:
+        raise ResultTooLarge(f"result has {row['b']} bytes, more than {max_bytes} bytes")
     return df
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemart.functions.exprs import dec_div
 from tidemart.sources.schemas import (
     D184, IS_DELETED, LANDING, SYNCED_AT, VERSION, ts_lit, type_default,
 )
@@ -24,8 +25,11 @@ from tidemart.sources.tables import TableSource
 # Arrival time and version of the base (single-version) fixtures.
 BASE_SYNCED_AT = _dt.datetime(2024, 2, 1, 0, 0, 0)
 BASE_VERSION = 1
-# Id offsets that keep derived id ranges apart.
-SUPPLIER_ORG_OFFSET = 1_000_000
+# Id offsets that keep derived id ranges apart, and the spans of
+# composed ids (order keys up to 10^10 fit BIGINT with each of them).
+PART_SPAN = 300_000_000
+SUPPLIER_SPAN = 100_000_000
+LINE_SPAN = 100_000_000
 RFQ_ID_OFFSET = 10_000_000
 INVOICE_ID_OFFSET = 20_000_000
 # Status code cycles (FIXTURES.md §4).
@@ -37,6 +41,16 @@ def K(c) -> Column:
     return (F.col(c) if isinstance(c, str) else c) + F.lit(1)
 
 
+def buyer_org(c) -> Column:
+    """Organisation id of a customer: even, so no supplier ever shares it."""
+    return K(c) * F.lit(2)
+
+
+def supplier_org(c) -> Column:
+    """Organisation id of a supplier: odd."""
+    return (F.col(c) if isinstance(c, str) else c) * F.lit(2) + F.lit(1)
+
+
 def D(c) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast(D184)
 
@@ -46,8 +60,8 @@ def pick(cycle: list[int], idx: Column) -> Column:
 
 
 def half_up_div(num_d184: Column, den: Column) -> Column:
-    """Decimal quotient rounded half-up once to 4 places."""
-    return (num_d184.cast(T.DecimalType(24, 4)) / den.cast(T.DecimalType(12, 0))).cast(D184)
+    """Quotient of two decimals (whole ``den``) rounded half-up once to 4 places."""
+    return dec_div(num_d184, den)
 
 
 def to_landing(df: DataFrame, table: str, synced_at=BASE_SYNCED_AT,
@@ -109,7 +123,7 @@ class Fixtures:
         s = self._min_supplier()
         return (o.join(s, o.o_orderkey == s.l_orderkey, "left")
                  .select("o_orderkey",
-                         F.coalesce(F.lit(SUPPLIER_ORG_OFFSET) + F.col("min_supp"), F.lit(0))
+                         F.coalesce(supplier_org("min_supp"), F.lit(0))
                          .cast("long").alias("supplier_org_id")))
 
     def _category_index(self) -> DataFrame:
@@ -130,8 +144,8 @@ class Fixtures:
         k = F.col("o_orderkey")
         df = j.select(
             K(k).alias("id"),
-            K("o_custkey").alias("buyer_org_id"),
-            F.coalesce(F.lit(SUPPLIER_ORG_OFFSET) + F.col("min_supp"), F.lit(0)).alias("supplier_org_id"),
+            buyer_org("o_custkey").alias("buyer_org_id"),
+            F.coalesce(supplier_org("min_supp"), F.lit(0)).alias("supplier_org_id"),
             K("o_custkey").alias("created_by"),
             F.concat(F.lit("PO-"), k.cast("string")).alias("po_number"),
             (F.lit(1) + k % 5).alias("status"),
@@ -154,7 +168,7 @@ class Fixtures:
         pc = part.join(cat, "p_type").select("p_partkey", "category_id")
         j = g.join(pc, g.l_partkey == pc.p_partkey, "left")
         df = j.select(
-            (K("l_orderkey") * F.lit(10_000_000) + F.col("l_partkey")).alias("id"),
+            (K("l_orderkey") * F.lit(PART_SPAN) + F.col("l_partkey")).alias("id"),
             K("l_orderkey").alias("po_id"),
             K("l_partkey").alias("product_id"),
             F.col("category_id"),
@@ -170,7 +184,7 @@ class Fixtures:
         k = F.col("o_orderkey")
         df = o.select(
             (F.lit(RFQ_ID_OFFSET) + k).alias("id"),
-            K("o_custkey").alias("buyer_org_id"),
+            buyer_org("o_custkey").alias("buyer_org_id"),
             (F.lit(1) + k % 6).alias("category_id"),
             F.concat(F.lit("RFQ-"), k.cast("string")).alias("rfq_number"),
             pick(RFQ_STATUS_CYCLE, F.floor(k / 2) % 5).alias("status"),
@@ -196,9 +210,9 @@ class Fixtures:
         j = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
         quoted = F.col("o_orderdate") + F.make_dt_interval(F.lit(0), (F.col("l_suppkey") % 72).cast("int"))
         df = j.select(
-            (K("l_orderkey") * F.lit(1_000_000) + F.col("l_suppkey")).alias("id"),
+            (K("l_orderkey") * F.lit(SUPPLIER_SPAN) + F.col("l_suppkey")).alias("id"),
             (F.lit(RFQ_ID_OFFSET) + F.col("l_orderkey")).alias("rfq_id"),
-            (F.lit(SUPPLIER_ORG_OFFSET) + F.col("l_suppkey")).alias("supplier_org_id"),
+            supplier_org("l_suppkey").alias("supplier_org_id"),
             pick(QUOTE_STATUS_CYCLE, F.col("l_suppkey") % 4).alias("status"),
             F.col("amt").alias("quoted_amount"),
             F.lit("INR").alias("currency"),
@@ -214,10 +228,10 @@ class Fixtures:
         sched = F.date_add(F.to_date("o_orderdate"), 30)
         actual = F.to_date("shipped")
         df = j.select(
-            (K("l_orderkey") * F.lit(1_000_000) + F.col("l_suppkey")).alias("id"),
+            (K("l_orderkey") * F.lit(SUPPLIER_SPAN) + F.col("l_suppkey")).alias("id"),
             K("l_orderkey").alias("po_id"),
-            K("o_custkey").alias("buyer_org_id"),
-            (F.lit(SUPPLIER_ORG_OFFSET) + F.col("l_suppkey")).alias("supplier_org_id"),
+            buyer_org("o_custkey").alias("buyer_org_id"),
+            supplier_org("l_suppkey").alias("supplier_org_id"),
             (F.lit(1) + F.col("l_suppkey") % 2).alias("warehouse_id"),
             sched.alias("scheduled_date"),
             actual.alias("actual_date"),
@@ -236,7 +250,7 @@ class Fixtures:
         df = o.select(
             (F.lit(INVOICE_ID_OFFSET) + F.col("o_orderkey")).alias("id"),
             K("o_orderkey").alias("po_id"),
-            K("o_custkey").alias("buyer_org_id"),
+            buyer_org("o_custkey").alias("buyer_org_id"),
             F.concat(F.lit("INV-"), F.col("o_orderkey").cast("string")).alias("invoice_number"),
             inv_date.alias("invoice_date"),
             F.date_add(inv_date, 30).alias("due_date"),
@@ -256,7 +270,7 @@ class Fixtures:
         k = F.col("o_orderkey")
         df = j.select(
             K(k).alias("id"),
-            K("o_custkey").alias("rater_org_id"),
+            buyer_org("o_custkey").alias("rater_org_id"),
             F.coalesce(F.col("supplier_org_id"), F.lit(0)).alias("rated_org_id"),
             K(k).alias("po_id"),
             (F.lit(1) + k % 5).cast("double").alias("rating"),
@@ -268,21 +282,22 @@ class Fixtures:
         o = self._lines_of_orders()
         li = self._lineitem("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                             "l_quantity", "l_extendedprice", "l_returnflag", "l_shipdate")
-        mid = (K("l_orderkey") * F.lit(10 ** 12) + F.col("l_partkey") * F.lit(10 ** 6)
-               + F.col("l_suppkey") * F.lit(10) + F.col("l_linenumber"))
-        # The id is not unique on every input (two identical lines): fold those.
+        # Lines with equal keys (they occur) are one movement; its id is the order
+        # and the movement's number in it: the four keys do not fit one BIGINT.
         # smallest return flag as an int code (A < N < R): a string min would
         # force a sort-based aggregate
         rf = F.col("l_returnflag")
         code = F.when(rf == "A", 1).when(rf == "N", 2).when(rf == "R", 3)
-        g = (li.groupBy(mid.alias("id"), "l_orderkey", "l_partkey", "l_suppkey")
+        g = (li.groupBy("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
                .agg(F.sum(D("l_quantity")).alias("qty"), F.sum(D("l_extendedprice")).alias("ext"),
                     F.min(code).alias("flag"), F.max("l_shipdate").alias("shipped")))
+        number = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_partkey", "l_suppkey", "l_linenumber"))
+        g = g.withColumn("id", K("l_orderkey") * F.lit(LINE_SPAN) + number)
         j = g.join(o, g.l_orderkey == o.o_orderkey, "inner")
         flag = F.element_at(F.array(F.lit("A"), F.lit("N"), F.lit("R")), F.col("flag"))
         df = j.select(
             "id",
-            K("o_custkey").alias("org_id"),
+            buyer_org("o_custkey").alias("org_id"),
             (F.lit(1) + F.col("l_suppkey") % 2).alias("warehouse_id"),
             K(F.col("l_partkey") % 5).alias("product_id"),
             F.when(flag == "A", "inbound").when(flag == "R", "outbound")
@@ -313,7 +328,7 @@ class Fixtures:
     def fact_prf(self) -> DataFrame:
         o = self._orders("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate").filter(F.col("o_orderkey") % 7 == 0)
         df = o.select(
-            K("o_orderkey").alias("id"), K("o_custkey").alias("org_id"),
+            K("o_orderkey").alias("id"), buyer_org("o_custkey").alias("org_id"),
             K("o_custkey").alias("requested_by"), (F.lit(1) + F.col("o_orderkey") % 6).alias("category_id"),
             (F.col("o_orderkey") % 3).alias("status"), D("o_totalprice").alias("estimated_value"),
             F.lit("INR").alias("currency"), F.col("o_orderdate").alias("request_date"),
@@ -327,7 +342,7 @@ class Fixtures:
         j = o.join(sup, "o_orderkey", "left")
         start = F.to_date("o_orderdate")
         df = j.select(
-            K("o_orderkey").alias("id"), K("o_custkey").alias("buyer_org_id"),
+            K("o_orderkey").alias("id"), buyer_org("o_custkey").alias("buyer_org_id"),
             F.coalesce("supplier_org_id", F.lit(0)).alias("supplier_org_id"),
             F.concat(F.lit("CT-"), F.col("o_orderkey").cast("string")).alias("contract_number"),
             F.lit("active").alias("status"), D("o_totalprice").alias("total_value"),
@@ -346,11 +361,11 @@ class Fixtures:
         c = self.src.read("customer", "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
         s = self.src.read("supplier", "s_suppkey", "s_name", "s_nationkey")
         buyers = c.join(geo, c.c_nationkey == geo.n_nationkey, "left").select(
-            K("c_custkey").alias("id"), F.col("c_name").alias("name"),
+            buyer_org("c_custkey").alias("id"), F.col("c_name").alias("name"),
             F.lit("buyer").alias("business_type"), F.col("r_name").alias("country"),
             F.col("n_name").alias("state"), F.col("c_mktsegment").alias("city_name"))
         sellers = s.join(geo, s.s_nationkey == geo.n_nationkey, "left").select(
-            (F.lit(SUPPLIER_ORG_OFFSET) + F.col("s_suppkey")).alias("id"), F.col("s_name").alias("name"),
+            supplier_org("s_suppkey").alias("id"), F.col("s_name").alias("name"),
             F.lit("supplier").alias("business_type"), F.col("r_name").alias("country"),
             F.col("n_name").alias("state"), F.lit("").alias("city_name"))
         df = buyers.unionByName(sellers).withColumn("is_active", F.lit(1))

@@ -8,16 +8,19 @@ an envelope (one stream for many tables):
 
 ``land_changes`` runs one streaming query whose ``foreachBatch`` splits each
 micro-batch by table, parses the row image with the table's landing schema,
-turns NULLs into type defaults and writes ``<root>/<table>/batch=<id>``
-with overwrite. The stream's checkpoint holds the source offsets (the "log
-position"); after a failure Spark replays the same batch id with the same
-files, and the overwrite of that batch folder makes the replay idempotent.
+turns NULLs into type defaults and writes the rows of each table present to a
+folder of its own stream and batch, by month. Malformed records and records of
+unlisted tables are kept under ``<root>/_rejected``. The stream's checkpoint holds
+the source offsets (the "log position"); after a failure Spark replays the same
+batch id with the same files, and the overwrite of that batch folder makes the
+replay idempotent.
 Duplicate or out-of-order records are resolved by version when the landing
 table is read (``latest_live``), never by arrival order.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,10 +28,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemart.functions.exprs import yyyymm
 from tidemart.operators.cdc import fill_defaults
-from tidemart.session import scratch_path
+from tidemart.session import child_names, delete_path, path_exists, scratch_path
 from tidemart.sources.schemas import IS_DELETED, LANDING, SYNCED_AT, VERSION
 
+REJECTED = "_rejected"
 ENVELOPE = T.StructType([
     T.StructField("_table", T.StringType(), False),
     T.StructField(VERSION, T.LongType(), False),
@@ -46,15 +51,41 @@ def to_envelope(landing_rows: DataFrame, table: str) -> DataFrame:
         F.to_json(F.struct(*cols)).alias("payload"))
 
 
+CORRUPT = "_corrupt_record"
+
+
+def parsed_records(batch: DataFrame, table: str) -> DataFrame:
+    """Change records of one table with their row image (C5: typed): ``r``, the
+    metadata columns, and ``_corrupt_record``: the payload if it does not parse as
+    the table's schema (a wrong type in one field is enough), else NULL."""
+    t = LANDING[table]
+    schema = T.StructType([*t.data.fields, T.StructField(CORRUPT, T.StringType())])
+    r = F.from_json("payload", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    rows = batch.filter(F.col("_table") == table).select(
+        "*", r.alias("r"))
+    bad = F.col("r").isNull() | F.col("r")[CORRUPT].isNotNull()
+    return rows.withColumn(CORRUPT, F.when(bad, F.coalesce("payload", F.lit("null"))))
+
+
 def parse_envelope(batch: DataFrame, table: str) -> DataFrame:
-    """Change records of one table -> landing rows (C5/C6: typed, defaults)."""
+    """Well-formed change records of one table -> landing rows (C5/C6: typed, defaults)."""
     t = LANDING[table]
-    parsed = (batch.filter(F.col("_table") == table)
-              .select(F.from_json("payload", t.data).alias("r"), VERSION, IS_DELETED, SYNCED_AT))
+    parsed = parsed_records(batch, table).filter(F.col(CORRUPT).isNull())
     rows = parsed.select(*[F.col("r")[c].alias(c) for c in t.columns], SYNCED_AT, IS_DELETED, VERSION)
     return fill_defaults(rows, t.columns)
 
 
+def rejected_records(batch: DataFrame, tables: Iterable[str]) -> DataFrame:
+    """Envelope columns and ``reason`` of records that cannot be landed: of a table
+    that is not listed (C3 leaves it out, but counts it), or with a malformed payload."""
+    tables = list(tables)
+    out = batch.filter(F.col("_table").isNull() | ~F.col("_table").isin(tables)).withColumn("reason", F.lit("unlisted table"))
+    for t in tables:
+        bad = parsed_records(batch, t).filter(F.col(CORRUPT).isNotNull())
+        out = out.unionByName(bad.select(*batch.columns, F.lit("malformed payload").alias("reason")))
+    return out
+
+
 def change_feed(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming read of the change-record directory (schema fixed, no inference)."""
     reader = spark.readStream.schema(ENVELOPE)
@@ -63,71 +94,122 @@ def change_feed(spark: SparkSession, source_dir: str, max_files_per_trigger: int
     return reader.parquet(source_dir)
 
 
-def batch_writer(root: str, tables: Iterable[str]):
-    tables = list(tables)
+class TooManyRejects(RuntimeError):
+    """More of a batch is malformed than the stated rate."""
+
+
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id Spark keeps in a stream's checkpoint: the same after a restart, new
+    if the checkpoint was lost."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
+
+
+def batch_writer(root: str, tables: Iterable[str], stream: str, checkpoint: str,
+                 max_malformed: float = 0.01):
+    """``foreachBatch`` function that lands a batch (C12: one stream, many tables).
+
+    Rows go to ``<root>/<table>/stream=<name>-<id>/batch=<n>/month=<yyyymm>``. The
+    stream's id is in its checkpoint, so a restart rewrites its own batch, while
+    other feeds, and a feed whose checkpoint was lost, write elsewhere and erase
+    nothing (records landed twice collapse when read). Only tables with records
+    are written. Records that cannot be landed go to ``<root>/_rejected``; a batch
+    with a larger share of malformed ones than ``max_malformed`` fails.
+    """
+    root, tables = root.rstrip("/"), list(tables)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        # One micro-batch, many destinations; read the batch once
-        batch.persist()
+        spark = batch.sparkSession
+        own = f"stream={stream}-{stream_id(spark, checkpoint)}/batch={batch_id}"
+        batch = batch.persist()  # a batch is bounded by the trigger (maxFilesPerTrigger)
         try:
-            for t in tables:
-                (parse_envelope(batch, t).write.mode("overwrite")
-                 .parquet(f"{root.rstrip('/')}/{t}/batch={batch_id}"))
+            counts = {r["_table"]: r["n"] for r in batch.filter(F.col("_table").isin(tables)).groupBy("_table").agg(
+                F.count(F.lit(1)).alias("n")).collect()}  # a row per listed table
+            bad = rejected_records(batch, tables)
+            reasons = {r["reason"]: r["n"] for r in bad.groupBy("reason").agg(F.count(F.lit(1)).alias("n")).collect()}
+            malformed = reasons.get("malformed payload", 0)
+            if malformed > max_malformed * sum(counts.values()):
+                raise TooManyRejects(f"batch {batch_id}: {malformed} of {sum(counts.values())} records are malformed")
+            if reasons:
+                bad.write.mode("overwrite").parquet(f"{root}/{REJECTED}/{own}")
+            for t in (t for t in tables if counts.get(t)):
+                rows, month = parse_envelope(batch, t), LANDING[t].month_of
+                if month:
+                    rows = rows.withColumn("month", yyyymm(month))
+                w = rows.write.mode("overwrite")
+                (w.partitionBy("month") if month else w).parquet(f"{root}/{t}/{own}")
         finally:
             batch.unpersist()
     return write
 
 
 def land_changes(feed: DataFrame, root: str, checkpoint: str | None, tables: Iterable[str],
-                 processing_time: str | None = None, name: str = "landing") -> StreamingQuery:
+                 processing_time: str | None = None, name: str = "landing",
+                 max_malformed: float = 0.01) -> StreamingQuery:
     """S4 + C11 + C12: start the landing query.
 
     ``processing_time=None`` drains what is there (``availableNow``) and stops;
     a duration such as ``"10 seconds"`` keeps running (the idle flush).
     ``checkpoint=None`` puts the offsets under the shared checkpoint folder
-    (``<spark.checkpoint.dir>/streams/<name>``), never on a machine-local disk.
+    (``<spark.checkpoint.dir>/streams/<name>``).
     """
     if checkpoint is None:
         checkpoint = scratch_path(feed.sparkSession, "streams", name)
-    w = (feed.writeStream.foreachBatch(batch_writer(root, tables))
+    w = (feed.writeStream.foreachBatch(batch_writer(root, tables, name, checkpoint, max_malformed))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(processingTime=processing_time) if processing_time else w.trigger(availableNow=True)
     return w.start()
 
 
 def read_landed(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """Landed rows of a table (all versions, all batches)."""
+    """Landed rows of a table (all versions, streams and batches), with ``month`` if
+    the table has a partition date; no rows if none have been landed."""
     t = LANDING[table]
-    return spark.read.parquet(f"{root.rstrip('/')}/{table}").select(*[f.name for f in t.schema.fields])
+    path = f"{root.rstrip('/')}/{table}"
+    names = [f.name for f in t.schema.fields]
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], t.schema)
+    return spark.read.parquet(path).select(*names, *(["month"] if t.month_of else []))
+
+
+def read_rejected(spark: SparkSession, root: str) -> DataFrame:
+    """Records that could not be landed, with their reason."""
+    path = f"{root.rstrip('/')}/{REJECTED}"
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], T.StructType([*ENVELOPE.fields, T.StructField("reason", T.StringType())]))
+    return spark.read.parquet(path)
 
 
 # --- second way: merge each micro-batch into a current-state table --------------
 
-def _read_pointer(spark: SparkSession, state_root: str) -> int | None:
-    try:
-        row = spark.read.json(f"{state_root}/_current").first()
-    except Exception:  # noqa: BLE001 - no pointer yet
-        return None
-    return None if row is None else int(row["generation"])
+def _generations(spark: SparkSession, state_root: str) -> list[tuple[int, str]]:
+    """Complete generations, oldest first: Spark's commit leaves ``_SUCCESS`` last."""
+    out = []
+    for name in child_names(spark, state_root):
+        if name.startswith("gen-") and path_exists(spark, f"{state_root}/{name}/_SUCCESS"):
+            out.append((int(name.split("-")[1]), name))
+    return sorted(out)
 
 
 def read_state(spark: SparkSession, state_root: str, table: str) -> DataFrame | None:
     """Current state (one row per key, tombstones kept) of an upserted table."""
-    gen = _read_pointer(spark, state_root)
-    if gen is None:
+    done = _generations(spark, state_root)
+    if not done:
         return None
     t = LANDING[table]
-    return spark.read.parquet(f"{state_root}/gen={gen}").select(*[f.name for f in t.schema.fields])
+    return spark.read.parquet(f"{state_root}/{done[-1][1]}").select(*[f.name for f in t.schema.fields])
+
 
+def upsert_writer(state_root: str, table: str, checkpoint: str, key_mode: str = "sort_key"):
+    """``foreachBatch`` function: state = newest version per key of the last state
+    and the batch, written as a new generation ``gen-<n>-<stream id>-<batch>``.
 
-def upsert_writer(state_root: str, table: str, key_mode: str = "sort_key"):
-    """``foreachBatch`` function: state(b) = newest version per key of
-    state(previous generation) ∪ batch b, written as generation ``b``; then a
-    one-row pointer names it. A replayed batch id rebuilds the same generation
-    from the same predecessor, so replays are idempotent; readers never see a
-    half-written generation. Only keys present in the batch are re-deduplicated
-    (``latest_live_incremental``'s plan); suited to dimension-sized state — large
-    facts use append + dedup on read + compaction."""
+    A generation counts once Spark has committed it; nothing is overwritten or named
+    by a pointer, so a crash at any point leaves the last complete state in
+    place. A replayed batch that is already in the last generation changes nothing;
+    a lost checkpoint applies its records again, which the versions absorb. The
+    last two generations are kept (readers may still be on the older). Only keys in
+    the batch are re-deduplicated; suited to dimension-sized state — large facts
+    use append + dedup on read + compaction."""
     from tidemart.operators.cdc import latest_version
 
     t = LANDING[table]
@@ -135,22 +217,22 @@ def upsert_writer(state_root: str, table: str, key_mode: str = "sort_key"):
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        done, tag = _generations(spark, state_root), f"{stream_id(spark, checkpoint)}-{batch_id}"
+        if done and done[-1][1].endswith(f"-{tag}"):
+            return
         rows = parse_envelope(batch, table)
-        prev_gen = _read_pointer(spark, state_root)
-        if prev_gen is not None and prev_gen >= batch_id:
-            # replay of an already committed batch: rebuild from the generation before it
-            prev_gen = batch_id - 1 if batch_id > 0 else None
-        if prev_gen is None:
+        if not done:
             state = latest_version(rows, key)
         else:
-            prev = spark.read.parquet(f"{state_root}/gen={prev_gen}").select(*rows.columns)
+            prev = spark.read.parquet(f"{state_root}/{done[-1][1]}").select(*rows.columns)
             keys = rows.select(*key).distinct()
             touched = prev.join(keys, list(key), "left_semi")
             untouched = prev.join(keys, list(key), "left_anti")
             state = untouched.unionByName(latest_version(touched.unionByName(rows), key)).select(*rows.columns)
-        state.write.mode("overwrite").parquet(f"{state_root}/gen={batch_id}")
-        spark.createDataFrame([(batch_id,)], "generation long").coalesce(1) \
-            .write.mode("overwrite").json(f"{state_root}/_current")
+        n = done[-1][0] + 1 if done else 0
+        state.write.mode("overwrite").parquet(f"{state_root}/gen-{n:09d}-{tag}")
+        for _, old in done[:-1]:
+            delete_path(spark, f"{state_root}/{old}")
     return write
 
 
@@ -159,5 +241,5 @@ def upsert_changes(feed: DataFrame, state_root: str, table: str, checkpoint: str
     """Keyed upsert by version into ``state_root`` (availableNow)."""
     if checkpoint is None:
         checkpoint = scratch_path(feed.sparkSession, "streams", f"upsert-{table}")
-    return (feed.writeStream.foreachBatch(upsert_writer(state_root, table, key_mode))
+    return (feed.writeStream.foreachBatch(upsert_writer(state_root, table, checkpoint, key_mode))
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as _dt
+import time
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame
@@ -14,26 +15,40 @@ from tidemart.session import scratch_path
 from tidemart.streaming.apply import batch_writer, read_landed
 
 
+class RefreshFailed(RuntimeError):
+    """A mart of the pass failed; the micro-batch is not committed and is retried."""
+
+
 def start_pipeline(feed: DataFrame, landing_root: str, mart_root: str, tables: Iterable[str],
                    as_of: Callable[[], _dt.date], group: str = "all",
                    as_of_events: Callable[[], _dt.date] | None = None,
-                   checkpoint: str | None = None, processing_time: str | None = None) -> StreamingQuery:
-    """Each micro-batch is landed (``batch=<id>`` overwrite, replay-safe), then
-    the mart group is refreshed over the landed tables (window replacement,
-    idempotent), so a replayed batch converges to the same marts. ``as_of`` is
-    called per batch (e.g. today's UTC date in production)."""
+                   checkpoint: str | None = None, processing_time: str | None = None,
+                   refresh_every: float = 600.0, name: str = "pipeline") -> StreamingQuery:
+    """Each micro-batch is landed; the mart group is refreshed over the landed
+    tables at most every ``refresh_every`` seconds (0: after every batch), so ingest
+    does not wait for marts. Landing and window replacement are idempotent: a replayed
+    batch converges to the same marts. A failed mart raises, so its batch is
+    retried rather than leaving it stale. ``as_of`` is called per refresh (e.g.
+    today's UTC date in production)."""
+    if checkpoint is None:
+        checkpoint = scratch_path(feed.sparkSession, "streams", name)
     tables = list(tables)
-    land = batch_writer(landing_root, tables)
+    land = batch_writer(landing_root, tables, name, checkpoint)
+    last = [float("-inf")]
 
     def process(batch: DataFrame, batch_id: int) -> None:
         land(batch, batch_id)
+        if time.monotonic() - last[0] < refresh_every:
+            return
         spark = batch.sparkSession
         L = Landing(lambda t: read_landed(spark, landing_root, t))
-        R.run(spark, L, mart_root, as_of(), group=group,
-              as_of_events=as_of_events() if as_of_events else None)
+        status = R.run(spark, L, mart_root, as_of(), group=group,
+                       as_of_events=as_of_events() if as_of_events else None)
+        failed = [r for r in status.collect() if r["status"] == "failed"]  # a row per mart
+        if failed:
+            raise RefreshFailed("; ".join(f"{r['mart']}: {r['error']}" for r in failed))
+        last[0] = time.monotonic()
 
-    if checkpoint is None:
-        checkpoint = scratch_path(feed.sparkSession, "streams", "pipeline")
     w = feed.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     w = w.trigger(processingTime=processing_time) if processing_time else w.trigger(availableNow=True)
     return w.start()
