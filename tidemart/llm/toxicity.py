@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import NON_ALNUM, read_table, slices, span_hash, prefix_hash, text_buffers, words_of
+from tidemart.llm.common import NON_ALNUM, prepare_workers, read_table, slices, span_hash, prefix_hash, text_buffers, words_of
 
 BITS = 20
 BEGINNINGS = (4, 5)
@@ -77,11 +77,15 @@ class Machine:
 
 
 def fit(rows: list[np.ndarray], label: np.ndarray, prior: float, bits: int = BITS, most: int = 1024, rank: int = 4,
-        epochs: int = 12, step: float = 0.1, decay: float = 1e-4, seed: int = 7) -> Machine:
+        epochs: int = 20, step: float = 0.1, decay: float = 1e-5, seed: int = 7) -> Machine:
     """Fit on documents given as arrays of distinct buckets; ``prior`` is the share of label 1 to expect.
 
-    The ``most`` buckets (of those in 3 documents or more) whose document rates differ
-    most between the classes become the machine's features; AdaGrad on the logistic loss.
+    Buckets (in 3 documents or more) whose document rate in one class is twice that in the
+    other, and 4 standard errors off, become the machine's features, ``most`` at most.
+    Common words, whose rates differ little (with a text's length), thus have no
+    weight, however long a text. Weights start at the shrunken log odds of their term, so
+    that a single telling term counts although training texts hold several; then
+    AdaGrad on the logistic loss.
     """
     label = label.astype(np.float64)
     n1, n0 = label.sum(), (1 - label).sum()
@@ -93,12 +97,14 @@ def fit(rows: list[np.ndarray], label: np.ndarray, prior: float, bits: int = BIT
     zero = np.bincount(flat, minlength=1 << bits) - one
     p = (one + zero) / (n1 + n0)
     z = np.abs(one / n1 - zero / n0) / np.sqrt(p * (1 - p) * (1 / n1 + 1 / n0) + 1e-9)
-    z[one + zero < 3] = 0
+    odds = np.log((one + 0.5) / (n1 + 1)) - np.log((zero + 0.5) / (n0 + 1))
+    z[(one + zero < 3) | (np.abs(odds) < np.log(2))] = 0
     top = np.argsort(-z, kind="stable")[:most]
-    buckets = np.sort(top[z[top] >= 2.5])
+    buckets = np.sort(top[z[top] >= 4])
     rng = np.random.default_rng(seed)
     k = len(buckets)
-    m = Machine(bits, buckets, 0.0, np.zeros(k), rng.normal(0, 0.01, (k, rank)))
+    seen = (one + zero)[buckets]
+    m = Machine(bits, buckets, logit, odds[buckets] * seen / (seen + 30), rng.normal(0, 0.01, (k, rank)))
     table = m.table()
     rows = [f[f >= 0] for f in (table[r] for r in rows)]
     g_b, g_w, g_v = 1e-6, np.full(k, 1e-6), np.full((k, rank), 1e-6)
@@ -146,6 +152,7 @@ def learn(documents: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, b
     Rows with a null id or label, and labels other than 0 and 1, are not learned
     from; an id with several labels counts as 1 if any is 1.
     """
+    prepare_workers(documents.sparkSession)
     known = (labels.select(F.col("doc_id").cast("long").alias("_id"), F.col("toxic").cast("int").alias("label"))
              .where("_id IS NOT NULL AND label IN (0, 1)").where(~held_out(F.col("_id")))
              .groupBy("_id").agg(F.max("label").alias("label")))
@@ -184,6 +191,7 @@ def score_toxicity(documents: DataFrame, machine: Machine, keep: tuple[str, ...]
     Null and empty texts get the score of a text without known terms. Only the
     text is an input of the score; other columns are ignored.
     """
+    prepare_workers(documents.sparkSession)
     docs = documents.select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(keep)],
                             F.col("text").cast("string").alias("_text"))
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.schema.fields[:-1])
@@ -194,6 +202,7 @@ def score_toxicity(documents: DataFrame, machine: Machine, keep: tuple[str, ...]
 
 def keep_clean(documents: DataFrame, machine: Machine, threshold: float = 0.5) -> DataFrame:
     """The rows, with all their columns, whose text scores under ``threshold``."""
+    prepare_workers(documents.sparkSession)
     at = documents.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
