@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Iterator
 
@@ -36,8 +37,28 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+BATCH_ROWS = 1000
+
+
+def prepare_workers(spark: SparkSession) -> None:
+    """Settings of the Python workers.
+
+    Arrow batches hold whole texts: at most 1,000 rows each, so that a task's memory
+    follows its texts and not Spark's default of 10,000 rows. Workers import this
+    package from where the driver has it (a cluster ships it with --py-files).
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH", "")) if x)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def scratch(spark: SparkSession, op: str) -> str:
     """A new folder below the shared checkpoint folder, for one call of one operator."""
+    prepare_workers(spark)
     return scratch_path(spark, "llm", op, uuid.uuid4().hex)
 
 

@@ -104,7 +104,7 @@ def _cells(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, offsets = text_buffers(b.column(1))
-            wanted = b.column(2).to_pylist()
+            wanted, out, held = b.column(2).to_pylist(), [], 0
             for i in range(b.num_rows):
                 part = offsets[i:i + 2]
                 _, anchor, first, last, _, sums = window_runs(data, part, length)
@@ -126,11 +126,16 @@ def _cells(length: int):
                 tails = np.where(known, raw[np.clip(at, 0, len(raw) - 1)], 0).astype(np.uint8)
                 ends = pa.py_buffer((np.arange(len(a) + 1, dtype=np.int32) * (2 * g - 2)).tobytes())
                 tail = pa.Array.from_buffers(pa.binary(), len(a), [None, ends, pa.py_buffer(tails.tobytes())])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([b.column(0)[i].as_py()] * len(a), pa.binary()), pa.array(a.astype(np.int32)),
+                key = pa.repeat(b.column(0)[i], len(a))
+                out.append(pa.RecordBatch.from_arrays(
+                    [key, pa.array(a.astype(np.int32)),
                      pa.array(block.astype(np.int32)), pa.array(cell),
                      pa.array(((o_low - low) * g + (o_high - low)).astype(np.int32)), tail],
-                    names=["key", "anchor", "block", "cell", "own", "tail"])
+                    names=["key", "anchor", "block", "cell", "own", "tail"]))
+                held += len(a)
+                if held >= 20_000 or i == b.num_rows - 1:
+                    yield from pa.Table.from_batches(out).combine_chunks().to_batches()
+                    out, held = [], 0
     return run
 
 
