@@ -32,9 +32,19 @@ def test_words_are_the_regex_words(texts):
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text(alphabet=st.sampled_from(list("aB é1\n\t .'’́s\x1c\x85 İΣ<|>endoftxt漢😀")), max_size=40), max_size=8))
 def test_word_encoder_equals_whole_text_encoding(texts):
+    check_encoder(texts)
+
+
+def test_word_encoder_on_documents():
+    import pyarrow.parquet as pq
+    check_encoder([t or "" for t in pq.read_table("/root/testdata/sf0.001/documents.parquet").column("text").to_pylist()])
+
+
+def check_encoder(texts):
     path = public_tokenizers.path("word_bpe_49k.json")
     code, whole = token_output.encoder(path), Tokenizer.from_file(path)
-    for t in [*texts, "<|endoftext|> a<|startoftext|>b", "It's  don't\n\n'll"]:
+    for t in [*texts, "<|endoftext|> a<|startoftext|>b", "It's  don't\n\n'll", "Straße, ÉÀÿ. ßß! Éléphant; word's \u00d7 a\u0301. Ab,.b :a ÿ?",
+              "a b\nc  d"]:
         want = whole.encode(t, add_special_tokens=False).ids
         assert np.frombuffer(code.encode(t), "<u4").tolist() == want
 
@@ -146,11 +156,26 @@ def test_window_sizes():
         assert 0.75 * n <= decontaminate.window_size(n) <= n
 
 
-def test_prefix_lengths_keep_every_link():
-    for n in range(1, 200):
-        p = jaccard_join.prefix_length(n, 85, 100)
-        # sharing nothing in a prefix leaves at most n - p common tokens: too few for the similarity
-        assert 100 * (n - p) < 85 * n
+def test_order_filters_keep_every_link():
+    """Sets that just reach the similarity share a looked-up token of their hash-order prefixes."""
+    rnd = random.Random(2)
+    for num, den in ((85, 100), (80, 100), (1, 2)):
+        for _ in range(300):
+            n = rnd.randint(1, 120)
+            x = rnd.sample(range(10 ** 6), n)
+            keep = rnd.sample(x, rnd.randint(max(1, num * n // den), n))
+            y = keep + rnd.sample(range(10 ** 6, 2 * 10 ** 6), rnd.randint(0, n // 5))
+            both = len(set(x) & set(y))
+            if den * both < num * (len(x) + len(y) - both):
+                continue
+            df = {t: rnd.randint(2, 50) for t in {*x, *y}}
+
+            def looked(s):
+                first = sorted(s)[:jaccard_join.sample_length(len(s), num, den)]
+                skip = -(-len(s) * num // (den * jaccard_join.SHARE)) - 1
+                often = sorted((df[t], t) for t in first)
+                return {t for _, t in often[:len(often) - skip]}
+            assert looked(x) & looked(y)
 
 
 def test_licence_places():
