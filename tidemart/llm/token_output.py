@@ -18,6 +18,8 @@ shard k+1; a shard's global base is the sum of the shards before it.
 
 from __future__ import annotations
 
+import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -29,6 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
 from tidemart.llm.common import scratch
 
@@ -38,32 +41,76 @@ BLOCK_SCHEMA = ("shard int, chunk int, first long, n_ids int, planes array<binar
                 "docs array<struct<doc_id:long,start:long,n_tokens:long>>")
 
 
+# a word of Latin letters (composed, one lower-case letter each) and punctuation behind it:
+# the tokenizer's pattern cuts exactly there, lower-casing is all its normaliser does
+_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?]*)")
+
+
+def packed(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit integers."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class WordEncoder:
     """Ids of a text by a tokenizer that never joins characters across a space.
 
-    The text is cut at spaces and newlines, each distinct piece is encoded once by
-    the tokenizers library and remembered (bounded memory: the memo is emptied when
-    it holds ``most`` pieces; pieces over ``longest`` characters are not kept).
+    The text is cut at spaces and newlines, and each distinct piece is encoded once by
+    the tokenizers library and remembered. Most new pieces are a known word in another
+    case or before punctuation, so plain words are remembered on their own and encoded
+    by the library's model directly; all other pieces take the whole tokenizer.
+    Memory is bounded: a memo is emptied when it holds ``most`` entries, and entries
+    over ``longest`` characters are not kept.
     """
 
-    def __init__(self, path: str, most: int = 300_000, longest: int = 48):
+    def __init__(self, path: str, most: int = 500_000, longest: int = 48):
         self.tokenizer = Tokenizer.from_file(path)
-        self.most, self.longest, self.memo = most, longest, {"": b""}
+        self.model = self.tokenizer.model
+        self.most, self.longest = most, longest
+        self.pieces: dict[str, bytes] = {"": b""}
+        self.words: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
+        to_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
+        letters = map(chr, [*range(0x61, 0x7B), *range(0xDF, 0xF7), *range(0xF8, 0x100)])
+        self.spelled = {ord(c): to_bytes.pre_tokenize_str(c)[0][0] for c in letters}
+
+    def _whole(self, piece: str) -> bytes:
+        return packed(self.tokenizer.encode(piece, add_special_tokens=False).ids)
+
+    def _word(self, word: str) -> bytes:
+        found = self.words.get(word)
+        if found is None:
+            found = packed([t.id for t in self.model.tokenize(word.translate(self.spelled))])
+            if len(word) <= self.longest:
+                self.words[word] = found
+        return found
+
+    def _piece(self, piece: str) -> bytes:
+        m = _PLAIN.fullmatch(piece)
+        if m is None:
+            return self._whole(piece)
+        word, mark = m.groups()
+        out = self._word(word.lower())
+        if mark and mark not in self.marks:
+            if len(mark) > 4:
+                return out + self._whole(mark)
+            self.marks[mark] = self._whole(mark)
+        return out + self.marks[mark] if mark else out
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        pieces, memo = text.replace("\n", " ").split(" "), self.memo
-        try:
-            return b"".join([memo[p] for p in pieces])
-        except KeyError:
-            pass
-        if len(memo) > self.most:
-            memo = self.memo = {"": b""}
-        new = [p for p in set(pieces) if p not in memo]
-        found = {p: np.array(e.ids, "<u4").tobytes() for p, e in
-                 zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False))}
-        memo.update((p, b) for p, b in found.items() if len(p) <= self.longest)
-        return b"".join([memo[p] if p in memo else found[p] for p in pieces])
+        if len(self.pieces) > self.most:
+            self.pieces = {"": b""}
+        if len(self.words) > self.most:
+            self.words = {}
+        pieces, known = text.replace("\n", " ").split(" "), self.pieces
+        new = set(pieces).difference(known)
+        for p in new:
+            known[p] = self._piece(p)
+        out = b"".join([known[p] for p in pieces])
+        for p in new:
+            if len(p) > self.longest:
+                del known[p]
+        return out
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
