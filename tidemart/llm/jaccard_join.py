@@ -1,15 +1,16 @@
 """N-gram Jaccard join by multiple-global-order filtering.
 
 If two sets reach Jaccard similarity t, then under *any* global order of the tokens
-(word shingles) they share a token within their first n - ceil(t n) + 1 tokens. The
-filter is applied under three orders:
+(word shingles) they share K tokens within their first n - ceil(t n) + K tokens. The
+filter is applied under several orders:
 
-1. by token hash: documents without a token that another document has in its prefix
-   are out; only the prefixes (15 % of the tokens at t = 0.85) are shuffled;
-2. by document count, rare first, counted over all documents left: a document whose
-   prefix is filled by tokens of its own is out, and common passages never lead
-   to candidates as long as rarer tokens fill the prefix;
-3. by descending token hash, and 1. again, pair by pair, before verification.
+1. by token hash, with K = n / 16: only these prefixes (21 % of the tokens at t = 0.85)
+   are shuffled;
+2. by document count, rare first, among the tokens of the prefixes of 1.: the K shared
+   tokens have a rarest one, so the t K - 1 most frequent tokens of a prefix need not be
+   looked up. A document without a shared token left is out; a passage that very many
+   documents share is not looked up unless most of a document consists of such;
+3. by ascending and by descending token hash, with K = 1, pair by pair, before verification.
 
 Equal sets are one class from the start. Candidates that share a rare-first prefix
 token form a group; a group is not expanded into all pairs. All members are verified
@@ -31,7 +32,8 @@ from pyspark.sql import functions as F
 from tidemart.llm.common import LAST_ID, WHITE_SPACE, mix64, read_table, scratch, slices, stored, text_buffers, words_of
 from tidemart.llm.components import components
 
-PIVOT_ROUNDS = 2
+PIVOT_ROUNDS = 1
+SHARE = 16
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> Iterator[np.ndarray]:
@@ -60,6 +62,11 @@ def prefix_length(n: int, num: int, den: int) -> int:
     return n - -(-num * n // den) + 1
 
 
+def sample_length(n: int, num: int, den: int) -> int:
+    """Prefix in which two sets that reach the similarity share n / 16 tokens at least."""
+    return n - -(-num * n // den) + -(-n // SHARE) if n else 0
+
+
 def _sets(words: int, num: int, den: int, whole: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
@@ -68,7 +75,7 @@ def _sets(words: int, num: int, den: int, whole: bool):
                 for i, j in slices(offsets):
                     sets = list(shingle_sets(data, offsets[i:j + 1], words))
                     n = np.array([len(s) for s in sets], np.int64)
-                    kept = sets if whole else [s[:prefix_length(len(s), num, den)] if len(s) else s for s in sets]
+                    kept = sets if whole else [s[:sample_length(len(s), num, den)] for s in sets]
                     ends = np.concatenate([[0], np.cumsum([len(s) for s in kept])]).astype(np.int32)
                     tokens = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(kept) if kept else n))
                     # 128 bits over the whole set tell equal sets
@@ -95,29 +102,14 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
     left = sets.select(F.col("doc").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
     right = sets.select(F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            la, lb = batch.column(2), batch.column(3)
-            oa, ob = la.offsets.to_numpy(), lb.offsets.to_numpy()
-            va, vb = la.values.to_numpy(), lb.values.to_numpy()
-            ok = np.zeros(batch.num_rows, bool)
-            for r in range(batch.num_rows):
-                x, y = va[oa[r]:oa[r + 1]], vb[ob[r]:ob[r + 1]]
-                px, py = prefix_length(len(x), num, den), prefix_length(len(y), num, den)
-                if not _meet(x[:px], y[:py]) or not _meet(x[-px:], y[-py:]):
-                    continue
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                both = int((y[at] == x).sum())
-                ok[r] = den * both >= num * (len(x) + len(y) - both)
-            yield pa.RecordBatch.from_arrays([c.filter(pa.array(ok)) for c in batch.columns[:2]], names=["a", "b"])
-
-    return pairs.join(left, "a").join(right, "b").where(_close(F.col("na"), F.col("nb"), num, den)).select(
-        "a", "b", "ta", "tb").mapInArrow(compare, "a long, b long")
-
+    def ahead(n: str) -> Column:  # prefix length with K = 1
+        return (F.col(n) - F.ceil(F.col(n) * num / F.lit(den)) + 1).cast("int")
 
-def _meet(x: np.ndarray, y: np.ndarray) -> bool:
-    at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-    return bool((y[at] == x).any())
+    both = pairs.join(left, "a").join(right, "b").where(_close(F.col("na"), F.col("nb"), num, den))
+    for edge in (lambda t, n: F.slice(t, F.lit(1), ahead(n)), lambda t, n: F.slice(t, -ahead(n), ahead(n))):
+        both = both.where(F.arrays_overlap(edge("ta", "na"), edge("tb", "nb")))
+    common = F.size(F.array_intersect("ta", "tb"))
+    return both.where(den * common >= num * (F.col("na") + F.col("nb") - common)).select("a", "b")
 
 
 def jaccard_components(documents: DataFrame, words: int = 4, num: int = 85, den: int = 100) -> DataFrame:
@@ -138,31 +130,26 @@ def jaccard_components(documents: DataFrame, words: int = 4, num: int = 85, den:
     first = stored(docs.mapInArrow(_sets(words, num, den, False), SET_SCHEMA), f"{path}/prefixes")
     # equal sets are one class, named by its smallest document
     classes = stored(first.where("n > 0").groupBy("key").agg(F.min("doc").alias("rep")), f"{path}/classes")
-    # order 1: token hash
-    one = first.where("n > 0").join(classes.withColumnRenamed("rep", "doc"), ["key", "doc"]).select(
-        "key", F.explode("tokens").alias("token"))
-    shared = one.groupBy("token").agg(F.min("key").alias("k1"), F.max("key").alias("k2")).where("k1 <> k2")
-    left = stored(one.join(shared.select("token"), "token").groupBy("key").agg(F.lit(1).alias("x")).join(
-        classes, "key").select("key", F.col("rep").alias("doc")), f"{path}/left")
-    # whole sets of the classes left
-    full = docs.join(left.select("doc").distinct(), "doc").mapInArrow(_sets(words, num, den, True), SET_SCHEMA)
-    sets = stored(full.join(left.select("key").withColumnRenamed("key", "k"), F.col("key") == F.col("k"), "left_semi")
-                  .dropDuplicates(["key"]).select("key", "doc", "n", "tokens"), f"{path}/sets")
-    # classes are numbered by their key from here on: a row id that several docs cannot share
-    number = F.xxhash64("key")
-    sets = sets.select(number.alias("doc"), "n", "tokens")
-    # order 2: document count, rare first
-    token = sets.select("doc", "n", F.explode("tokens").alias("token"))
-    often = token.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
-    common = token.select("doc", "token").join(often, "token").groupBy("doc").agg(
-        F.sort_array(F.collect_list(F.struct("df", "token"))).alias("t"))
-    most = F.col("n") - F.ceil(F.col("n") * num / F.lit(den)) + 1 - (F.col("n") - F.size("t"))
-    prefix = (sets.select("doc", "n").join(common, "doc").withColumn("m", most.cast("int")).where("m > 0")
-              .select("doc", "n", (F.col("n") - F.size("t")).alias("alone"),
-                      F.explode(F.slice("t", F.lit(1), F.col("m"))["token"]).alias("token")))
-    prefix = stored(prefix, f"{path}/prefix2")
+    # order 1: token hash. Classes are numbered by a hash of their key
+    sample = first.where("n > 0").join(classes.withColumnRenamed("rep", "doc"), ["key", "doc"]).select(
+        F.xxhash64("key").alias("doc"), "n", F.size("tokens").alias("m"), F.explode("tokens").alias("token"))
+    # order 2: document count within these prefixes, rare first
+    often = sample.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
+    common = sample.join(often, "token").groupBy("doc", "n", "m").agg(
+        F.sort_array(F.collect_set(F.struct("df", "token"))).alias("t"))
+    skip = F.ceil(F.col("n") * num / F.lit(den * SHARE)) - 1
+    prefix = stored(common.withColumn("look", (F.size("t") - skip).cast("int")).where("look > 0").select(
+        "doc", "n", (F.col("m") - F.size("t")).alias("alone"),
+        F.explode(F.slice("t", F.lit(1), F.col("look"))["token"]).alias("token")), f"{path}/prefix2")
     again = prefix.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
     groups = stored(prefix.join(again, "token"), f"{path}/groups")
+    # whole sets of the classes that are in a group
+    wanted = groups.select("doc").distinct().join(
+        classes.select(F.xxhash64("key").alias("doc"), "key", "rep"), "doc").select("key", "rep")
+    full = docs.join(wanted.select(F.col("rep").alias("doc")).distinct(), "doc", "left_semi").mapInArrow(
+        _sets(words, num, den, True), SET_SCHEMA)
+    sets = stored(full.join(wanted.select("key"), "key", "left_semi").dropDuplicates(["key"]).select(
+        F.xxhash64("key").alias("doc"), "n", "tokens"), f"{path}/sets")
     # links within groups: pivots first
     links, tried, label = None, None, None
     for r in range(PIVOT_ROUNDS):
