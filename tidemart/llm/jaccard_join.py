@@ -10,7 +10,12 @@ filter is applied under several orders:
    tokens have a rarest one, so the t K - 1 most frequent tokens of a prefix need not be
    looked up. A document without a shared token left is out; a passage that very many
    documents share is not looked up unless most of a document consists of such;
-3. by ascending and by descending token hash, with K = 1, pair by pair, before verification.
+3. by document count, rare first, over the whole sets of the documents left, with K = 1: a
+   document with enough rarer tokens is never looked up by a passage of many documents,
+   even one that makes up most of it;
+4. by ascending and by descending token hash, with K = 1, pair by pair, before verification.
+
+A candidate pair has to pass all of them.
 
 Equal sets are one class from the start. Candidates that share a rare-first prefix
 token form a group; a group is not expanded into all pairs. All members are verified
@@ -138,18 +143,25 @@ def jaccard_components(documents: DataFrame, words: int = 4, num: int = 85, den:
     common = sample.join(often, "token").groupBy("doc", "n", "m").agg(
         F.sort_array(F.collect_set(F.struct("df", "token"))).alias("t"))
     skip = F.ceil(F.col("n") * num / F.lit(den * SHARE)) - 1
-    prefix = stored(common.withColumn("look", (F.size("t") - skip).cast("int")).where("look > 0").select(
-        "doc", "n", (F.col("m") - F.size("t")).alias("alone"),
-        F.explode(F.slice("t", F.lit(1), F.col("look"))["token"]).alias("token")), f"{path}/prefix2")
-    again = prefix.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
-    groups = stored(prefix.join(again, "token"), f"{path}/groups")
-    # whole sets of the classes that are in a group
-    wanted = groups.select("doc").distinct().join(
+    looked = stored(common.withColumn("look", (F.size("t") - skip).cast("int")).where("look > 0").select(
+        "doc", F.explode(F.slice("t", F.lit(1), F.col("look"))["token"]).alias("token")), f"{path}/looked")
+    # whole sets of the classes that share a token there
+    wanted = looked.join(_shared(looked), "token").select("doc").distinct().join(
         classes.select(F.xxhash64("key").alias("doc"), "key", "rep"), "doc").select("key", "rep")
     full = docs.join(wanted.select(F.col("rep").alias("doc")).distinct(), "doc", "left_semi").mapInArrow(
         _sets(words, num, den, True), SET_SCHEMA)
     sets = stored(full.join(wanted.select("key"), "key", "left_semi").dropDuplicates(["key"]).select(
         F.xxhash64("key").alias("doc"), "n", "tokens"), f"{path}/sets")
+    # order 3: document count over whole sets, rare first
+    token = sets.select("doc", "n", F.explode("tokens").alias("token"))
+    often = token.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
+    common = token.join(often, "token").groupBy("doc", "n").agg(
+        F.sort_array(F.collect_list(F.struct("df", "token"))).alias("t"))
+    alone = F.col("n") - F.size("t")  # tokens of no other document come first and need no look-up
+    look = (F.col("n") - F.ceil(F.col("n") * num / F.lit(den)) + 1 - alone).cast("int")
+    prefix = stored(common.withColumn("alone", alone).withColumn("look", look).where("look > 0").select(
+        "doc", "n", "alone", F.explode(F.slice("t", F.lit(1), F.col("look"))["token"]).alias("token")), f"{path}/prefix")
+    groups = stored(prefix.join(_shared(prefix), "token"), f"{path}/groups")
     # links within groups: pivots first
     links, tried, label = None, None, None
     for r in range(PIVOT_ROUNDS):
@@ -181,6 +193,11 @@ def jaccard_components(documents: DataFrame, words: int = 4, num: int = 85, den:
     return _result(first, links, path)
 
 
+def _shared(rows: DataFrame) -> DataFrame:
+    """Tokens of several rows."""
+    return rows.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
+
+
 def _labelled(groups: DataFrame, label: DataFrame) -> DataFrame:
     """Groups with the component of each member (itself if it has no link)."""
     return groups.join(label.withColumnRenamed("node", "doc"), "doc", "left").withColumn(
