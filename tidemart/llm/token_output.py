@@ -43,7 +43,7 @@ BLOCK_SCHEMA = ("shard int, chunk int, first long, n_ids int, planes array<binar
 
 # a word of Latin letters (composed, one lower-case letter each) and punctuation behind it:
 # the tokenizer's pattern cuts exactly there, lower-casing is all its normaliser does
-_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?]*)")
+_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-/:-@\\[-`{-~]*)")
 
 
 def packed(ids: list[int]) -> bytes:
@@ -58,16 +58,18 @@ class WordEncoder:
     the tokenizers library and remembered. Most new pieces are a known word in another
     case or before punctuation, so plain words are remembered on their own and encoded
     by the library's model directly; all other pieces take the whole tokenizer.
-    Memory is bounded: a memo is emptied when it holds ``most`` entries, and entries
-    over ``longest`` characters are not kept.
+    Memory is bounded: a memo of ``most`` entries becomes the old one and is looked up
+    only for what the new one lacks, so frequent entries stay and rare ones go;
+    entries over ``longest`` characters are not kept.
     """
 
-    def __init__(self, path: str, most: int = 500_000, longest: int = 48):
+    def __init__(self, path: str, most: int = 150_000, longest: int = 48):
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.most, self.longest = most, longest
-        self.pieces: dict[str, bytes] = {"": b""}
+        self.pieces: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
+        self.old_pieces, self.old_words = self.pieces, self.words
         self.marks: dict[str, bytes] = {}
         to_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
         letters = map(chr, [*range(0x61, 0x7B), *range(0xDF, 0xF7), *range(0xF8, 0x100)])
@@ -79,19 +81,23 @@ class WordEncoder:
     def _word(self, word: str) -> bytes:
         found = self.words.get(word)
         if found is None:
-            found = packed([t.id for t in self.model.tokenize(word.translate(self.spelled))])
+            found = self.old_words.get(word)
+            if found is None:
+                found = packed([t.id for t in self.model.tokenize(word.translate(self.spelled))])
             if len(word) <= self.longest:
                 self.words[word] = found
         return found
 
     def _piece(self, piece: str) -> bytes:
+        if not piece:
+            return b""
         m = _PLAIN.fullmatch(piece)
         if m is None:
             return self._whole(piece)
         word, mark = m.groups()
         out = self._word(word.lower())
         if mark and mark not in self.marks:
-            if len(mark) > 4:
+            if len(mark) > 8 or len(self.marks) > 10_000:
                 return out + self._whole(mark)
             self.marks[mark] = self._whole(mark)
         return out + self.marks[mark] if mark else out
@@ -99,13 +105,14 @@ class WordEncoder:
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         if len(self.pieces) > self.most:
-            self.pieces = {"": b""}
+            self.old_pieces, self.pieces = self.pieces, {}
         if len(self.words) > self.most:
-            self.words = {}
-        pieces, known = text.replace("\n", " ").split(" "), self.pieces
+            self.old_words, self.words = self.words, {}
+        pieces, known, old = text.replace("\n", " ").split(" "), self.pieces, self.old_pieces
         new = set(pieces).difference(known)
         for p in new:
-            known[p] = self._piece(p)
+            ids = old.get(p)
+            known[p] = self._piece(p) if ids is None else ids
         out = b"".join([known[p] for p in pieces])
         for p in new:
             if len(p) > self.longest:
