@@ -69,11 +69,15 @@ def shingles(words: np.ndarray, size: int) -> Counter:
     """Counts of the ``size``-word shingles; fewer words are one shingle."""
     if len(words) == 0:
         return Counter()
-    n = min(size, len(words))
-    h = np.zeros(len(words) - n + 1, np.uint64)
+    return Counter(shingle_hashes(words, min(size, len(words))).tolist())
+
+
+def shingle_hashes(words: np.ndarray, n: int) -> np.ndarray:
+    """Hash of the n words from each place on."""
+    h = np.zeros(max(0, len(words) - n + 1), np.uint64)
     for i in range(n):
-        h = mix64(h * np.uint64(0x9E3779B97F4A7C15) + words[i:len(words) - n + 1 + i])
-    return Counter(h.tolist())
+        h = mix64(h * np.uint64(0x9E3779B97F4A7C15) + words[i:i + len(h)])
+    return h
 
 
 def weighted_jaccard(a: Counter, b: Counter) -> float:
@@ -113,21 +117,21 @@ def _windows(probes: list[tuple[int, int, int, int, int]]):
         for b in batches:
             data, offsets = text_buffers(b.column(1))
             ids = b.column(0)
-            for i, j in slices(offsets, 1 << 18):
+            for i, j in slices(offsets, 1 << 16):
                 _, _, h, text, _ = words_of(data, offsets[i:j + 1], NON_ALNUM)
                 if not len(h):
                     continue
                 first = np.searchsorted(text, np.arange(j - i + 1))
                 sums = bit_sums(h)
                 docs, items, words = [], [], []
+                room = first[text + 1] - np.arange(len(h))
                 for (s, who), near in zip(classes, tables):
                     # windows of s words; a text with fewer has one window, the whole
-                    start = np.arange(len(h))
-                    ok = first[text + 1] - start >= s
+                    seen = np.packbits(sums[s:] > sums[:-s], axis=1).view(np.uint64).reshape(-1) if s <= len(h) else room[:0].view(np.uint64)
+                    start = np.flatnonzero(room[:len(seen)] >= s)
                     short = np.flatnonzero((np.diff(first) < s) & (np.diff(first) > 0))
-                    start = np.concatenate([start[ok], first[short]])
-                    end = np.concatenate([start[:ok.sum()] + s, first[short + 1]])
-                    seen = fingerprints(h, start, end, sums)
+                    seen = np.concatenate([seen[start], fingerprints(h, first[short], first[short + 1], sums)])
+                    start = np.concatenate([start, first[short]])
                     hit = np.zeros(len(seen), bool)
                     parts = seen.view(np.uint16).reshape(-1, BLOCKS)
                     for k in range(BLOCKS):
@@ -153,14 +157,19 @@ def _windows(probes: list[tuple[int, int, int, int, int]]):
 
 def _verify(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items: dict[bytes, Counter] = {}
         for b in batches:
-            memo: dict[bytes, Counter] = {}
             out = []
-            for w, i in zip(b.column(3).to_pylist(), b.column(4).to_pylist()):
-                for x in (w, i):
-                    if x not in memo:
-                        memo[x] = shingles(np.frombuffer(x, np.uint64), size)
-                out.append(weighted_jaccard(memo[w], memo[i]))
+            windows = [np.frombuffer(w, np.uint64) for w in b.column(3).to_pylist()]
+            h = shingle_hashes(np.concatenate(windows) if windows else np.zeros(0, np.uint64), size)
+            at = 0
+            for w, i in zip(windows, b.column(4).to_pylist()):
+                if i not in items:
+                    items = items if len(items) < 10_000 else {}
+                    items[i] = shingles(np.frombuffer(i, np.uint64), size)
+                own = Counter(h[at:at + len(w) - size + 1].tolist()) if len(w) >= size else shingles(w, size)
+                out.append(weighted_jaccard(own, items[i]))
+                at += len(w)
             yield pa.RecordBatch.from_arrays([*[b.column(k) for k in range(3)], pa.array(out, pa.float64())],
                                              names=["doc_id", "first_word", "item_id", "similarity"])
     return run
