@@ -14,6 +14,8 @@ filter is applied under several orders:
    document with enough rarer tokens is never looked up by a passage of many documents,
    even one that makes up most of it;
 4. by ascending and by descending token hash, with K = 1, pair by pair, before verification.
+   The pairs left after the pivots must also be near in a parity sketch of the whole
+   sets, an exact bound on the similarity.
 
 A candidate pair has to pass all of them.
 
@@ -63,10 +65,6 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> Iterator[
             yield np.zeros(0, np.int64)
 
 
-def prefix_length(n: int, num: int, den: int) -> int:
-    return n - -(-num * n // den) + 1
-
-
 def sample_length(n: int, num: int, den: int) -> int:
     """Prefix in which two sets that reach the similarity share n / 16 tokens at least."""
     return n - -(-num * n // den) + -(-n // SHARE) if n else 0
@@ -89,12 +87,24 @@ def _sets(words: int, num: int, den: int, whole: bool):
                         u = s.view(np.uint64)
                         keys.append(np.array([mix64(u).sum(dtype=np.uint64), mix64(u ^ np.uint64(0x5bd1e995)).sum(dtype=np.uint64)]).tobytes())
                     yield pa.RecordBatch.from_arrays(
-                        [b.column(0).slice(i, j - i), pa.array(n), pa.array(keys, pa.binary()), tokens],
-                        names=["doc", "n", "key", "tokens"])
+                        [b.column(0).slice(i, j - i), pa.array(n), pa.array(keys, pa.binary()), tokens,
+                         pa.array([parity_sketch(s) for s in sets] if whole else [None] * len(sets), pa.list_(pa.int64()))],
+                        names=["doc", "n", "key", "tokens", "sketch"])
     return run
 
 
-SET_SCHEMA = "doc long, n long, key binary, tokens array<long>"
+SET_SCHEMA = "doc long, n long, key binary, tokens array<long>, sketch array<long>"
+SKETCH = 512
+
+
+def parity_sketch(tokens: np.ndarray) -> np.ndarray:
+    """For each of 512 bins of the hash, whether it holds an odd number of tokens.
+
+    Two sketches differ in no more bins than the sets differ in tokens, which bounds
+    their similarity from above.
+    """
+    odd = np.bincount((tokens.view(np.uint64) >> np.uint64(55)).astype(np.int64), minlength=SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
 def _close(a: Column, b: Column, num: int, den: int) -> Column:
@@ -132,7 +142,7 @@ def jaccard_components(documents: DataFrame, words: int = 4, num: int = 85, den:
     path = scratch(spark, "jaccard_join")
     docs = documents.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("doc"),
                             F.col("text").cast("string").alias("text"))
-    first = stored(docs.mapInArrow(_sets(words, num, den, False), SET_SCHEMA), f"{path}/prefixes")
+    first = stored(docs.mapInArrow(_sets(words, num, den, False), SET_SCHEMA).drop("sketch"), f"{path}/prefixes")
     # equal sets are one class, named by its smallest document
     classes = stored(first.where("n > 0").groupBy("key").agg(F.min("doc").alias("rep")), f"{path}/classes")
     # order 1: token hash. Classes are numbered by a hash of their key
@@ -151,7 +161,7 @@ def jaccard_components(documents: DataFrame, words: int = 4, num: int = 85, den:
     full = docs.join(wanted.select(F.col("rep").alias("doc")).distinct(), "doc", "left_semi").mapInArrow(
         _sets(words, num, den, True), SET_SCHEMA)
     sets = stored(full.join(wanted.select("key"), "key", "left_semi").dropDuplicates(["key"]).select(
-        F.xxhash64("key").alias("doc"), "n", "tokens"), f"{path}/sets")
+        F.xxhash64("key").alias("doc"), "n", "tokens", "sketch"), f"{path}/sets")
     # order 3: document count over whole sets, rare first
     token = sets.select("doc", "n", F.explode("tokens").alias("token"))
     often = token.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
@@ -183,10 +193,14 @@ def jaccard_components(documents: DataFrame, words: int = 4, num: int = 85, den:
         label = components(links, f"{path}/components-{r}")
     # the rest: members outside their group's largest component against members of others
     rows = _labelled(groups, label)
-    small = _outside(rows, path, "rest").select(
-        "token", F.col("doc").alias("d2"), F.col("n").alias("n2"), F.col("label").alias("l2"))
+    small = _outside(rows, path, "rest")
+    sketch = sets.select("doc", "sketch")
+    rows = rows.join(small.select("token").distinct(), "token", "left_semi").join(sketch, "doc")
+    small = small.join(sketch, "doc").select(
+        "token", F.col("doc").alias("d2"), F.col("n").alias("n2"), F.col("label").alias("l2"), F.col("sketch").alias("s2"))
+    apart = sum((F.bit_count(F.get("sketch", F.lit(i)).bitwiseXOR(F.get("s2", F.lit(i)))) for i in range(SKETCH // 64)), F.lit(0))
     rest = rows.join(small, "token").where(F.col("label") != F.col("l2")).where(
-        _close(F.col("n"), F.col("n2"), num, den)).select(
+        _close(F.col("n"), F.col("n2"), num, den) & ((den + num) * apart <= (den - num) * (F.col("n") + F.col("n2")))).select(
         F.least("doc", "d2").alias("a"), F.greatest("doc", "d2").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
     links = links.unionByName(stored(_verified(stored(rest, f"{path}/pairs-rest"), sets, num, den), f"{path}/found-rest"))
     # classes and rows with the same doc_id are joined in one graph of class numbers and documents
