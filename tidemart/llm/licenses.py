@@ -170,6 +170,7 @@ def _places_sql(phrase: str) -> str:
 
 
 def oracle(base=BASE, templates=TEMPLATES) -> str:
+    # a nullable long is a double in pandas, which compares the results
     has = lambda p: f"contains(s, ' {p} ')"
     share = ", ".join("(" + " + ".join(f"{has(p)}::INT" for p in ps) + f")::DOUBLE / {len(ps)}" for _, ps in templates)
     own = ", ".join("CASE WHEN " + " AND ".join(has(p) for p in ps) + f" THEN '{label}' END" for label, ps in templates)
@@ -185,7 +186,7 @@ WITH word AS (
   FROM documents),
 line AS (SELECT *, ' ' || array_to_string(w, ' ') || ' ' AS s, {places} AS p FROM word)
 SELECT doc_id, len(w)::BIGINT AS n_words, len(p)::BIGINT AS n_base,
-       list_min(p) AS first_word, list_max(p) AS last_word,
+       list_min(p)::DOUBLE AS first_word, list_max(p)::DOUBLE AS last_word,
        {joined(found)} AS base_labels, {joined(found + ', ' + own)} AS labels,
        greatest(CASE WHEN len(p) > 0 THEN 1.0 ELSE 0.0 END::DOUBLE, {share}) AS score
 FROM line
