@@ -14,8 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import read_table, scratch, stored
-from tidemart.llm.decontaminate import contaminated
+from tidemart.llm.common import read_table, scratch, stored, text_key
+from tidemart.llm.decontaminate import contaminated_rows
 from tidemart.llm.jaccard_join import jaccard_components
 from tidemart.llm.mixing import mix
 from tidemart.llm.token_output import token_files
@@ -42,9 +42,14 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a window similar (0.8 or more) to a benchmark item."""
-    found = contaminated(docs, read_table(spark, sf_dir, "benchmark"))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    """Documents without a window similar (0.8 or more) to a benchmark item.
+
+    Rows with the same doc_id are one document; rows without one are judged by their own text.
+    """
+    found = contaminated_rows(docs, read_table(spark, sf_dir, "benchmark")).select(
+        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
+    key = text_key(F.col("doc_id"), F.col("text"))
+    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & key.eqNullSafe(F.col("_key")), "left_anti")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -103,3 +103,17 @@ def test_empty_documents_pass_through_every_stage(spark, corpus):
     for _, stage in P.STAGES:
         docs = stage(spark, docs, folder)
         assert docs.count() == 0
+
+
+def test_decontamination_judges_rows_without_an_id_by_their_text(spark, tmp_path):
+    rnd = random.Random(21)
+    text = lambda n: " ".join(f"w{rnd.randrange(500)}" for _ in range(n))
+    items = [(1, text(20)), (None, text(30)), (None, text(25))]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    clean = [(None, text(60)), (None, text(40)), (None, None), (None, ""), (1, text(50))]
+    held = [(None, items[0][1]), (None, text(9) + " " + items[0][1]), (None, items[1][1]), (2, text(5) + " " + items[2][1]),
+            (3, items[0][1]), (3, text(30))]
+    docs = spark.createDataFrame([(d, t, "en", "s", 0) for d, t in clean + held], COLS).repartition(3)
+    out = P.drop_contaminated(spark, docs, str(tmp_path))
+    assert out.columns == docs.columns
+    assert Counter(rows(out)) == Counter(clean)

@@ -77,6 +77,11 @@ def id_order(col) -> F.col:
     return F.coalesce(col.cast("long"), F.lit(LAST_ID))
 
 
+def text_key(doc_id, text) -> F.col:
+    """Names a row without an id by a hash of its text; null for rows with an id."""
+    return F.when(doc_id.isNull(), F.xxhash64(F.coalesce(text.cast("string"), F.lit(""))))
+
+
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes and n+1 offsets of a string column; a null is an empty text."""
     column = pc.fill_null(column.cast(pa.large_string()), "")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import NON_ALNUM, mix64, read_table, scratch, slices, stored, text_buffers, words_of
+from tidemart.llm.common import NON_ALNUM, mix64, read_table, scratch, slices, stored, text_buffers, text_key, words_of
 
 RADIUS, BLOCKS, BLOCK_BITS = 7, 4, 16
 RATIO = 1.25
@@ -107,7 +107,7 @@ def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _windows(probes: list[tuple[int, int, int, int, int]]):
-    """probes: (item_id, item's words, window size, words before the probe, fingerprint)."""
+    """probes: (item number, item's words, window size, words before the probe, fingerprint)."""
     item, n, size, ahead = (np.array([p[i] for p in probes], np.int64) for i in range(4))
     prints = np.array([p[4] for p in probes], np.int64).view(np.uint64)
 
@@ -116,7 +116,7 @@ def _windows(probes: list[tuple[int, int, int, int, int]]):
         tables = [near_tables(prints[who]) for _, who in classes]
         for b in batches:
             data, offsets = text_buffers(b.column(1))
-            ids = b.column(0)
+            ids, keys = b.column(0), b.column(2)
             for i, j in slices(offsets, 1 << 16):
                 _, _, h, text, _ = words_of(data, offsets[i:j + 1], NON_ALNUM)
                 if not len(h):
@@ -148,10 +148,11 @@ def _windows(probes: list[tuple[int, int, int, int, int]]):
                             items.append(int(item[x]))
                             words.append(h[a:e].tobytes())
                 if docs:
+                    at = pa.array([i + t for t, _ in docs])
                     yield pa.RecordBatch.from_arrays(
-                        [ids.take(pa.array([i + t for t, _ in docs])), pa.array([w for _, w in docs], pa.int64()),
+                        [ids.take(at), keys.take(at), pa.array([w for _, w in docs], pa.int64()),
                          pa.array(items, pa.int64()), pa.array(words, pa.binary())],
-                        names=["doc_id", "first_word", "item_id", "words"])
+                        names=["doc_id", "text_key", "first_word", "item", "words"])
     return run
 
 
@@ -160,57 +161,69 @@ def _verify(size: int):
         items: dict[bytes, Counter] = {}
         for b in batches:
             out = []
-            windows = [np.frombuffer(w, np.uint64) for w in b.column(3).to_pylist()]
+            windows = [np.frombuffer(w, np.uint64) for w in b.column(5).to_pylist()]
             h = shingle_hashes(np.concatenate(windows) if windows else np.zeros(0, np.uint64), size)
             at = 0
-            for w, i in zip(windows, b.column(4).to_pylist()):
+            for w, i in zip(windows, b.column(6).to_pylist()):
                 if i not in items:
                     items = items if len(items) < 10_000 else {}
                     items[i] = shingles(np.frombuffer(i, np.uint64), size)
                 own = Counter(h[at:at + len(w) - size + 1].tolist()) if len(w) >= size else shingles(w, size)
                 out.append(weighted_jaccard(own, items[i]))
                 at += len(w)
-            yield pa.RecordBatch.from_arrays([*[b.column(k) for k in range(3)], pa.array(out, pa.float64())],
-                                             names=["doc_id", "first_word", "item_id", "similarity"])
+            yield pa.RecordBatch.from_arrays([*[b.column(k) for k in range(5)], pa.array(out, pa.float64())],
+                                             names=["doc_id", "text_key", "first_word", "item", "item_id", "similarity"])
     return run
 
 
-def contaminated(documents: DataFrame, benchmark: DataFrame, words: int = 5, similarity: float = 0.8,
-                 chunk: int = CHUNK) -> DataFrame:
-    """doc_id, item_id, similarity, first_word: the best window of each document for each item it holds.
+def contaminated_rows(documents: DataFrame, benchmark: DataFrame, words: int = 5, similarity: float = 0.8,
+                      chunk: int = CHUNK) -> DataFrame:
+    """doc_id, text_key, item_id, similarity, first_word: the best window of each document for each item it holds.
 
     Words are runs of 0-9, a-z and non-ASCII characters, A-Z lower-cased. Items with
     fewer than ``words`` words are one shingle; items without words match nothing, and
-    so do null texts and ids. Repeated items are items of their own; rows with the same
-    doc_id are one document; among equal windows the first is named.
+    so do null texts. Repeated items are items of their own, also those with a null
+    id. Rows with the same doc_id are one document; rows without one are a document
+    for each distinct text, named by ``text_key`` (null for rows with an id). Among
+    equal windows the first is named.
     """
     spark = documents.sparkSession
     path = scratch(spark, "decontaminate")
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    items = stored(items.where("item_id IS NOT NULL").mapInArrow(
+    # items are numbered, for those without an id
+    items = stored(items.mapInArrow(
         _item_words, "item_id long, item_words binary, n long, size int, front long, back long")
-        .where("n > 0").withColumn("part", F.pmod(F.xxhash64("item_id", "item_words"), F.lit(1 << 20))), f"{path}/items")
+        .where("n > 0").distinct().withColumn("item", F.monotonically_increasing_id())
+        .withColumn("part", F.pmod(F.xxhash64("item"), F.lit(1 << 20))), f"{path}/items")
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    docs = docs.where("doc_id IS NOT NULL")
+    docs = docs.select("doc_id", "text", text_key(F.col("doc_id"), F.col("text")).alias("text_key"))
     n_items, found = items.count(), None
     parts = max(1, -(-2 * n_items // chunk)) if n_items > chunk else 1
-    kinds = "doc_id long, first_word long, item_id long, words binary"
+    kinds = "doc_id long, text_key long, first_word long, item long, words binary"
     for p in range(parts):
         # at most about ``chunk`` items, 32 bytes a probe
-        rows = items.where(F.col("part") % parts == p).select("item_id", "n", "size", "front", "back").collect()
-        probes = sorted({(r["item_id"], r["n"], r["size"], ahead, f) for r in rows
+        rows = items.where(F.col("part") % parts == p).select("item", "n", "size", "front", "back").collect()
+        probes = sorted({(r["item"], r["n"], r["size"], ahead, f) for r in rows
                          for ahead, f in ((0, r["front"]), (r["n"] - r["size"], r["back"]))})
         part = docs.mapInArrow(_windows(probes), kinds) if probes else spark.createDataFrame([], kinds)
         found = part if found is None else found.unionByName(part)
     found = stored(found.distinct(), f"{path}/candidates")
-    pairs = found.join(items.select("item_id", "item_words"), "item_id").select(
-        "doc_id", "first_word", "item_id", "words", "item_words")
-    sure = pairs.mapInArrow(_verify(words), "doc_id long, first_word long, item_id long, similarity double").where(
+    pairs = found.join(items.select("item", "item_id", "item_words"), "item").select(
+        "doc_id", "text_key", "first_word", "item", "item_id", "words", "item_words")
+    sure = pairs.mapInArrow(
+        _verify(words), "doc_id long, text_key long, first_word long, item long, item_id long, similarity double").where(
         F.col("similarity") >= similarity)
     best = F.max(F.struct("similarity", (-F.col("first_word")).alias("w")))
-    return sure.groupBy("doc_id", "item_id").agg(best.alias("b")).select(
-        "doc_id", "item_id", F.col("b.similarity").alias("similarity"), (-F.col("b.w")).alias("first_word"))
+    unnamed = F.when(F.col("item_id").isNull(), F.col("item")).alias("unnamed")
+    return sure.groupBy("doc_id", "text_key", "item_id", unnamed).agg(best.alias("b")).select(
+        "doc_id", "text_key", "item_id", F.col("b.similarity").alias("similarity"), (-F.col("b.w")).alias("first_word"))
+
+
+def contaminated(documents: DataFrame, benchmark: DataFrame, words: int = 5, similarity: float = 0.8,
+                 chunk: int = CHUNK) -> DataFrame:
+    """doc_id, item_id, similarity, first_word of ``contaminated_rows`` for the documents with an id."""
+    return contaminated_rows(documents, benchmark, words, similarity, chunk).where("doc_id IS NOT NULL").drop("text_key")
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return contaminated_rows(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).drop("text_key")
