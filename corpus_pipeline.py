@@ -11,12 +11,12 @@ SQL form; tests/llm/test_pipeline.py compares the stages with brute-force versio
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemart.llm.common import read_table, scratch, stored, text_key
 from tidemart.llm.decontaminate import contaminated_rows
-from tidemart.llm.jaccard_join import jaccard_components
+from tidemart.llm.jaccard_join import first_of_components
 from tidemart.llm.mixing import mix
 from tidemart.llm.token_output import token_files
 from tidemart.llm.toxicity import keep_clean, learn
@@ -33,12 +33,17 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """The smallest doc_id of each component of 5-word shingle Jaccard similarity 0.8 or more.
 
     Rows with the same doc_id are one document and stay or go together; texts
-    without words link with nothing and stay.
+    without words link with nothing and stay. A row without an id is a document of its
+    own: it goes if its component has a doc_id, else one row of the component stays.
     """
-    groups = jaccard_components(docs, words=5, num=80, den=100)
-    stay = groups.where(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(
-        F.col("doc_id").alias("_stay")).distinct()
-    return docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_stay")), "left_semi")
+    stay = first_of_components(docs, words=5, num=80, den=100).select(
+        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "single")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & text_key(F.col("doc_id"), F.col("text")).eqNullSafe(F.col("_key"))
+    # equal texts without an id: the first row by a hash of the row
+    turn = Window.partitionBy(text_key(F.col("doc_id"), F.col("text"))).orderBy(F.xxhash64(*docs.columns))
+    one = docs.where("doc_id IS NULL").join(stay.where("single"), same, "left_semi").withColumn(
+        "_turn", F.row_number().over(turn)).where("_turn = 1").select(*docs.columns)
+    return docs.join(stay.where("NOT single"), same, "left_semi").unionByName(one)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

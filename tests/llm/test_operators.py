@@ -268,6 +268,15 @@ def test_token_counts_of_redacted_documents(spark, docs):
     assert {r["doc_id"]: r["n_edits"] for r in got}[50] == 5
 
 
+def test_jaccard_rows_without_an_id_are_nodes_of_their_own(spark):
+    text = lambda k: " ".join(f"{k}{i}" for i in range(40))
+    rows = [(5, text("a")), (9, text("b")), (None, text("a")), (None, text("b") + " tail"), (None, text("c")),
+            (None, text("c")), (None, text("d")), (None, None)]
+    got = table(jaccard_join.jaccard_components(H.frame(spark, rows).repartition(3)), "doc_id", "n_shingles", "component_id")
+    assert got == Counter([(5, 37, 5), (9, 37, 9), (None, 37, 5), (None, 38, 9), (None, 37, None), (None, 37, None),
+                           (None, 37, None), (None, 0, None)])
+
+
 # -- decontamination ----------------------------------------------------------------------
 
 def plain_contaminated(rows, items, words, similarity):

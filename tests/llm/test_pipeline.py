@@ -117,3 +117,17 @@ def test_decontamination_judges_rows_without_an_id_by_their_text(spark, tmp_path
     out = P.drop_contaminated(spark, docs, str(tmp_path))
     assert out.columns == docs.columns
     assert Counter(rows(out)) == Counter(clean)
+
+
+def test_near_duplicates_judges_rows_without_an_id_one_by_one(spark):
+    rnd = random.Random(22)
+    text = lambda n: " ".join(f"w{rnd.randrange(500)}" for _ in range(n))
+    a, b, c, d, e = (text(60) for _ in range(5))
+    stay = [(5, a), (9, b), (None, c), (None, d), (None, None), (None, ""), (None, " ")]
+    go = [(None, a), (None, b + " tail"), (None, a.upper()), (None, c), (11, b)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in stay + go + [(None, e), (None, e + " tail")]], COLS).repartition(3)
+    out = P.drop_near_duplicates(spark, docs, "")
+    assert out.columns == docs.columns
+    got = Counter(rows(out))
+    pair = [got.pop((None, t), 0) for t in (e, e + " tail")]
+    assert got == Counter(stay) and sorted(pair) == [0, 1]

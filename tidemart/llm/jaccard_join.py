@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import LAST_ID, WHITE_SPACE, mix64, read_table, scratch, slices, stored, text_buffers, words_of
+from tidemart.llm.common import LAST_ID, WHITE_SPACE, mix64, read_table, scratch, slices, stored, text_buffers, text_key, words_of
 from tidemart.llm.components import components
 
 PIVOT_ROUNDS = 1
@@ -87,13 +87,13 @@ def _sets(words: int, num: int, den: int, whole: bool):
                         u = s.view(np.uint64)
                         keys.append(np.array([mix64(u).sum(dtype=np.uint64), mix64(u ^ np.uint64(0x5bd1e995)).sum(dtype=np.uint64)]).tobytes())
                     yield pa.RecordBatch.from_arrays(
-                        [b.column(0).slice(i, j - i), pa.array(n), pa.array(keys, pa.binary()), tokens,
+                        [b.column(0).slice(i, j - i), b.column(2).slice(i, j - i), pa.array(n), pa.array(keys, pa.binary()), tokens,
                          pa.array([parity_sketch(s) for s in sets] if whole else [None] * len(sets), pa.list_(pa.int64()))],
-                        names=["doc", "n", "key", "tokens", "sketch"])
+                        names=["doc", "own", "n", "key", "tokens", "sketch"])
     return run
 
 
-SET_SCHEMA = "doc long, n long, key binary, tokens array<long>, sketch array<long>"
+SET_SCHEMA = "doc long, own long, n long, key binary, tokens array<long>, sketch array<long>"
 SKETCH = 512
 
 
@@ -135,18 +135,43 @@ def jaccard_components(documents: DataFrame, words: int = 4, num: int = 85, den:
     words are one shingle). ``component_id`` is the smallest doc_id reachable by
     links. Null and empty texts have no shingles and link with nothing, not even each
     other. Rows with the same doc_id are one node (linked with what any of them links
-    with); a null doc_id is treated as the largest id and returned as null, alone
-    a null component. Other columns are ignored.
+    with). Rows with a null doc_id are nodes by their own texts, after all ids; a
+    component of such rows only is a null component. Other columns are ignored.
     """
+    null_last = lambda c: F.when(F.col(c) != LAST_ID, F.col(c))
+    return _labelled_rows(documents, words, num, den).select(
+        null_last("doc").alias("doc_id"), F.col("n").alias("n_shingles"), null_last("least").alias("component_id"))
+
+
+def first_of_components(documents: DataFrame, words: int = 4, num: int = 85, den: int = 100) -> DataFrame:
+    """doc_id, text_key, single: the documents that stand for their component of ``jaccard_components``.
+
+    These are the smallest doc_id of a component, and of a component of rows without an id
+    one text, named by ``text_key`` (``single``: one row of it is enough). Texts without
+    words stand for themselves.
+    """
+    rows = stored(_labelled_rows(documents, words, num, den), f"{scratch(documents.sparkSession, 'jaccard_join')}/first")
+    named = rows.where("own IS NULL AND least = doc").select(F.col("doc").alias("doc_id"), "own", F.lit(False).alias("single"))
+    unnamed = rows.where((F.col("least") == LAST_ID) & F.col("own").isNotNull())
+    one = unnamed.where("n > 0").groupBy("label").agg(F.min("own").alias("own")).select(
+        F.lit(None).cast("long").alias("doc_id"), "own", F.lit(True).alias("single"))
+    empty = unnamed.where("n = 0").select(F.lit(None).cast("long").alias("doc_id"), "own", F.lit(False).alias("single"))
+    return named.unionByName(one).unionByName(empty).withColumnRenamed("own", "text_key").distinct()
+
+
+def _labelled_rows(documents: DataFrame, words: int, num: int, den: int) -> DataFrame:
+    """doc (null: LAST_ID), own (the text key of a row without an id), n, label, least per input row."""
     spark = documents.sparkSession
     path = scratch(spark, "jaccard_join")
     docs = documents.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("doc"),
-                            F.col("text").cast("string").alias("text"))
+                            F.col("text").cast("string").alias("text"),
+                            text_key(F.col("doc_id").cast("long"), F.col("text")).alias("own"))
     first = stored(docs.mapInArrow(_sets(words, num, den, False), SET_SCHEMA).drop("sketch"), f"{path}/prefixes")
     # equal sets are one class, named by its smallest document
-    classes = stored(first.where("n > 0").groupBy("key").agg(F.min("doc").alias("rep")), f"{path}/classes")
+    classes = stored(first.where("n > 0").groupBy("key").agg(F.min("doc").alias("rep"), F.min("own").alias("own")).withColumn(
+        "own", F.when(F.col("rep") == LAST_ID, F.col("own"))), f"{path}/classes")
     # order 1: token hash. Classes are numbered by a hash of their key
-    sample = first.where("n > 0").join(classes.withColumnRenamed("rep", "doc"), ["key", "doc"]).select(
+    sample = first.where("n > 0").join(classes.select("key", F.col("rep").alias("doc")), ["key", "doc"]).select(
         F.xxhash64("key").alias("doc"), "n", F.size("tokens").alias("m"), F.explode("tokens").alias("token"))
     # order 2: document count within these prefixes, rare first
     often = sample.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
@@ -157,8 +182,9 @@ def jaccard_components(documents: DataFrame, words: int = 4, num: int = 85, den:
         "doc", F.explode(F.slice("t", F.lit(1), F.col("look"))["token"]).alias("token")), f"{path}/looked")
     # whole sets of the classes that share a token there
     wanted = looked.join(_shared(looked), "token").select("doc").distinct().join(
-        classes.select(F.xxhash64("key").alias("doc"), "key", "rep"), "doc").select("key", "rep")
-    full = docs.join(wanted.select(F.col("rep").alias("doc")).distinct(), "doc", "left_semi").mapInArrow(
+        classes.select(F.xxhash64("key").alias("doc"), "key", "rep", "own"), "doc").select("key", "rep", F.col("own").alias("rep_own"))
+    full = docs.join(wanted.select("rep", "rep_own").distinct(), (F.col("doc") == F.col("rep")) & F.col("own").eqNullSafe(
+        F.col("rep_own")), "left_semi").mapInArrow(
         _sets(words, num, den, True), SET_SCHEMA)
     sets = stored(full.join(wanted.select("key"), "key", "left_semi").dropDuplicates(["key"]).select(
         F.xxhash64("key").alias("doc"), "n", "tokens", "sketch"), f"{path}/sets")
@@ -229,20 +255,18 @@ def _outside(rows: DataFrame, path: str, turn) -> DataFrame:
 def _result(first: DataFrame, links: DataFrame, path: str) -> DataFrame:
     # components of classes, by class number
     label = components(links, f"{path}/components-all").withColumnRenamed("node", "number")
-    rows = first.select("doc", "n", F.when(F.col("n") > 0, F.xxhash64("key")).alias("number")).join(
+    rows = first.select("doc", "own", "n", F.when(F.col("n") > 0, F.xxhash64("key")).alias("number")).join(
         label, "number", "left").withColumn("label", F.coalesce("label", "number"))
     rows = stored(rows, f"{path}/rows")
     least = rows.where("label IS NOT NULL").groupBy("label").agg(F.min("doc").alias("least"))
     rows = rows.join(least, "label", "left").withColumn("least", F.coalesce("least", "doc"))
-    # documents with several rows of different text tie their components together
-    ties = rows.groupBy("doc").agg(F.min("least").alias("a"), F.max("least").alias("b")).where("a <> b").select("a", "b")
+    # documents with several rows of different text tie their components together; rows without an id do not
+    ties = rows.where("own IS NULL").groupBy("doc").agg(F.min("least").alias("a"), F.max("least").alias("b")).where("a <> b").select("a", "b")
     ties = stored(ties, f"{path}/ties")
     if ties.limit(1).count():
         tie = components(ties, f"{path}/components-ties").select(F.col("node").alias("least"), F.col("label").alias("tied"))
         rows = rows.join(tie, "least", "left").withColumn("least", F.coalesce("tied", "least"))
-    null_last = lambda c: F.when(F.col(c) != LAST_ID, F.col(c))
-    return rows.select(null_last("doc").alias("doc_id"), F.col("n").alias("n_shingles"),
-                       null_last("least").alias("component_id"))
+    return rows.select("doc", "own", "n", "label", "least")
 
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
