@@ -277,6 +277,14 @@ def test_jaccard_rows_without_an_id_are_nodes_of_their_own(spark):
                            (None, 37, None), (None, 0, None)])
 
 
+def test_jaccard_ties_all_components_of_a_repeated_id(spark):
+    text = lambda k: " ".join(f"{k}{i}" for i in range(40))
+    rows = [(2, text("a")), (5, text("b")), (9, text("c")), (20, text("a")), (20, text("b")), (20, text("c")), (20, text("d")),
+            (20, None), (30, text("d")), (31, text("e")), (31, text("f")), (40, text("f"))]
+    got = table(jaccard_join.jaccard_components(H.frame(spark, rows).repartition(3)), "doc_id", "component_id")
+    assert got == Counter((d, 31 if d in (31, 40) else 2) for d, _ in rows)
+
+
 # -- decontamination ----------------------------------------------------------------------
 
 def plain_contaminated(rows, items, words, similarity):

@@ -261,9 +261,10 @@ def _result(first: DataFrame, links: DataFrame, path: str) -> DataFrame:
     least = rows.where("label IS NOT NULL").groupBy("label").agg(F.min("doc").alias("least"))
     rows = rows.join(least, "label", "left").withColumn("least", F.coalesce("least", "doc"))
     # documents with several rows of different text tie their components together; rows without an id do not
-    ties = rows.where("own IS NULL").groupBy("doc").agg(F.min("least").alias("a"), F.max("least").alias("b")).where("a <> b").select("a", "b")
-    ties = stored(ties, f"{path}/ties")
-    if ties.limit(1).count():
+    torn = stored(rows.where("own IS NULL").groupBy("doc").agg(F.min("least").alias("a"), F.max("least").alias("b")).where(
+        "a <> b").select("doc", "a"), f"{path}/torn")
+    if torn.limit(1).count():
+        ties = rows.where("own IS NULL").join(torn, "doc").where("least <> a").select("a", F.col("least").alias("b")).distinct()
         tie = components(ties, f"{path}/components-ties").select(F.col("node").alias("least"), F.col("label").alias("tied"))
         rows = rows.join(tie, "least", "left").withColumn("least", F.coalesce("tied", "least"))
     return rows.select("doc", "own", "n", "label", "least")
