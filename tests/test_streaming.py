@@ -232,3 +232,61 @@ def test_pipeline_raises_when_a_mart_fails(spark, landing_small, monkeypatch):
                        lambda: dt.date(2001, 8, 1), checkpoint=f"{base}/ckpt")
     with pytest.raises(Exception, match="no mart today"):
         q.awaitTermination()
+
+
+def _marts_equal_batch(spark, landing, marts, batch_root, as_of):
+    from tidemart.plans import refresh as R
+    for name in ["agg_daily_category_spend", "agg_daily_revenue_territory"]:
+        R.refresh_mart(spark, landing, name, as_of, batch_root)
+        want = R.read_mart(spark, batch_root, name).drop("_etl_loaded_at")
+        got = R.read_mart(spark, marts, name).select(*want.columns)
+        if _rows(got) != _rows(want):
+            return False
+    return True
+
+
+def _backlog(landing, feed):
+    """The change records of three tables, POs in three files: a feed of several batches."""
+    tables = ["fact_po_item_raw", "dim_organization_raw", "fact_po_raw"]
+    for t in tables:
+        to_envelope(landing.raw(t), t).repartition(3 if t == "fact_po_raw" else 1).write.mode("append").parquet(feed)
+    return tables
+
+
+def _some_marts(monkeypatch):
+    from tidemart.plans import refresh as R
+    monkeypatch.setitem(R.GROUPS, "agg", ["agg_daily_category_spend", "agg_daily_revenue_territory"])
+
+
+def test_pipeline_backlog_of_several_batches_reaches_the_marts(spark, landing_small, monkeypatch):
+    from tidemart.streaming.pipeline import start_pipeline
+    _some_marts(monkeypatch)
+    base = tempfile.mkdtemp(prefix="pipe-", dir="/tmp")
+    tables, as_of = _backlog(landing_small, f"{base}/feed"), dt.date(2001, 8, 1)
+    q = start_pipeline(change_feed(spark, f"{base}/feed", 1), f"{base}/land", f"{base}/marts", tables, lambda: as_of,
+                       group="agg", checkpoint=f"{base}/ckpt")
+    q.awaitTermination()
+    assert q.lastProgress["batchId"] >= 4 and not q.isActive
+    assert _marts_equal_batch(spark, landing_small, f"{base}/marts", f"{base}/batch", as_of)
+
+
+def test_pipeline_timer_refreshes_without_a_further_batch(spark, landing_small, monkeypatch):
+    import time
+    from tidemart.plans import refresh as R
+    from tidemart.streaming.pipeline import start_pipeline
+    _some_marts(monkeypatch)
+    passes, run = [], R.run
+    monkeypatch.setattr(R, "run", lambda *a, **k: (run(*a, **k), passes.append(1))[0])
+    base = tempfile.mkdtemp(prefix="pipe-", dir="/tmp")
+    tables, as_of = _backlog(landing_small, f"{base}/feed"), dt.date(2001, 8, 1)
+    q = start_pipeline(change_feed(spark, f"{base}/feed", 1), f"{base}/land", f"{base}/marts", tables, lambda: as_of,
+                       group="agg", checkpoint=f"{base}/ckpt", processing_time="1 second", refresh_every=25)
+    try:
+        q.processAllAvailable()
+        end = time.monotonic() + 90
+        while time.monotonic() < end and not (os.path.exists(f"{base}/marts") and len(passes) > 1):
+            time.sleep(1)
+        assert len(passes) > 1
+        assert _marts_equal_batch(spark, landing_small, f"{base}/marts", f"{base}/batch", as_of)
+    finally:
+        q.stop()
