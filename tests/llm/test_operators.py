@@ -332,6 +332,31 @@ def test_decontamination_finds_planted_items(spark):
     assert {(r["doc_id"], r["item_id"]): r["similarity"] for r in chunked.collect()} == got
 
 
+def test_decontamination_finds_altered_items_of_every_length(spark):
+    """Changed, lost and added words in items of each length of the benchmark tables; every passage of 0.8 or more is found."""
+    rnd = random.Random(31)
+    vocab = [f"w{i}" for i in range(2000)]
+    text = lambda n: [rnd.choice(vocab) for _ in range(n)]
+    items = [(n, " ".join(text(n))) for n in range(13, 60)]
+    rows, pairs = [], []
+    for i, item in items:
+        for k in range(8):
+            x = item.split()
+            for _ in range(rnd.randint(1, 3)):
+                at = rnd.choice([0, 1, 2, -1, -2, -3, rnd.randrange(len(x))])
+                x[at:len(x) if at == -1 else at + 1] = rnd.choice([["other"], ["other"], [], [x[at], "more"]])
+            d = len(rows)
+            rows.append((d, " ".join(text(rnd.choice([0, 20])) + x + text(rnd.choice([0, 20])))))
+            pairs.append((d, i, item))
+    want = {}
+    for d, i, item in pairs:
+        want.update(plain_contaminated([rows[d]], [(i, item)], 5, 0.8))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in decontaminate.contaminated(H.frame(spark, rows), bench).collect()}
+    assert len(want) > 100 and {i for _, i in want} == {i for i, _ in items}
+    assert {k: round(v, 9) for k, v in got.items()} == {k: round(v, 9) for k, v in want.items()}
+
+
 # -- licences -----------------------------------------------------------------------------
 
 def test_license_scan(spark):

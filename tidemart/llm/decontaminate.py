@@ -6,16 +6,19 @@ by its first and its last words of that size. A window's 64-bit SimHash sums the
 hash bits. Probes and windows are compared by four 16-bit blocks: fingerprints within
 radius 7 agree in some block up to one bit, so looking up each block among the probes'
 blocks and their one-bit neighbours finds all of them; the full distance is then
-checked. Each candidate is verified: the multiset of 5-word shingles of the
+checked. In a short window one changed word flips more bits than the radius, so windows
+are also found by some shingles of each item (``anchors``), more than a window as similar as
+wanted can lack: whatever the item's length, no such window is lost. Each candidate is verified: the multiset of 5-word shingles of the
 item-sized window around it against the item's, by weighted Jaccard similarity
 (sum of smaller counts / sum of larger counts).
 
-Only fingerprints are sent to the tasks (32 bytes a probe, ``chunk`` items at a time);
-the verification joins candidates with the item table.
+Only fingerprints and anchors are sent to the tasks (32 bytes a probe, 8 an anchor, ``chunk``
+items at a time); the verification joins candidates with the item table.
 """
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 
@@ -80,38 +83,92 @@ def shingle_hashes(words: np.ndarray, n: int) -> np.ndarray:
     return h
 
 
+def may_lack(n: int, similarity: float) -> int:
+    """How many of an item's n shingles a window that reaches the similarity can lack."""
+    return n - max(1, math.ceil(n * similarity - 1e-9))
+
+
+def anchor_places(n: int, similarity: float) -> np.ndarray:
+    """Places of the anchors among an item's n shingles: of twice as many as can be lacking, and one, most are there."""
+    return np.unique(np.linspace(0, n - 1, min(n, 2 * may_lack(n, similarity) + 1)).astype(np.int64))
+
+
 def weighted_jaccard(a: Counter, b: Counter) -> float:
     low = sum(min(n, b[s]) for s, n in a.items() if s in b)
     high = sum(a.values()) + sum(b.values()) - low
     return low / high if high else 0.0
 
 
-def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        data, offsets = text_buffers(b.column(1))
-        for i, j in slices(offsets):
-            _, _, h, text, _ = words_of(data, offsets[i:j + 1], NON_ALNUM)
-            ends = np.searchsorted(text, np.arange(j - i + 1))
-            words, sizes, front, back = [], [], [], []
-            for a, e in zip(ends, ends[1:]):
-                w, n = h[a:e], window_size(int(e - a)) if e > a else 0
-                words.append(w.tobytes())
-                sizes.append(n)
-                f = fingerprints(w, np.array([0, len(w) - n]), np.array([n, len(w)])) if n else np.zeros(2, np.uint64)
-                front.append(int(f[0].view(np.int64)))
-                back.append(int(f[1].view(np.int64)))
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0).slice(i, j - i), pa.array(words, pa.binary()), pa.array(np.diff(ends), pa.int64()),
-                 pa.array(sizes, pa.int32()), pa.array(front, pa.int64()), pa.array(back, pa.int64())],
-                names=["item_id", "item_words", "n", "size", "front", "back"])
-
-
-def _windows(probes: list[tuple[int, int, int, int, int]]):
-    """probes: (item number, item's words, window size, words before the probe, fingerprint)."""
+def _item_words(shingle: int, similarity: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            data, offsets = text_buffers(b.column(1))
+            for i, j in slices(offsets):
+                _, _, h, text, _ = words_of(data, offsets[i:j + 1], NON_ALNUM)
+                ends = np.searchsorted(text, np.arange(j - i + 1))
+                words, sizes, front, back, anchors = [], [], [], [], []
+                for a, e in zip(ends, ends[1:]):
+                    w, n = h[a:e], window_size(int(e - a)) if e > a else 0
+                    words.append(w.tobytes())
+                    sizes.append(n)
+                    f = fingerprints(w, np.array([0, len(w) - n]), np.array([n, len(w)])) if n else np.zeros(2, np.uint64)
+                    front.append(int(f[0].view(np.int64)))
+                    back.append(int(f[1].view(np.int64)))
+                    # an item of fewer words is found only as it is, by its fingerprint
+                    own = shingle_hashes(w, shingle)
+                    anchors.append(own[anchor_places(len(own), similarity)].tobytes() if len(own) else b"")
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).slice(i, j - i), pa.array(words, pa.binary()), pa.array(np.diff(ends), pa.int64()),
+                     pa.array(sizes, pa.int32()), pa.array(front, pa.int64()), pa.array(back, pa.int64()),
+                     pa.array(anchors, pa.binary())],
+                    names=["item_id", "item_words", "n", "size", "front", "back", "anchors"])
+    return run
+
+
+def _windows(probes: list[tuple[int, int, int, int, int]], anchors: list[tuple[int, int, bytes]], shingle: int,
+             similarity: float):
+    """probes: (item number, item's words, window size, words before the probe, fingerprint);
+    anchors: (item number, item's words, hashes of its shingles at ``anchor_places``)."""
     item, n, size, ahead = (np.array([p[i] for p in probes], np.int64) for i in range(4))
     prints = np.array([p[4] for p in probes], np.int64).view(np.uint64)
 
+    anchored = [a for a in anchors if a[2]]
+    places = [anchor_places(k - shingle + 1, similarity) for _, k, _ in anchored]
+    mark = np.frombuffer(b"".join(a[2] for a in anchored), np.uint64)
+    whose, place = np.repeat(np.arange(len(places)), [len(x) for x in places]), np.concatenate([*places, np.zeros(0, np.int64)])
+    order = np.argsort(mark, kind="stable")
+    mark, whose, place = mark[order], whose[order], place[order]
+    name, length = (np.array([a[i] for a in anchored], np.int64) for i in range(2))
+    lack = np.array([may_lack(k - shingle + 1, similarity) for _, k, _ in anchored], np.int64)
+    need = np.array([len(x) for x in places], np.int64) - lack
+    # a window as similar as wanted is moved against its anchors by at most so many words; one cut
+    # off by an end of the text by at most as many as it lacks
+    move = np.array([int((k - shingle + 1) * (1 - similarity) / (1 + similarity) + 1e-9) for _, k, _ in anchored], np.int64)
+
+    def by_anchors(h, text, first, room, known):
+        """(text, first word, end, item) of the windows around anchors."""
+        spans = shingle_hashes(h, shingle)
+        hit = np.flatnonzero(known[(spans & np.uint64(len(known) - 1)).astype(np.int64)] & (room[:len(spans)] >= shingle))
+        low = np.searchsorted(mark, spans[hit], "left")
+        times = np.searchsorted(mark, spans[hit], "right") - low
+        at = np.repeat(hit, times)
+        x = np.repeat(low - np.cumsum(times) + times, times) + np.arange(len(at))
+        # texts that hold enough different anchors of the item
+        both = text[at] * len(name) + whose[x]
+        seen, count = np.unique(np.unique(both * (place.max(initial=0) + 1) + place[x]) // (place.max(initial=0) + 1), return_counts=True)
+        enough = np.isin(both, seen[count >= need[seen % max(1, len(name))]])
+        at, x = at[enough], x[enough]
+        out = set()
+        for t, who, start in set(zip(text[at].tolist(), whose[x].tolist(), (at - place[x]).tolist())):
+            for s in range(start - int(lack[who]), start + int(lack[who]) + 1):
+                a, e = max(s, int(first[t])), min(s + int(length[who]), int(first[t + 1]))
+                if a < e and (abs(s - start) <= move[who] or e - a < length[who]):
+                    out.add((t, a, e, int(name[who])))
+        return sorted(out)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = np.zeros(1 << max(16, int(len(mark) * 16).bit_length()), bool)
+        known[(mark & np.uint64(len(known) - 1)).astype(np.int64)] = True
         classes = [(int(s), np.flatnonzero(size == s)) for s in np.unique(size)]
         tables = [near_tables(prints[who]) for _, who in classes]
         for b in batches:
@@ -147,6 +204,10 @@ def _windows(probes: list[tuple[int, int, int, int, int]]):
                             docs.append((t, a - int(first[t])))
                             items.append(int(item[x]))
                             words.append(h[a:e].tobytes())
+                for t, a, e, x in by_anchors(h, text, first, room, known) if len(mark) and len(h) >= shingle else ():
+                    docs.append((t, a - int(first[t])))
+                    items.append(x)
+                    words.append(h[a:e].tobytes())
                 if docs:
                     at = pa.array([i + t for t, _ in docs])
                     yield pa.RecordBatch.from_arrays(
@@ -192,7 +253,7 @@ def contaminated_rows(documents: DataFrame, benchmark: DataFrame, words: int = 5
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     # items are numbered, for those without an id
     items = stored(items.mapInArrow(
-        _item_words, "item_id long, item_words binary, n long, size int, front long, back long")
+        _item_words(words, similarity), "item_id long, item_words binary, n long, size int, front long, back long, anchors binary")
         .where("n > 0").distinct().withColumn("item", F.monotonically_increasing_id())
         .withColumn("part", F.pmod(F.xxhash64("item"), F.lit(1 << 20))), f"{path}/items")
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -201,11 +262,12 @@ def contaminated_rows(documents: DataFrame, benchmark: DataFrame, words: int = 5
     parts = max(1, -(-2 * n_items // chunk)) if n_items > chunk else 1
     kinds = "doc_id long, text_key long, first_word long, item long, words binary"
     for p in range(parts):
-        # at most about ``chunk`` items, 32 bytes a probe
-        rows = items.where(F.col("part") % parts == p).select("item", "n", "size", "front", "back").collect()
+        # at most about ``chunk`` items, 32 bytes a probe and 8 an anchor
+        rows = items.where(F.col("part") % parts == p).select("item", "n", "size", "front", "back", "anchors").collect()
         probes = sorted({(r["item"], r["n"], r["size"], ahead, f) for r in rows
                          for ahead, f in ((0, r["front"]), (r["n"] - r["size"], r["back"]))})
-        part = docs.mapInArrow(_windows(probes), kinds) if probes else spark.createDataFrame([], kinds)
+        anchors = [(r["item"], r["n"], bytes(r["anchors"])) for r in rows]
+        part = docs.mapInArrow(_windows(probes, anchors, words, similarity), kinds) if probes else spark.createDataFrame([], kinds)
         found = part if found is None else found.unionByName(part)
     found = stored(found.distinct(), f"{path}/candidates")
     pairs = found.join(items.select("item", "item_id", "item_words"), "item").select(
