@@ -7,8 +7,7 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-SF0001 = "/root/testdata/sf0.001"
-SF001 = "/root/testdata/sf0.01"
+from mart_helpers import SF0001  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -23,16 +22,3 @@ def spark():
 def landing_small(spark):
     from tidemart.plans.landing import Landing
     return Landing.from_fixtures(spark, SF0001)
-
-
-def make_landing(spark, tables: dict):
-    """Landing over inline rows; tables not given are empty."""
-    from tidemart.plans.landing import Landing
-    from tidemart.sources.rows import landing_rows
-    dfs = {}
-
-    def raw(name):
-        if name not in dfs:
-            dfs[name] = landing_rows(spark, name, tables.get(name, []))
-        return dfs[name]
-    return Landing(raw)

@@ -7,7 +7,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF0001
+from mart_helpers import SF0001
 
 from tidemart.operators.cdc import (
     latest_by_max, latest_live, latest_live_incremental, latest_version, map_to_landing,
@@ -100,7 +100,7 @@ def test_result_guard_and_truncate_load(spark):
 
 
 def test_semi_join_reduction_only_on_key_columns(spark):
-    from conftest import make_landing
+    from mart_helpers import make_landing
     L = make_landing(spark, {"fact_delivery_raw": [
         {"id": 1, "po_id": 7, "buyer_org_id": 1, "scheduled_date": "2001-07-01", "_cdc_version": 1},
         {"id": 1, "po_id": 8, "buyer_org_id": 1, "scheduled_date": "2001-07-01", "_cdc_version": 2}]})

@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import make_landing
+from mart_helpers import make_landing
 
 from tidemart.functions.exprs import hour_boundaries, readable_quantity, top1
 from tidemart.operators.cdc import latest_live, latest_version

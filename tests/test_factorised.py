@@ -7,7 +7,7 @@ import random
 
 import pytest
 
-from conftest import make_landing
+from mart_helpers import make_landing
 
 from tidemart.plans import marts as M
 

@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SF0001
+from mart_helpers import SF0001
 from oracle import compare, duck
 
 from tidemart.plans.oracle_fixtures import FIXTURE_SQL

@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SF0001
+from mart_helpers import SF0001
 from oracle import compare, duck
 
 from tidemart.plans.registry import all_oracle_sql, all_queries
@@ -48,7 +48,8 @@ def test_entry_runs(spark):
     spec.loader.exec_module(mod)
     df = mod.entry(spark)
     assert df.count() > 0
-    assert set(mod.queries()) == set(mod.oracle_sql())
+    # the optional queries of the training-data operators may lack SQL
+    assert set(QUERIES) <= set(mod.oracle_sql()) <= set(mod.queries())
 
 
 def test_results_do_not_depend_on_the_python_time_zone(spark, con):

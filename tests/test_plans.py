@@ -8,7 +8,7 @@ import tempfile
 
 import pytest
 
-from conftest import SF0001
+from mart_helpers import SF0001
 
 from tidemart.operators.cdc import latest_live, write_compacted
 from tidemart.plans import marts as M

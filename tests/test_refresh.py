@@ -6,7 +6,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from conftest import make_landing
+from mart_helpers import make_landing
 
 from tidemart.plans import refresh as R
 from tidemart.plans.landing import Landing

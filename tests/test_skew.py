@@ -15,7 +15,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from mart_helpers import SF001
 
 from tidemart.plans import marts as M
 from tidemart.plans.landing import Landing
@@ -75,7 +75,7 @@ def test_hot_buyer_daily_marts_finish(spark, skewed):
 
 def test_one_very_large_buyer_does_not_fail_the_snapshot(spark):
     """110,000 RFQs x 110,000 POs of one buyer: weights of 1.21e10 joined rows."""
-    from conftest import make_landing
+    from mart_helpers import make_landing
     n = 110_000
     empty = make_landing(spark, {})
 

@@ -10,7 +10,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from conftest import SF0001
+from mart_helpers import SF0001
 
 from tidemart.operators.cdc import latest_live, latest_version
 from tidemart.plans import marts as M
