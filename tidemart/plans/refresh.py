@@ -77,6 +77,23 @@ def mart_result(L: Landing, name: str, as_of: _dt.date, loaded_at: _dt.datetime
     return df.withColumn(LOADED_AT, ts).withColumn("month", yyyymm(MART_DATE_COL[name]))
 
 
+def replace_months(spark: SparkSession, path: str, merged: DataFrame, affected: list[int]) -> None:
+    """Replace the stored months ``affected`` by the rows of ``merged`` (which may be read from them)."""
+    schema = merged.schema
+    # stage the merged months, so the overwrite does not read what it replaces
+    staged = scratch_path(spark, "staging", f"months-{uuid.uuid4().hex}")
+    merged.write.mode("overwrite").partitionBy("month").parquet(staged)
+    present = set(_stored_months(spark, staged))
+    if present:
+        (spark.read.schema(schema).parquet(staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+              .partitionBy("month").parquet(path))
+    empty_schema = T.StructType([f for f in schema.fields if f.name != "month"])
+    for m in affected:
+        if m not in present:
+            spark.createDataFrame([], empty_schema).write.mode("overwrite").parquet(f"{path}/month={m}")
+    delete_path(spark, staged)
+
+
 def refresh_mart(spark: SparkSession, L: Landing, name: str, as_of: _dt.date, root: str,
                  mode: str = "replace_window", loaded_at: _dt.datetime | None = None,
                  semantics: str = "literal") -> tuple[int, int]:
@@ -118,21 +135,10 @@ def refresh_mart(spark: SparkSession, L: Landing, name: str, as_of: _dt.date, ro
         merged = old.unionByName(new.filter(F.col("month").isin(affected)))
     else:
         merged = new.filter(F.col("month").isin(affected))
-    # stage the merged months, so the overwrite does not read what it replaces
-    staged = scratch_path(spark, "staging", f"{name}-{uuid.uuid4().hex}")
-    merged.write.mode("overwrite").partitionBy("month").parquet(staged)
-    merged = spark.read.schema(schema).parquet(staged)
-    present = {r["month"] for r in merged.select("month").distinct().collect()}
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy("month").parquet(path))
-    empty_schema = T.StructType([f for f in schema.fields if f.name != "month"])
-    for m in affected:
-        if m not in present:
-            spark.createDataFrame([], empty_schema).write.mode("overwrite").parquet(f"{path}/month={m}")
+    replace_months(spark, path, merged, affected)
     never = _NEVER_NULL.get(name)
     unfit = new.filter(" OR ".join(f"{c} IS NULL" for c in never)).count() if never else 0
-    for folder in (staging, staged):
-        delete_path(spark, folder)
+    delete_path(spark, staging)
     return n_rows, unfit
 
 

@@ -16,8 +16,10 @@ from tidemart.operators.cdc import compact, latest_live
 from tidemart.plans import cdc_queries as C
 from tidemart.plans import refresh as R
 from tidemart.plans.landing import Landing
+from tidemart.plans.marts import MARTS, window_start
 from tidemart.plans.oracle_fixtures import with_fixtures
 from tidemart.plans.oracle_sql import MART_SQL
+from tidemart.plans.store import LandingStore, land_batches, refresh_from_store
 from tidemart.session import scratch_path
 from tidemart.sources.changelog import po_change_log
 from tidemart.sources.schemas import IS_DELETED, LANDING
@@ -124,9 +126,77 @@ def cdc_compact_drop(spark, sf_dir):
     return _portable(compact(log, PO.sort_key, keep_tombstones=False))
 
 
+# --- base plus tail, refresh by changes ------------------------------------------------------
+
+SPLIT_TABLES = ["fact_po_item_raw", "fact_rfq_raw", "fact_rfq_quote_raw", "fact_invoice_raw", "fact_delivery_raw",
+                "fact_rating_raw", "fact_inventory_movement_raw"]
+
+
+def _batches(L: Landing, table: str) -> list[DataFrame]:
+    """Three arrival batches of a landing table, all rows: the PO change log (with key drift) by its own
+    batches, other tables by id."""
+    if table == "fact_po_raw":
+        log = po_change_log(L.raw(table), drift=True, with_batch=True)
+        return [log.filter(c).drop("_batch") for c in ("_batch < 2", "_batch = 2", "_batch = 3")]
+    if table not in SPLIT_TABLES:
+        return [L.raw(table)]
+    return [L.raw(table).filter(c) for c in ("id % 7 > 1", "id % 7 = 0", "id % 7 = 1")]
+
+
+def _store(spark, sf_dir, name: str, tables: list[str]) -> tuple[LandingStore, str, dict[str, list[DataFrame]]]:
+    work, L = _work(spark, name), Landing.materialized(spark, sf_dir)
+    return LandingStore(spark, f"{work}/landing"), f"{work}/marts", {t: _batches(L, t) for t in tables}
+
+
+def _changed(mart: str, tables: list[str]):
+    def run(spark, sf_dir):
+        store, root, batches = _store(spark, sf_dir, f"changed-{mart}", tables)
+        land_batches(store, {t: b[:1] for t, b in batches.items()})
+        refresh_from_store(spark, store, root, mart, DAY_BEFORE)
+        for i in (1, 2):  # a refresh by changes from the tail, then one over a compaction
+            for t, b in batches.items():
+                if len(b) > i:
+                    store.append(t, b[i], f"{i:06d}")
+                    if i == 2:
+                        store.compact(t)
+            kind, _ = refresh_from_store(spark, store, root, mart, AS_OF)
+            if kind != "changes":
+                raise RuntimeError(f"{mart}: refreshed in full")
+        out = R.read_mart(spark, root, mart)
+        # rows before the window keep their last refresh, and so does the snapshot of the day before
+        return _stored(out.filter(F.col("snapshot_date") == F.lit(AS_OF) if mart.startswith("snapshot_") else
+                                  F.col("metric_date") >= F.lit(window_start(AS_OF))))
+    return run
+
+
+CHANGED = {
+    "agg_daily_buyer": ["fact_po_raw", "fact_rfq_raw", "fact_invoice_raw", "fact_delivery_raw", "fact_rating_raw"],
+    "agg_daily_seller": ["fact_rfq_quote_raw", "fact_rfq_raw", "fact_po_raw", "fact_delivery_raw", "fact_rating_raw"],
+    "agg_daily_revenue_territory": ["fact_po_raw", "dim_organization_raw"],
+    "snapshot_org_daily": ["fact_po_raw", "fact_rfq_raw", "fact_invoice_raw", "fact_inventory_movement_raw"],
+}
+
+
+def store_latest_live(spark, sf_dir):
+    """C8 + C9: the change log as a compacted base and a tail of two batches, read as latest live POs."""
+    store, _, batches = _store(spark, sf_dir, "store", ["fact_po_raw"])
+    land_batches(store, batches)
+    return _portable(store.landing().live("fact_po_raw").select(*C.PO_COLS))
+
+
+def store_mart_base_tail(spark, sf_dir):
+    """A mart over base plus tail equals the mart over the whole change log."""
+    store, _, batches = _store(spark, sf_dir, "store-mart", CHANGED["agg_daily_buyer"])
+    land_batches(store, batches)
+    return _portable(MARTS["agg_daily_buyer"](store.landing(), AS_OF))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (refresh_twice_same, mart_latest, report_refresh_status, snapshot_two_days,
-                                    stream_two_feeds_landed, stream_rejects, stream_upsert_state, cdc_compact_drop)}
+    out = {f.__name__: f for f in (refresh_twice_same, mart_latest, report_refresh_status, snapshot_two_days,
+                                   stream_two_feeds_landed, stream_rejects, stream_upsert_state, cdc_compact_drop,
+                                   store_latest_live, store_mart_base_tail)}
+    out.update({f"changed_{mart}": _changed(mart, tables) for mart, tables in CHANGED.items()})
+    return out
 
 
 def oracle_sql() -> dict:
@@ -147,4 +217,9 @@ UNION ALL SELECT 'unlisted table', 'fact_rfq_raw', count(*) FROM fact_rfq_raw"""
         "stream_rejects": rejects,
         "stream_upsert_state": cdc["cdc_latest"],
         "cdc_compact_drop": cdc["cdc_latest_live"],
+        "store_latest_live": cdc["cdc_key_drift"],
+        "store_mart_base_tail": cdc["agg_daily_buyer_changelog"],
+        # POs by the change log (with key drift) where the mart reads them; nothing of the refresh is restated
+        **{f"changed_{mart}": cdc[f"{mart}_changelog"] if f"{mart}_changelog" in cdc else C.with_po_log(MART_SQL[mart])
+           for mart in CHANGED},
     }
