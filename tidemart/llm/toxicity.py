@@ -76,14 +76,35 @@ class Machine:
         return out
 
 
+def _class_counts(rows: list[np.ndarray], label: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Documents with each bucket, of label 1 and of label 0; rows hold distinct buckets."""
+    counts = np.zeros((2, 1 << bits), np.int32)
+    for r, c in zip(rows, label):
+        counts[0 if c else 1, r] += 1
+    return counts[0].astype(np.float64), counts[1].astype(np.float64)
+
+
+def _telling(one: np.ndarray, zero: np.ndarray, n1: float, n0: float, most: int) -> np.ndarray:
+    """Buckets (of 3 documents or more) whose rate in one class is twice that in the other and 4 standard errors off."""
+    if not n1 or not n0:
+        return np.zeros(0, np.int64)
+    p = (one + zero) / (n1 + n0)
+    z = np.abs(one / n1 - zero / n0) / np.sqrt(p * (1 - p) * (1 / n1 + 1 / n0) + 1e-9)
+    odds = np.log((one + 0.5) / (n1 + 1)) - np.log((zero + 0.5) / (n0 + 1))
+    z[(one + zero < 3) | (np.abs(odds) < np.log(2))] = 0
+    top = np.argsort(-z, kind="stable")[:most]
+    return np.sort(top[z[top] >= 4])
+
+
 def fit(rows: list[np.ndarray], label: np.ndarray, prior: float, bits: int = BITS, most: int = 1024, rank: int = 4,
         epochs: int = 20, step: float = 0.1, decay: float = 1e-5, seed: int = 7) -> Machine:
     """Fit on documents given as arrays of distinct buckets; ``prior`` is the share of label 1 to expect.
 
-    Buckets (in 3 documents or more) whose document rate in one class is twice that in the
-    other, and 4 standard errors off, become the machine's features, ``most`` at most.
-    Common words, whose rates differ little (with a text's length), thus have no
-    weight, however long a text. Weights start at the shrunken log odds of their term, so
+    Features are the ``telling`` buckets, at most ``most`` of each kind: those whose document rates in the
+    two classes differ by themselves, and those whose rates differ among the documents that hold a
+    term speaking for label 1. The second kind are terms common in clean text (a group mention) that
+    decide beside an insult; they start without a weight of their own. Other common words, whose rates differ little (with a
+    text's length), have no weight, however long a text. Weights start at the shrunken log odds of their term, so
     that a single telling term counts although training texts hold several; then
     AdaGrad on the logistic loss.
     """
@@ -92,15 +113,18 @@ def fit(rows: list[np.ndarray], label: np.ndarray, prior: float, bits: int = BIT
     logit = float(np.log((prior + 1e-6) / (1 - prior + 1e-6)))
     if n1 == 0 or n0 == 0:
         return Machine(bits, np.zeros(0, np.int64), logit, np.zeros(0), np.zeros((0, rank)))
-    flat, size = np.concatenate(rows), np.array([len(r) for r in rows])
-    one = np.bincount(flat, np.repeat(label, size), 1 << bits)
-    zero = np.bincount(flat, minlength=1 << bits) - one
-    p = (one + zero) / (n1 + n0)
-    z = np.abs(one / n1 - zero / n0) / np.sqrt(p * (1 - p) * (1 / n1 + 1 / n0) + 1e-9)
+    one, zero = _class_counts(rows, label, bits)
     odds = np.log((one + 0.5) / (n1 + 1)) - np.log((zero + 0.5) / (n0 + 1))
-    z[(one + zero < 3) | (np.abs(odds) < np.log(2))] = 0
-    top = np.argsort(-z, kind="stable")[:most]
-    buckets = np.sort(top[z[top] >= 4])
+    alone = _telling(one, zero, n1, n0, most)
+    # documents with a term that speaks for label 1: which other terms make the difference there?
+    speaks = np.zeros(1 << bits, bool)
+    speaks[alone[odds[alone] > 0]] = True
+    near = [i for i, r in enumerate(rows) if speaks[r].any()]
+    m1 = label[near].sum()
+    beside = _telling(*_class_counts([rows[i] for i in near], label[near], bits), m1, len(near) - m1, most)
+    beside = np.setdiff1d(beside, alone)
+    odds[beside] = 0  # no weight of their own to start with, only what they learn beside others
+    buckets = np.sort(np.concatenate([alone, beside]))
     rng = np.random.default_rng(seed)
     k = len(buckets)
     seen = (one + zero)[buckets]
@@ -164,10 +188,11 @@ def learn(documents: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, b
     share = known.agg(F.avg("label")).first()[0]
     docs = documents.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("text"))
     sample = docs.join(F.broadcast(ids), "_id").select("label", "text").mapInArrow(
-        _term_sets(bits), "label int, terms binary").collect()
-    sample.sort(key=lambda r: (r["label"], bytes(r["terms"])))  # tasks end in any order; the fit must not depend on it
-    return fit([np.frombuffer(r["terms"], "<i4").astype(np.int64) for r in sample],
-               np.array([r["label"] for r in sample], np.int64), share or 0.0, bits)
+        _term_sets(bits), "label int, terms binary").toArrow()
+    found = [(label, np.frombuffer(t.as_buffer(), "<i4") if t.is_valid else np.zeros(0, "<i4"))
+             for label, t in zip(sample["label"].to_pylist(), sample["terms"])]  # views, no copies
+    found.sort(key=lambda r: (r[0], r[1].tobytes()))  # tasks end in any order; the fit must not depend on it
+    return fit([r for _, r in found], np.array([c for c, _ in found], np.int64), share or 0.0, bits)
 
 
 def _score(m: Machine):
