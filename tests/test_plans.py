@@ -93,3 +93,16 @@ def test_materialized_bucketed_store_matches_plain(spark):
     a = sorted(map(tuple, M.snapshot_org(plain, dt.date(2001, 8, 1)).collect()), key=repr)
     b = sorted(map(tuple, M.snapshot_org(bucketed, dt.date(2001, 8, 1)).collect()), key=repr)
     assert a == b
+
+
+def test_key_sets_of_joined_sides_open_only_the_months_of_the_window(spark, landing_small):
+    import tempfile
+
+    from tidemart.plans.landing import write_landing
+    root = tempfile.mkdtemp(prefix="months-", dir="/tmp")
+    for t in ("fact_po_raw", "fact_po_item_raw"):
+        write_landing(landing_small.raw(t), t, f"{root}/{t}", by_month=True)
+    L = Landing.from_path(spark, root)
+    plan = M.daily_category_spend(L, dt.date(2001, 8, 1))._jdf.queryExecution().executedPlan().toString()
+    scans = [x for x in plan.split("\n") if "FileScan parquet" in x and "po_date" in x]
+    assert len(scans) >= 2 and all("month" in x.split("PartitionFilters: [")[1].split("]")[0] for x in scans)

@@ -178,14 +178,19 @@ class Landing:
         rows = raw.join(touched, list(key), "left_semi")
         return latest_live(rows, key) if live else latest_version(rows, key)
 
-    def _since(self, name: str, key, since: _dt.date | None) -> DataFrame:
-        t = LANDING[name]
+    def raw_since(self, name: str, since: _dt.date) -> DataFrame:
+        """Raw rows whose own partition date is on or after this day (row by row, before
+        any dedup): the month partition is filtered too if the stored table has one."""
         raw = self.raw(name)
-        if since is None or t.month_of not in key:
-            return raw
         if "month" in raw.columns:
             raw = raw.filter(F.col("month") >= F.lit(since.year * 100 + since.month))
-        return raw.filter(F.col(t.month_of) >= ts_lit(since))
+        return raw.filter(F.col(LANDING[name].month_of) >= ts_lit(since))
+
+    def _since(self, name: str, key, since: _dt.date | None) -> DataFrame:
+        t = LANDING[name]
+        if since is None or t.month_of not in key:
+            return self.raw(name)
+        return self.raw_since(name, since)
 
 
 # Columns of the landing tables that some mart reads, besides their keys.

@@ -102,7 +102,7 @@ def _po_scope(L: Landing, as_of: _dt.date | None) -> DataFrame:
 def _po_ids(L: Landing, as_of: _dt.date) -> DataFrame:
     """po_id of every raw PO row of the window: a superset of the window's POs that
     costs a scan of two columns instead of a second dedup."""
-    return L.raw("fact_po_raw").filter(in_window("po_date", as_of)).select(F.col("id").alias("po_id"))
+    return L.raw_since("fact_po_raw", window_start(as_of)).select(F.col("id").alias("po_id"))
 
 
 # ---------------------------------------------------------------------------
@@ -235,12 +235,12 @@ def daily_seller(L: Landing, as_of: _dt.date, plan: str = "factorised") -> DataF
     # key). The key set comes from the raw quote rows of the window — a superset
     # of what the deduplicated quotes refer to, so the restriction stays exact
     # and costs a scan + distinct instead of a second dedup of the quotes
-    quoted = L.raw("fact_rfq_quote_raw").filter(in_window("quoted_at", as_of))
+    quoted = L.raw_since("fact_rfq_quote_raw", start)
     r = L.latest_for_keys("fact_rfq_raw", quoted.select(F.col("rfq_id").alias("id")))
     # POs and ratings join on their key date = the quote day (>= start)
     p = L.latest("fact_po_raw", since=start)
     # deliveries of these POs, and of the default PO id 0
-    po_ids = L.raw("fact_po_raw").filter(F.col("po_date") >= ts_lit(start)).select(F.col("id").alias("po_id"))
+    po_ids = _po_ids(L, as_of)
     zero = L.raw("fact_delivery_raw").filter(F.col("po_id") == 0).select("po_id")
     d = L.latest_referring("fact_delivery_raw", po_ids.unionByName(zero))
     rt = L.latest("fact_rating_raw", since=start)
@@ -414,7 +414,7 @@ def daily_rfq_pipeline(L: Landing, as_of: _dt.date, plan: str = "factorised") ->
     r = L.live("fact_rfq_raw", since=window_start(as_of)).filter(in_window("rfq_date", as_of))
     # only quotes of RFQs in the window can match (rfq_id is in the quote key);
     # key set from the raw RFQ rows of the window (a superset, see M2)
-    in_win = L.raw("fact_rfq_raw").filter(in_window("rfq_date", as_of))
+    in_win = L.raw_since("fact_rfq_raw", window_start(as_of))
     q = L.latest_for_keys("fact_rfq_quote_raw", in_win.select(F.col("id").alias("rfq_id")))
     st = F.col("status")
     if plan == "joins":
