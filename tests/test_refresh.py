@@ -156,3 +156,18 @@ def test_a_deleted_future_order_leaves_the_mart(spark):
         L = make_landing(spark, {"fact_po_raw": [po(future, deleted)], "dim_organization_raw": org})
         R.refresh_mart(spark, L, "agg_daily_revenue_territory", AS_OF, root)
         assert R.read_mart(spark, root, "agg_daily_revenue_territory").count() == 1 - deleted
+
+
+def test_marts_refreshed_at_the_same_time(spark, landing_small):
+    one, three, broken = _root(), _root(), {"fact_rating_raw"}
+
+    def raw(name):
+        if name in broken:
+            raise RuntimeError("landing table unavailable")
+        return landing_small.raw(name)
+    at_a_time = R.run(spark, Landing(raw), three, AS_OF, group="agg", as_of_events=dt.date(2024, 1, 30), parallel=3)
+    status = {r["mart"]: r["status"] for r in at_a_time.collect()}
+    assert {m for m, s in status.items() if s == "failed"} == {"agg_daily_buyer", "agg_daily_seller", "agg_daily_supplier_spend"}
+    for name in ("agg_daily_category_spend", "agg_daily_revenue_territory"):
+        R.refresh_mart(spark, landing_small, name, AS_OF, one)
+        assert _rows(R.read_mart(spark, three, name)) == _rows(R.read_mart(spark, one, name))
