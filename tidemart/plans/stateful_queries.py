@@ -15,21 +15,25 @@ from pyspark.sql import functions as F
 from tidemart.operators.cdc import compact, latest_live
 from tidemart.plans import cdc_queries as C
 from tidemart.plans import refresh as R
+from tidemart.plans import sketches as K
 from tidemart.plans.landing import Landing
 from tidemart.plans.marts import MARTS, window_start
-from tidemart.plans.oracle_fixtures import with_fixtures
+from tidemart.plans.oracle_fixtures import latest_sql, with_fixtures
 from tidemart.plans.oracle_sql import MART_SQL
 from tidemart.plans.store import LandingStore, land_batches, refresh_from_store
 from tidemart.session import scratch_path
 from tidemart.sources.changelog import po_change_log
+from tidemart.sources.copy import write_within
 from tidemart.sources.schemas import IS_DELETED, LANDING
 from tidemart.streaming.apply import (
     change_feed, land_changes, read_landed, read_rejected, read_state, to_envelope, upsert_changes,
 )
+from tidemart.streaming.routing import landed_progress, log_end, route_changes, routed_landing, stream_lag
 from tidemart.streaming.state import upsert_stream
 
 AS_OF = _dt.date(2001, 8, 1)
 DAY_BEFORE = _dt.date(2001, 7, 31)
+AS_OF_EVENTS = _dt.date(2024, 1, 30)  # as in registry.py
 TERRITORY, ORG = "agg_daily_revenue_territory", "snapshot_org_daily"
 PO = LANDING["fact_po_raw"]
 
@@ -132,6 +136,93 @@ def stream_state_upsert(spark, sf_dir):
     return _portable(store.landing().latest("fact_po_raw").select(*C.PO_COLS))
 
 
+STREAM_LAG_SQL = with_fixtures(["fact_po_raw", "fact_rfq_raw", "fact_rfq_quote_raw"], """
+SELECT table_name, count(*) AS log_records, count(*) FILTER (WHERE landed) AS landed_records,
+       count(*) FILTER (WHERE NOT landed) AS pending_records, max(version) AS log_version, max(version) FILTER (WHERE landed) AS landed_version,
+       max(version) - max(version) FILTER (WHERE landed) AS version_lag,
+       CAST(epoch(max(synced)) - epoch(max(synced) FILTER (WHERE landed)) AS BIGINT) AS lag_secs
+FROM (SELECT 'fact_po_raw' AS table_name, id % 2 = 1 AS landed, _cdc_version AS version, _cdc_synced_at AS synced FROM log
+      UNION ALL SELECT 'fact_rfq_raw', id % 2 = 1, _cdc_version, _cdc_synced_at FROM fact_rfq_raw
+      UNION ALL SELECT 'fact_rfq_quote_raw', id % 2 = 1, _cdc_version, _cdc_synced_at FROM fact_rfq_quote_raw)
+GROUP BY 1""", C._log_ctes())
+MONTHS_SQL = with_fixtures(["fact_engagement_raw"], """, w AS (
+  SELECT strftime(event_ts, '%Y-%m') AS month, * FROM e),
+top AS (SELECT month, org_id, event_type FROM (
+  SELECT month, org_id, event_type, row_number() OVER (PARTITION BY month, org_id ORDER BY count(*) DESC, event_type) AS rk
+  FROM w GROUP BY month, org_id, event_type) WHERE rk = 1)
+SELECT w.month, w.org_id, count(DISTINCT user_id) AS active_users, count(DISTINCT session_id) AS sessions,
+       avg(duration_secs) AS avg_session_secs, count(*) AS page_views, min(top.event_type) AS top_event_type
+FROM w JOIN top ON top.month = w.month AND top.org_id = w.org_id GROUP BY w.month, w.org_id""".replace(", w AS", ",\nw AS", 1),
+                           [("e", latest_sql("fact_engagement_raw"))])
+ROUTED = ["fact_rfq_raw", "fact_rfq_quote_raw", "fact_po_raw"]
+
+
+def _routed(spark, sf_dir, name: str) -> tuple[str, list]:
+    """A work folder and two arrivals of the records of three tables: odd ids with POs of the change log, then even ids."""
+    L, parts = Landing.materialized(spark, sf_dir), []
+    for odd in (1, 0):
+        rows = [(L.raw(t) if t != "fact_po_raw" else po_change_log(L.raw(t))).filter(F.col("id") % 2 == odd) for t in ROUTED]
+        envelopes = [to_envelope(r, t) for r, t in zip(rows, ROUTED)]
+        parts.append(envelopes[0].unionByName(envelopes[1]).unionByName(envelopes[2]))
+    return _work(spark, name), parts
+
+
+def _route(spark, work: str, arrival: DataFrame) -> None:
+    arrival.write.mode("append").parquet(f"{work}/feed")
+    route_changes(change_feed(spark, f"{work}/feed"), f"{work}/landing", f"{work}/checkpoint", ROUTED).awaitTermination()
+
+
+def stream_routed_tables(spark, sf_dir):
+    """Three tables from one feed, each batch by one job; POs as the newest version per key."""
+    work, arrivals = _routed(spark, sf_dir, "routed")
+    for a in arrivals:
+        _route(spark, work, a)
+    return _portable(routed_landing(spark, f"{work}/landing").latest("fact_po_raw").select(*C.PO_COLS))
+
+
+def stream_routed_mart(spark, sf_dir):
+    """A mart over the tables that one feed has landed."""
+    work, arrivals = _routed(spark, sf_dir, "routed-mart")
+    for a in arrivals:
+        _route(spark, work, a)
+    return _portable(MARTS["agg_daily_rfq_pipeline"](routed_landing(spark, f"{work}/landing"), AS_OF))
+
+
+def report_stream_lag(spark, sf_dir):
+    """The first arrival has been landed, the second is in the log only."""
+    work, arrivals = _routed(spark, sf_dir, "lag")
+    _route(spark, work, arrivals[0])
+    arrivals[1].write.mode("append").parquet(f"{work}/feed")
+    return _portable(stream_lag(log_end(spark.read.parquet(f"{work}/feed")), landed_progress(spark, f"{work}/landing")))
+
+
+def _engagement_state(spark, sf_dir, name: str) -> DataFrame:
+    """Stored state of all events, first without the events of id % 3 = 0, then with the days of those computed again."""
+    root, L = f"{_work(spark, name)}/state", Landing.materialized(spark, sf_dir)
+    events = L.raw("fact_engagement_raw")
+    K.refresh_state(spark, Landing(lambda _: events.filter("id % 3 != 0")), root)
+    K.refresh_state(spark, L, root, K.changed_days(events.filter("id % 3 = 0")))
+    return K.read_state(spark, root)
+
+
+def engagement_from_sketches(spark, sf_dir):
+    """The engagement mart of the window from stored sketches per day and organisation."""
+    state = _engagement_state(spark, sf_dir, "sketches").filter(F.col(K.DAY) >= F.lit(window_start(AS_OF_EVENTS)))
+    return _portable(K.from_state(state))
+
+
+def engagement_months_from_sketches(spark, sf_dir):
+    """Users, sessions and top event type per month, merged from the sketches of its days."""
+    return _portable(K.engagement_by_month(_engagement_state(spark, sf_dir, "sketch-months")))
+
+
+def result_within_limits(spark, sf_dir):
+    """A mart written under limits that it keeps, in one execution."""
+    path = f"{_work(spark, 'within')}/mart"
+    write_within(MARTS[TERRITORY](Landing.materialized(spark, sf_dir), AS_OF), path)
+    return _portable(spark.read.parquet(path))
+
+
 def cdc_compact_drop(spark, sf_dir):
     """Physical deletion, a compaction that keeps no tombstones."""
     log = po_change_log(Landing.materialized(spark, sf_dir).raw("fact_po_raw"))
@@ -204,7 +295,9 @@ def store_mart_base_tail(spark, sf_dir):
 def queries() -> dict:
     out = {f.__name__: f for f in (refresh_twice_same, mart_latest, report_refresh_status, snapshot_two_days,
                                    stream_two_feeds_landed, stream_rejects, stream_upsert_state, cdc_compact_drop,
-                                   store_latest_live, store_mart_base_tail, stream_state_upsert)}
+                                   store_latest_live, store_mart_base_tail, stream_state_upsert,
+                                   stream_routed_tables, stream_routed_mart, report_stream_lag,
+                                   engagement_from_sketches, engagement_months_from_sketches, result_within_limits)}
     out.update({f"changed_{mart}": _changed(mart, tables) for mart, tables in CHANGED.items()})
     return out
 
@@ -228,6 +321,12 @@ UNION ALL SELECT 'unlisted table', 'fact_rfq_raw', count(*) FROM fact_rfq_raw"""
         "stream_upsert_state": cdc["cdc_latest"],
         "cdc_compact_drop": cdc["cdc_latest_live"],
         "stream_state_upsert": cdc["cdc_latest"],
+        "stream_routed_tables": cdc["cdc_latest"],
+        "stream_routed_mart": MART_SQL["agg_daily_rfq_pipeline"],
+        "report_stream_lag": STREAM_LAG_SQL,
+        "engagement_from_sketches": MART_SQL["agg_daily_engagement"],
+        "engagement_months_from_sketches": MONTHS_SQL,
+        "result_within_limits": MART_SQL[TERRITORY],
         "store_latest_live": cdc["cdc_key_drift"],
         "store_mart_base_tail": cdc["agg_daily_buyer_changelog"],
         # POs by the change log (with key drift) where the mart reads them; nothing of the refresh is restated

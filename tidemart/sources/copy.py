@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tidemart.session import _fs, delete_path
+
 
 def jdbc_snapshot(spark: SparkSession, url: str, table: str, pk: str, lower: int, upper: int,
                   rows: int, rows_per_partition: int = 50_000, properties: dict | None = None) -> DataFrame:
@@ -65,6 +68,55 @@ def guard_result_size(df: DataFrame, max_rows: int = 1_000_000, max_bytes: int =
     return df
 
 
+def _row_bytes(columns: Sequence[str]) -> Column:
+    return F.octet_length(F.to_json(F.struct(*columns)))
+
+
+def collect_within(df: DataFrame, max_rows: int = 1_000_000, max_bytes: int = 10 * 2 ** 30) -> list:
+    """S11 for results that go to the driver, in one execution: at most ``max_rows`` + 1 rows are taken, and the
+    bytes of each task's rows (as JSON text) are observed as they pass."""
+    seen = Observation()
+    rows = df.limit(max_rows + 1).observe(seen, F.sum(_row_bytes(df.columns)).alias("b")).collect()
+    if len(rows) > max_rows:
+        raise ResultTooLarge(f"result has more than {max_rows} rows")
+    size = seen.get["b"] or 0
+    if size > max_bytes:
+        raise ResultTooLarge(f"result has {size} bytes, more than {max_bytes} bytes")
+    return rows
+
+
+def write_within(df: DataFrame, path: str, max_rows: int = 1_000_000, max_bytes: int = 10 * 2 ** 30) -> None:
+    """S11 for results that are written, in one execution: Parquet at ``path`` if the result is within its limits.
+
+    A task that passes the row limit by itself, or meets a row larger than the byte limit, fails the job there; the totals
+    are observed in the same job. The rows go to a folder beside ``path`` that takes its place only if the
+    totals hold, so a refused result leaves what stood at ``path``."""
+    spark, path = df.sparkSession, path.rstrip("/")
+    if "_bytes" in df.columns or "_row" in df.columns:
+        raise ValueError("the names _bytes and _row are taken by the guard")
+    # the low 33 bits of this id number the rows of a task
+    rows = df.withColumn("_bytes", _row_bytes(df.columns)).withColumn("_row", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
+    over = (F.col("_row") >= max_rows) | (F.col("_bytes") > max_bytes)
+    note = F.lit(f"result has more than {max_rows} rows or {max_bytes} bytes")
+    seen, new = Observation(), f"{path}.new-{uuid.uuid4().hex}"
+    guarded = rows.filter(F.when(over, F.raise_error(note).cast("boolean")).otherwise(True)).observe(
+        seen, F.count(F.lit(1)).alias("n"), F.sum("_bytes").alias("b")).drop("_bytes", "_row")
+    try:
+        guarded.write.parquet(new)
+        n, b = seen.get["n"], seen.get["b"] or 0
+        if n > max_rows or b > max_bytes:
+            raise ResultTooLarge(f"result has {n} rows and {b} bytes, more than {max_rows} rows or {max_bytes} bytes")
+    except Exception as exc:
+        delete_path(spark, new)
+        if not isinstance(exc, ResultTooLarge) and "result has more than" in str(exc):
+            raise ResultTooLarge(f"result has more than {max_rows} rows or {max_bytes} bytes") from exc
+        raise
+    target, fs = _fs(spark, path)
+    fs.delete(target, True)
+    if not fs.rename(_fs(spark, new)[0], target):
+        raise OSError(f"could not move {new} to {path}")
+
+
 # Destination type names the mirror definitions accept, and how
 # each is written from Spark here ("jdbc" needs the database's driver jar on
 # the classpath; the others have no connector in this build).
