@@ -14,9 +14,11 @@ tombstones kept an availableNow query from ending; event-time ones would drop la
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,6 +38,10 @@ ROWS = T.StructType([T.StructField("table_name", T.StringType()), T.StructField(
 STATE = T.StructType([T.StructField("version", T.LongType()), T.StructField("synced", T.LongType())])
 
 
+# the processor goes to the workers by value: they need no copy of this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 class NewestVersion(StatefulProcessor):
     """Emits the newest record of a key if it is newer than what the key's state has seen."""
 
