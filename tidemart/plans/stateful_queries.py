@@ -22,8 +22,9 @@ from tidemart.plans.oracle_fixtures import latest_sql, with_fixtures
 from tidemart.plans.oracle_sql import MART_SQL
 from tidemart.plans.store import LandingStore, land_batches, refresh_from_store
 from tidemart.session import scratch_path
-from tidemart.sources.changelog import po_change_log
+from tidemart.sources.changelog import BATCHES, po_change_log
 from tidemart.sources.copy import write_within
+from tidemart.sources.position import POSITION, append_segment, position_feed, segments
 from tidemart.sources.schemas import IS_DELETED, LANDING
 from tidemart.streaming.apply import (
     change_feed, land_changes, read_landed, read_rejected, read_state, to_envelope, upsert_changes,
@@ -141,9 +142,9 @@ SELECT table_name, count(*) AS log_records, count(*) FILTER (WHERE landed) AS la
        count(*) FILTER (WHERE NOT landed) AS pending_records, max(version) AS log_version, max(version) FILTER (WHERE landed) AS landed_version,
        max(version) - max(version) FILTER (WHERE landed) AS version_lag,
        CAST(epoch(max(synced)) - epoch(max(synced) FILTER (WHERE landed)) AS BIGINT) AS lag_secs
-FROM (SELECT 'fact_po_raw' AS table_name, id % 2 = 1 AS landed, _cdc_version AS version, _cdc_synced_at AS synced FROM log
-      UNION ALL SELECT 'fact_rfq_raw', id % 2 = 1, _cdc_version, _cdc_synced_at FROM fact_rfq_raw
-      UNION ALL SELECT 'fact_rfq_quote_raw', id % 2 = 1, _cdc_version, _cdc_synced_at FROM fact_rfq_quote_raw)
+FROM (SELECT 'fact_po_raw' AS table_name, id % 3 > 0 AS landed, _cdc_version AS version, _cdc_synced_at AS synced FROM log
+      UNION ALL SELECT 'fact_rfq_raw', id % 3 > 0, _cdc_version, _cdc_synced_at FROM fact_rfq_raw
+      UNION ALL SELECT 'fact_rfq_quote_raw', id % 3 > 0, _cdc_version, _cdc_synced_at FROM fact_rfq_quote_raw)
 GROUP BY 1""", C._log_ctes())
 MONTHS_SQL = with_fixtures(["fact_engagement_raw"], """, w AS (
   SELECT strftime(event_ts, '%Y-%m') AS month, * FROM e),
@@ -158,10 +159,10 @@ ROUTED = ["fact_rfq_raw", "fact_rfq_quote_raw", "fact_po_raw"]
 
 
 def _routed(spark, sf_dir, name: str) -> tuple[str, list]:
-    """A work folder and two arrivals of the records of three tables: odd ids with POs of the change log, then even ids."""
+    """A work folder and two arrivals of the records of three tables, POs as their change log: first two ids of three, then every third."""
     L, parts = Landing.materialized(spark, sf_dir), []
-    for odd in (1, 0):
-        rows = [(L.raw(t) if t != "fact_po_raw" else po_change_log(L.raw(t))).filter(F.col("id") % 2 == odd) for t in ROUTED]
+    for mine in (F.col("id") % 3 > 0, F.col("id") % 3 == 0):
+        rows = [(L.raw(t) if t != "fact_po_raw" else po_change_log(L.raw(t))).filter(mine) for t in ROUTED]
         envelopes = [to_envelope(r, t) for r, t in zip(rows, ROUTED)]
         parts.append(envelopes[0].unionByName(envelopes[1]).unionByName(envelopes[2]))
     return _work(spark, name), parts
@@ -196,6 +197,23 @@ def report_stream_lag(spark, sf_dir):
     return _portable(stream_lag(log_end(spark.read.parquet(f"{work}/feed")), landed_progress(spark, f"{work}/landing")))
 
 
+def stream_by_position(spark, sf_dir):
+    """The change log as segments by position, read in batches of about half of it with a restart after each."""
+    work, L = _work(spark, "position"), Landing.materialized(spark, sf_dir)
+    log = po_change_log(L.raw("fact_po_raw"), with_batch=True).withColumn("_copy", F.expr("unix_seconds(_cdc_synced_at) div 86400 % 2"))
+    for batch in range(BATCHES):
+        rows = log.filter(F.col("_batch") == batch)
+        # within an arrival batch by id, version and replay: a number that grows and is unique
+        place = ((F.lit(batch).cast("long") * 2 ** 40 + F.col("id")) * 4 + F.col("_cdc_version")) * 2 + F.col("_copy")
+        append_segment(to_envelope(rows, "fact_po_raw", keep=[place.alias(POSITION)]), f"{work}/log")
+    half = sum(n for _, _, n in segments(spark, f"{work}/log")) // 2
+    for _ in range(BATCHES):
+        feed = position_feed(spark, f"{work}/log", f"{work}/checkpoint", max_rows=half).drop(POSITION)
+        land_changes(feed, f"{work}/landing", f"{work}/checkpoint", ["fact_po_raw"], name="position").awaitTermination()
+    landed = read_landed(spark, f"{work}/landing", "fact_po_raw").drop("month")
+    return _portable(latest_live(landed, PO.sort_key))
+
+
 def _engagement_state(spark, sf_dir, name: str) -> DataFrame:
     """Stored state of all events, first without the events of id % 3 = 0, then with the days of those computed again."""
     root, L = f"{_work(spark, name)}/state", Landing.materialized(spark, sf_dir)
@@ -296,7 +314,7 @@ def queries() -> dict:
     out = {f.__name__: f for f in (refresh_twice_same, mart_latest, report_refresh_status, snapshot_two_days,
                                    stream_two_feeds_landed, stream_rejects, stream_upsert_state, cdc_compact_drop,
                                    store_latest_live, store_mart_base_tail, stream_state_upsert,
-                                   stream_routed_tables, stream_routed_mart, report_stream_lag,
+                                   stream_routed_tables, stream_routed_mart, report_stream_lag, stream_by_position,
                                    engagement_from_sketches, engagement_months_from_sketches, result_within_limits)}
     out.update({f"changed_{mart}": _changed(mart, tables) for mart, tables in CHANGED.items()})
     return out
@@ -324,6 +342,7 @@ UNION ALL SELECT 'unlisted table', 'fact_rfq_raw', count(*) FROM fact_rfq_raw"""
         "stream_routed_tables": cdc["cdc_latest"],
         "stream_routed_mart": MART_SQL["agg_daily_rfq_pipeline"],
         "report_stream_lag": STREAM_LAG_SQL,
+        "stream_by_position": cdc["cdc_latest_live"],
         "engagement_from_sketches": MART_SQL["agg_daily_engagement"],
         "engagement_months_from_sketches": MONTHS_SQL,
         "result_within_limits": MART_SQL[TERRITORY],

@@ -23,7 +23,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -43,10 +43,11 @@ ENVELOPE = T.StructType([
 ])
 
 
-def to_envelope(landing_rows: DataFrame, table: str) -> DataFrame:
-    """Wrap landing-shaped rows as change records (the feed producer's side)."""
+def to_envelope(landing_rows: DataFrame, table: str, keep: Iterable[Column] = ()) -> DataFrame:
+    """Wrap landing-shaped rows as change records (the feed producer's side), with columns to ``keep`` in front."""
     cols = LANDING[table].columns
     return landing_rows.select(
+        *keep,
         F.lit(table).alias("_table"), F.col(VERSION), F.col(IS_DELETED), F.col(SYNCED_AT),
         F.to_json(F.struct(*cols)).alias("payload"))
 
