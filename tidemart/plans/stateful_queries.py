@@ -23,7 +23,7 @@ from tidemart.plans.oracle_sql import MART_SQL
 from tidemart.plans.store import LandingStore, land_batches, refresh_from_store
 from tidemart.session import scratch_path
 from tidemart.sources.changelog import BATCHES, po_change_log
-from tidemart.sources.copy import write_within
+from tidemart.sources.copy import snapshot_by_depth, write_within
 from tidemart.sources.position import POSITION, append_segment, position_feed, segments
 from tidemart.sources.schemas import IS_DELETED, LANDING
 from tidemart.streaming.apply import (
@@ -214,6 +214,13 @@ def stream_by_position(spark, sf_dir):
     return _portable(latest_live(landed, PO.sort_key))
 
 
+def snapshot_equi_depth(spark, sf_dir):
+    """The PO table copied in eight key ranges of about equal row counts."""
+    path = f"{_work(spark, 'depth')}/copy"
+    snapshot_by_depth(Landing.materialized(spark, sf_dir).raw("fact_po_raw"), "id", 8).write.parquet(path)
+    return _portable(spark.read.parquet(path).select(*C.PO_COLS))
+
+
 def _engagement_state(spark, sf_dir, name: str) -> DataFrame:
     """Stored state of all events, first without the events of id % 3 = 0, then with the days of those computed again."""
     root, L = f"{_work(spark, name)}/state", Landing.materialized(spark, sf_dir)
@@ -314,7 +321,7 @@ def queries() -> dict:
     out = {f.__name__: f for f in (refresh_twice_same, mart_latest, report_refresh_status, snapshot_two_days,
                                    stream_two_feeds_landed, stream_rejects, stream_upsert_state, cdc_compact_drop,
                                    store_latest_live, store_mart_base_tail, stream_state_upsert,
-                                   stream_routed_tables, stream_routed_mart, report_stream_lag, stream_by_position,
+                                   stream_routed_tables, stream_routed_mart, report_stream_lag, stream_by_position, snapshot_equi_depth,
                                    engagement_from_sketches, engagement_months_from_sketches, result_within_limits)}
     out.update({f"changed_{mart}": _changed(mart, tables) for mart, tables in CHANGED.items()})
     return out
@@ -342,6 +349,7 @@ UNION ALL SELECT 'unlisted table', 'fact_rfq_raw', count(*) FROM fact_rfq_raw"""
         "stream_routed_tables": cdc["cdc_latest"],
         "stream_routed_mart": MART_SQL["agg_daily_rfq_pipeline"],
         "report_stream_lag": STREAM_LAG_SQL,
+        "snapshot_equi_depth": with_fixtures(["fact_po_raw"], f"SELECT {C._portable_cols('fact_po_raw')} FROM fact_po_raw"),
         "stream_by_position": cdc["cdc_latest_live"],
         "engagement_from_sketches": MART_SQL["agg_daily_engagement"],
         "engagement_months_from_sketches": MONTHS_SQL,
