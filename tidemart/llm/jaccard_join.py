@@ -23,8 +23,11 @@ Equal sets are one class from the start. Candidates that share a rare-first pref
 token form a group; a group is not expanded into all pairs. All members are verified
 against one pivot, linked documents become one component, and what remains are the
 pairs of a group that lie in different components: members outside the group's largest
-component against all members of other components. So every candidate pair is either
-verified or already connected, and the components are exact.
+component against members of other components. The first token two sets share under order 3
+also bounds their overlap by what follows it in either set, so a member has a largest
+partner size in each group, and meets the members of the sizes between only: documents that
+share a passage but not enough of it are told apart before a pair is made. So every
+candidate pair is verified, already connected or too far apart, and the components are exact.
 """
 
 from __future__ import annotations
@@ -196,7 +199,9 @@ def _labelled_rows(documents: DataFrame, words: int, num: int, den: int) -> Data
     alone = F.col("n") - F.size("t")  # tokens of no other document come first and need no look-up
     look = (F.col("n") - F.ceil(F.col("n") * num / F.lit(den)) + 1 - alone).cast("int")
     prefix = stored(common.withColumn("alone", alone).withColumn("look", look).where("look > 0").select(
-        "doc", "n", "alone", F.explode(F.slice("t", F.lit(1), F.col("look"))["token"]).alias("token")), f"{path}/prefix")
+        "doc", "n", "alone", F.posexplode(F.slice("t", F.lit(1), F.col("look"))["token"]).alias("place", "token")).select(
+        "doc", "n", "alone", "token", _largest_partner(F.col("n"), F.col("alone") + F.col("place"), num, den).alias("most")),
+        f"{path}/prefix")
     groups = stored(prefix.join(_shared(prefix), "token"), f"{path}/groups")
     # links within groups: pivots first
     links, tried, label = None, None, None
@@ -217,15 +222,24 @@ def _labelled_rows(documents: DataFrame, words: int, num: int, den: int) -> Data
         found = stored(_verified(pairs, sets, num, den), f"{path}/found-{r}")
         links = found if links is None else links.unionByName(found)
         label = components(links, f"{path}/components-{r}")
-    # the rest: members outside their group's largest component against members of others
-    rows = _labelled(groups, label)
+    # the rest: members outside their group's largest component against members of others, by size
+    rows = _labelled(groups, label).withColumn("band", _band(F.col("n")))
     small = _outside(rows, path, "rest")
+    bands = rows.groupBy("token", "band").agg(F.min("n").alias("shortest"), F.max("most").alias("reach"))
+    top = F.least(F.col("most"), F.floor(F.col("n") * den / F.lit(num)))
+    low = F.ceil(F.col("n") * num / F.lit(den))
+    small = small.where(low <= top).select(
+        "token", F.col("doc").alias("d2"), F.col("n").alias("n2"), F.col("most").alias("most2"), F.col("label").alias("l2"),
+        F.explode(F.sequence(_band(low), _band(top))).alias("band"))
+    small = stored(small.join(bands, ["token", "band"]).where("shortest <= most2 AND n2 <= reach").drop("shortest", "reach"),
+                   f"{path}/probes")
+    rows = rows.join(small.select("token", "band").distinct(), ["token", "band"], "left_semi")
     sketch = sets.select("doc", "sketch")
-    rows = rows.join(small.select("token").distinct(), "token", "left_semi").join(sketch, "doc")
-    small = small.join(sketch, "doc").select(
-        "token", F.col("doc").alias("d2"), F.col("n").alias("n2"), F.col("label").alias("l2"), F.col("sketch").alias("s2"))
+    rows = rows.join(sketch, "doc")
+    small = small.join(sketch.select(F.col("doc").alias("d2"), F.col("sketch").alias("s2")), "d2")
     apart = sum((F.bit_count(F.get("sketch", F.lit(i)).bitwiseXOR(F.get("s2", F.lit(i)))) for i in range(SKETCH // 64)), F.lit(0))
-    rest = rows.join(small, "token").where(F.col("label") != F.col("l2")).where(
+    rest = rows.join(small, ["token", "band"]).where((F.col("label") != F.col("l2")) & (F.col("n") <= F.col("most2")) & (
+        F.col("n2") <= F.col("most"))).where(
         _close(F.col("n"), F.col("n2"), num, den) & ((den + num) * apart <= (den - num) * (F.col("n") + F.col("n2")))).select(
         F.least("doc", "d2").alias("a"), F.greatest("doc", "d2").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
     links = links.unionByName(stored(_verified(stored(rest, f"{path}/pairs-rest"), sets, num, den), f"{path}/found-rest"))
@@ -233,6 +247,17 @@ def _labelled_rows(documents: DataFrame, words: int, num: int, den: int) -> Data
     return _result(first, links, path)
 
 
+def _largest_partner(n: Column, place: Column, num: int, den: int) -> Column:
+    """Size up to which a set can reach the similarity if the first shared token is number ``place`` (from 0) of ``n``:
+    the overlap is n - place at most."""
+    return (F.floor((n - place) * (den + num) / F.lit(num)) - n).cast("long")
+
+
+def _band(n: Column) -> Column:
+    """Sizes in bands: each size up to 128 by itself, then steps of 1/128, so that at most 45 bands can reach 0.85."""
+    return F.when(n <= 128, n).otherwise(128 + F.floor(F.log(n / F.lit(128)) * 128)).cast("int")
+
+
 def _shared(rows: DataFrame) -> DataFrame:
     """Tokens of several rows."""
     return rows.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
