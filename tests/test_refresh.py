@@ -171,3 +171,12 @@ def test_marts_refreshed_at_the_same_time(spark, landing_small):
     for name in ("agg_daily_category_spend", "agg_daily_revenue_territory"):
         R.refresh_mart(spark, landing_small, name, AS_OF, one)
         assert _rows(R.read_mart(spark, three, name)) == _rows(R.read_mart(spark, one, name))
+
+
+def test_mart_row_counts_name_missing_tables(spark, landing_small, tmp_path):
+    from tidemart.plans.reports import mart_row_counts
+    name = "agg_daily_revenue_territory"
+    n, _ = R.refresh_mart(spark, landing_small, name, AS_OF, str(tmp_path))
+    got = {r["mart"]: (r["n_rows"], r["n_rows_readable"]) for r in mart_row_counts(
+        spark, str(tmp_path), [name, "agg_daily_buyer"]).collect()}
+    assert got == {name: (n, f"{n}.00"), "agg_daily_buyer": (None, None)}

@@ -5,12 +5,13 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.functions.exprs import readable_quantity
 from tidemart.operators.cdc import latest_version
 from tidemart.plans.landing import Landing
+from tidemart.session import child_names
 from tidemart.sources.schemas import IS_DELETED, LANDING, SYNCED_AT, VERSION, ts_lit
 
 
@@ -41,6 +42,21 @@ def row_counts(L: Landing, tables: Iterable[str] | None = None) -> DataFrame:
                       readable_quantity(F.col("raw_rows")).alias("raw_rows_readable"))
 
 
+def mart_row_counts(spark: SparkSession, root: str, names: Iterable[str]) -> DataFrame:
+    """R6 for mart tables: stored rows per table, plain and in readable form; both NULL for a table that is not there.
+
+    The counts read no column, so files are opened for their footers only."""
+    out = None
+    for name in names:
+        path = f"{root.rstrip('/')}/{name}"
+        found = any(n.startswith("month=") for n in child_names(spark, path))
+        rows = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n_rows")) if found else spark.range(1).select(
+            F.lit(None).cast("long").alias("n_rows"))
+        part = rows.select(F.lit(name).alias("mart"), "n_rows", readable_quantity(F.col("n_rows")).alias("n_rows_readable"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def cdc_lag(log: DataFrame, applied: Column, as_of: _dt.datetime, table: str) -> DataFrame:
     """How far the applied part of a change log trails the whole log.
 

@@ -20,10 +20,11 @@ from tidemart.plans.landing import Landing
 from tidemart.plans.marts import MARTS, window_start
 from tidemart.plans.oracle_fixtures import latest_sql, with_fixtures
 from tidemart.plans.oracle_sql import MART_SQL
+from tidemart.plans.reports import mart_row_counts
 from tidemart.plans.store import LandingStore, land_batches, refresh_from_store
 from tidemart.session import scratch_path
 from tidemart.sources.changelog import BATCHES, po_change_log
-from tidemart.sources.copy import snapshot_by_depth, write_within
+from tidemart.sources.copy import snapshot_by_depth, truncate_and_load, write_within
 from tidemart.sources.position import POSITION, append_segment, position_feed, segments
 from tidemart.sources.schemas import IS_DELETED, LANDING
 from tidemart.streaming.apply import (
@@ -77,6 +78,35 @@ def report_refresh_status(spark, sf_dir):
                                                 F.col("last_refresh").isNotNull().cast("int").alias("refreshed"))
 
 
+def refresh_group_run(spark, sf_dir):
+    """One pass over the agg group, four marts at a time; the engagement feed cannot be read,
+    which fails its mart and no other. Rows are those of the tables."""
+    root, L = _work(spark, "group"), Landing.materialized(spark, sf_dir)
+
+    def raw(table: str) -> DataFrame:
+        if table == "fact_engagement_raw":
+            raise RuntimeError("feed not readable")
+        return L.raw(table)
+    status = R.run(spark, Landing(raw), root, AS_OF, group="agg", as_of_events=AS_OF_EVENTS, parallel=4)
+    return status.select("mart", "status").join(mart_row_counts(spark, root, R.AGG_GROUP), "mart")
+
+
+def report_mart_row_counts(spark, sf_dir):
+    """Rows of the snapshot tables after two days' passes of their group."""
+    root, L = _work(spark, "counts"), Landing.materialized(spark, sf_dir)
+    for day in (DAY_BEFORE, AS_OF):
+        R.run(spark, L, root, day, group="snapshot")
+    return mart_row_counts(spark, root, R.SNAPSHOT_GROUP)
+
+
+def seed_truncate_and_load(spark, sf_dir):
+    """A table loaded with the whole change log, then with the latest live POs: only the second load is left."""
+    path, log = f"{_work(spark, 'load')}/po", po_change_log(Landing.materialized(spark, sf_dir).raw("fact_po_raw"))
+    for rows in (log, latest_live(log, PO.sort_key)):
+        truncate_and_load(rows, path)
+    return _portable(spark.read.parquet(path))
+
+
 def snapshot_two_days(spark, sf_dir):
     """The snapshots of two days stand side by side; the second day's is loaded twice."""
     root, L = _work(spark, "days"), Landing.materialized(spark, sf_dir)
@@ -318,7 +348,8 @@ def store_mart_base_tail(spark, sf_dir):
 
 
 def queries() -> dict:
-    out = {f.__name__: f for f in (refresh_twice_same, mart_latest, report_refresh_status, snapshot_two_days,
+    out = {f.__name__: f for f in (refresh_twice_same, mart_latest, report_refresh_status, refresh_group_run,
+                                   report_mart_row_counts, seed_truncate_and_load, snapshot_two_days,
                                    stream_two_feeds_landed, stream_rejects, stream_upsert_state, cdc_compact_drop,
                                    store_latest_live, store_mart_base_tail, stream_state_upsert,
                                    stream_routed_tables, stream_routed_mart, report_stream_lag, stream_by_position, snapshot_equi_depth,
@@ -327,6 +358,20 @@ def queries() -> dict:
     return out
 
 
+def _counted(marts: dict[str, str], failed: str | None = None) -> str:
+    """Rows per mart as mart, n_rows and the readable form (and status, where a group run is meant)."""
+    parts = [f"(SELECT '{m}' AS mart, NULL::BIGINT AS n_rows)" if m == failed else
+             f"(SELECT '{m}' AS mart, count(*) AS n_rows FROM ({sql}))" for m, sql in marts.items()]
+    status = f"CASE mart WHEN '{failed}' THEN 'failed' ELSE 'ok' END AS status, " if failed else ""
+    return f"""
+SELECT mart, {status}n_rows{'::DOUBLE' if failed else ''} AS n_rows, CASE
+  WHEN n_rows >= 1000000000 THEN printf('%.2f billion', n_rows / 1e9)
+  WHEN n_rows >= 1000000 THEN printf('%.2f million', n_rows / 1e6)
+  WHEN n_rows >= 1000 THEN printf('%.2f thousand', n_rows / 1e3)
+  ELSE printf('%d.00', n_rows) END AS n_rows_readable
+FROM ({' UNION ALL '.join(parts)})"""
+
+
 def oracle_sql() -> dict:
     cdc = C.oracle_sql()
     day = MART_SQL[ORG]
@@ -340,6 +385,10 @@ UNION ALL SELECT 'unlisted table', 'fact_rfq_raw', count(*) FROM fact_rfq_raw"""
         "mart_latest": MART_SQL[TERRITORY],
         "report_refresh_status": f"SELECT '{TERRITORY}' AS mart, count(*) AS n_rows, 1 AS refreshed FROM ({MART_SQL[TERRITORY]}) "
                                  f"UNION ALL SELECT '{ORG}', count(*), 1 FROM ({day})",
+        "refresh_group_run": _counted({m: MART_SQL[m] for m in R.AGG_GROUP}, failed="agg_daily_engagement"),
+        "report_mart_row_counts": _counted({m: f"SELECT * FROM ({MART_SQL[m]}) UNION ALL SELECT * REPLACE ('{DAY_BEFORE}' AS "
+                                               f"snapshot_date) FROM ({MART_SQL[m]})" for m in R.SNAPSHOT_GROUP}),
+        "seed_truncate_and_load": cdc["cdc_latest_live"],
         "snapshot_two_days": f"SELECT * FROM ({day}) UNION ALL {before}",
         "stream_two_feeds_landed": cdc["cdc_latest_live"],
         "stream_rejects": rejects,
