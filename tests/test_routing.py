@@ -111,3 +111,11 @@ def test_replay_and_lag_after_each_batch(spark, base):
     assert lag() == {"fact_po_raw": (3, 3, 0, 0), "fact_rfq_raw": (1, 1, 0, 0)}
     assert R.read_routed(spark, f"{base}/routed", "fact_po_raw").count() == 3
     assert len(child_names(spark, f"{base}/routed/_progress")) == 1
+
+
+def test_each_image_is_read_once_a_record(spark):
+    path = tempfile.mkdtemp(prefix="routing-", dir="/tmp") + "/b"
+    to_envelope(landing_rows(spark, "fact_po_raw", [_po(1)]), "fact_po_raw").write.parquet(path)
+    plan = R.routed(spark.read.parquet(path), TABLES)._jdf.queryExecution().optimizedPlan().toString()
+    # typed and as texts, for each table; not again for every field that is checked
+    assert plan.count("try_variant_get(") == 2 * len(TABLES)

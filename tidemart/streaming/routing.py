@@ -49,40 +49,55 @@ def _image(t: LandingTable, texts: bool = False) -> Column:
     return F.try_variant_get(F.col(ROW), "$", "struct<" + ",".join(f"`{n}`:{k}" for n, k in kinds) + ">")
 
 
-def _malformed(t: LandingTable) -> Column:
-    typed, text = _image(t), _image(t, texts=True)
+def _typed(name: str) -> str:
+    return f"_typed_{name}"
+
+
+def _text(name: str) -> str:
+    return f"_text_{name}"
+
+
+def _malformed(name: str) -> Column:
+    typed, text = F.col(_typed(name)), F.col(_text(name))
 
     def wrong(f: T.StructField) -> Column:
         lost = typed[f.name].isNull()
         if isinstance(f.dataType, INTEGERS):
             lost = lost | (typed[f.name].cast("string") != text[f.name])
         return text[f.name].isNotNull() & lost
-    # an array or a scalar has no fields at all
-    is_object = F.schema_of_variant(ROW).startswith("OBJECT")
-    return F.col(ROW).isNull() | ~is_object | reduce(Column.__or__, (wrong(f) for f in t.data.fields))
+    # what is no object (an array, a scalar, no JSON at all) does not read as a struct
+    return text.isNull() | reduce(Column.__or__, (wrong(f) for f in LANDING[name].data.fields))
 
 
 def _by_table(tables: Iterable[str], value, otherwise: Column) -> Column:
     out = F
     for name in tables:
-        out = out.when(F.col("_table") == name, value(LANDING[name]))
+        out = out.when(F.col("_table") == name, value(name))
     return out.otherwise(otherwise)
 
 
-def _month(t: LandingTable) -> Column:
+def _month(name: str) -> Column:
+    t = LANDING[name]
     if not t.month_of:
         return F.lit(NO_MONTH)
     field = next(f for f in t.data.fields if f.name == t.month_of)
-    return yyyymm(F.coalesce(_image(t)[t.month_of], type_default(field.dataType)))
+    return yyyymm(F.coalesce(F.col(_typed(name))[t.month_of], type_default(field.dataType)))
 
 
 def routed(batch: DataFrame, tables: Iterable[str]) -> DataFrame:
     """Each record once: its ``route`` (the table, or ``_rejected`` with a ``reason``), ``month`` and parsed row."""
     tables = list(tables)
     parsed = batch.withColumn(ROW, F.try_parse_json("payload"))
+    # both images are read once a record, in a projection of their own; written into the checks of
+    # each field they would be read again for every field, as common parts of CASE branches are not shared
+    images = {}
+    for name in tables:
+        mine = F.col("_table") == name
+        images[_typed(name)] = F.when(mine, _image(LANDING[name]))
+        images[_text(name)] = F.when(mine, _image(LANDING[name], texts=True))
     listed = F.coalesce(F.col("_table").isin(tables), F.lit(False))
     reason = F.when(~listed, F.lit("unlisted table")).when(_by_table(tables, _malformed, F.lit(False)), F.lit("malformed payload"))
-    kept = parsed.withColumn("reason", reason).withColumn("month", F.when(
+    kept = parsed.withColumns(images).withColumn("reason", reason).withColumn("month", F.when(
         F.col("reason").isNull(), _by_table(tables, _month, F.lit(NO_MONTH))).otherwise(NO_MONTH).cast("int"))
     good = F.col("reason").isNull()
     return kept.select(
