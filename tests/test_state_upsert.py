@@ -7,7 +7,7 @@ from tidemart.plans.store import LandingStore
 from tidemart.sources.rows import landing_rows
 from tidemart.sources.schemas import LANDING
 from tidemart.streaming.apply import change_feed, to_envelope
-from tidemart.streaming.state import upsert_stream
+from tidemart.streaming.state import newer_records, upsert_stream
 
 PO = LANDING["fact_po_raw"]
 COLUMNS = [f.name for f in PO.schema.fields]
@@ -39,3 +39,10 @@ def test_upsert_by_state(spark):
     log = landing_rows(spark, "fact_po_raw", sum(runs, []))
     assert _rows(store.landing().latest("fact_po_raw")) == _rows(latest_version(log, PO.sort_key))
 
+
+
+def test_upsert_runs_without_python_per_key(spark):
+    base = tempfile.mkdtemp(prefix="state-", dir="/tmp")
+    to_envelope(landing_rows(spark, "fact_po_raw", [_po(1, 1)]), "fact_po_raw").write.parquet(f"{base}/feed")
+    plan = newer_records(change_feed(spark, f"{base}/feed"), "fact_po_raw")._jdf.queryExecution().analyzed().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "max_by" in plan
