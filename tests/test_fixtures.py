@@ -47,3 +47,10 @@ def test_derived_ids_hold_at_order_keys_of_ten_billion(spark):
     for c in ("quote", "movement"):
         assert len({r[c] for r in rows}) == len({(r["o"], r["s"]) for r in rows})
     assert not {r["buyer"] for r in rows} & {r["supplier"] for r in rows}
+
+
+def test_line_items_are_dealt_once(spark):
+    fx = Fixtures(TableSource(spark, SF0001))
+    for table in ("fact_inventory_movement_raw", "fact_po_raw", "fact_rfq_quote_raw", "fact_delivery_raw"):
+        plan = fx.table(table)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning(l_orderkey") == 1, table

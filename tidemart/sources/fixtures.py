@@ -90,7 +90,7 @@ class Fixtures:
         POs (smallest supplier), quotes, deliveries, ratings and contracts."""
         if self._shared is not None:
             return self._shared
-        return (self._lineitem("l_orderkey", "l_suppkey", "l_extendedprice", "l_shipdate")
+        return (self._lines_by_order("l_orderkey", "l_suppkey", "l_extendedprice", "l_shipdate")
                 .groupBy("l_orderkey", "l_suppkey")
                 .agg(F.sum(D("l_extendedprice")).alias("amt"), F.max("l_shipdate").alias("shipped")))
 
@@ -113,6 +113,13 @@ class Fixtures:
     def _lineitem(self, *cols: str) -> DataFrame:
         return self.src.read("lineitem", *cols)
 
+    def _lines_by_order(self, *cols: str) -> DataFrame:
+        """Line items dealt by order. Grouping by the order and more keys, the window per order and the
+        join to its order all keep this deal: the lines cross the network once, as narrow input
+        rows. Their groups hold one or two lines, so aggregating before the shuffle would not shrink them: it
+        would only hold (and spill) nearly every line in each reading task."""
+        return self._lineitem(*cols).repartition("l_orderkey")
+
     def _min_supplier(self) -> DataFrame:
         """Per order: the smallest supplier key on its lines (partial agg)."""
         return self._order_supplier().groupBy("l_orderkey").agg(F.min("l_suppkey").alias("min_supp"))
@@ -160,7 +167,7 @@ class Fixtures:
         return to_landing(df, "fact_po_raw")
 
     def fact_po_item(self) -> DataFrame:
-        li = self._lineitem("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
+        li = self._lines_by_order("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
         g = (li.groupBy("l_orderkey", "l_partkey")
                .agg(F.sum(D("l_quantity")).alias("qty"), F.sum(D("l_extendedprice")).alias("total")))
         part = self.src.read("part", "p_partkey", "p_type")
@@ -280,8 +287,8 @@ class Fixtures:
 
     def fact_inventory_movement(self) -> DataFrame:
         o = self._lines_of_orders()
-        li = self._lineitem("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-                            "l_quantity", "l_extendedprice", "l_returnflag", "l_shipdate")
+        li = self._lines_by_order("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+                                  "l_quantity", "l_extendedprice", "l_returnflag", "l_shipdate")
         # Lines with equal keys (they occur) are one movement; its id is the order
         # and the movement's number in it: the four keys do not fit one BIGINT.
         # smallest return flag as an int code (A < N < R): a string min would
