@@ -160,8 +160,11 @@ def run(spark: SparkSession, L: Landing, root: str, as_of: _dt.date, group: str
     stop the others. The marts share their deduplicated inputs (fact_po is
     read by six of them). ``parallel`` marts are refreshed at a time, each in a scheduler pool of
     its own name (which shares the cluster evenly if the session runs with
-    ``spark.scheduler.mode=FAIR``). Returns one status row per mart."""
-    shared = SharedReadings(L)
+    ``spark.scheduler.mode=FAIR``). Returns one status row per mart.
+
+    ``L`` may be the ``SharedReadings`` of several passes over one state of the landing tables; the
+    caller releases them."""
+    shared = L if isinstance(L, SharedReadings) else SharedReadings(L)
 
     def one(name: str) -> tuple:
         t0 = time.time()
@@ -181,7 +184,8 @@ def run(spark: SparkSession, L: Landing, root: str, as_of: _dt.date, group: str
         else:
             rows = [one(name) for name in GROUPS[group]]
     finally:
-        shared.release()
+        if shared is not L:
+            shared.release()
     return spark.createDataFrame(rows, "mart string, status string, rows long, seconds double, error string")
 
 

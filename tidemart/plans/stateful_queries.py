@@ -16,7 +16,7 @@ from tidemart.operators.cdc import compact, latest_live
 from tidemart.plans import cdc_queries as C
 from tidemart.plans import refresh as R
 from tidemart.plans import sketches as K
-from tidemart.plans.landing import Landing
+from tidemart.plans.landing import Landing, SharedReadings
 from tidemart.plans.marts import MARTS, window_start
 from tidemart.plans.oracle_fixtures import latest_sql, with_fixtures
 from tidemart.plans.oracle_sql import MART_SQL
@@ -93,9 +93,12 @@ def refresh_group_run(spark, sf_dir):
 
 def report_mart_row_counts(spark, sf_dir):
     """Rows of the snapshot tables after two days' passes of their group."""
-    root, L = _work(spark, "counts"), Landing.materialized(spark, sf_dir)
-    for day in (DAY_BEFORE, AS_OF):
-        R.run(spark, L, root, day, group="snapshot")
+    root, L = _work(spark, "counts"), SharedReadings(Landing.materialized(spark, sf_dir))
+    try:
+        for day in (DAY_BEFORE, AS_OF):
+            R.run(spark, L, root, day, group="snapshot")
+    finally:
+        L.release()
     return mart_row_counts(spark, root, R.SNAPSHOT_GROUP)
 
 
