@@ -508,12 +508,16 @@ def snapshot_org(L: Landing, as_of: _dt.date, plan: str = "factorised") -> DataF
     snap = F.lit(as_of).alias("snapshot_date")
     if plan == "joins":
         j = prefixed(p.select("id", "buyer_org_id", "status", "total_amount"), "p_")
-        j = left_join_default(j, prefixed(r.select("buyer_org_id", "status"), "r_"),
-                              F.col("r_buyer_org_id") == F.col("p_buyer_org_id"))
+        # every join is on a column of the PO, so their order changes no row. The invoices come first: after
+        # a join by organisation each PO would cross the network once per joined row. Then the largest
+        # side by organisation: its shuffle deals the POs while they are single, and the RFQs (and the
+        # grouping) meet them as dealt, also where they are broadcast
         j = left_join_default(j, prefixed(i.select("po_id", "status", "amount", "paid_amount"), "i_"),
                               F.col("i_po_id") == F.col("p_id"))
         j = left_join_default(j, prefixed(im.select("org_id", "quantity", "unit_cost"), "im_"),
                               F.col("im_org_id") == F.col("p_buyer_org_id"))
+        j = left_join_default(j, prefixed(r.select("buyer_org_id", "status"), "r_"),
+                              F.col("r_buyer_org_id") == F.col("p_buyer_org_id"))
         open_po = F.col("p_status").isin(PO_PENDING)
         pend = ~F.col("i_status").isin(INVOICE_SETTLED)
         out = j.groupBy(F.col("p_buyer_org_id").alias("org_id")).agg(
