@@ -68,6 +68,34 @@ def parsed_records(batch: DataFrame, table: str) -> DataFrame:
     return rows.withColumn(CORRUPT, F.when(bad, F.coalesce("payload", F.lit("null"))))
 
 
+def checked_records(batch: DataFrame, tables: Iterable[str]) -> DataFrame:
+    """Each record once, with the row image of its table (``_row_<table>``, NULL for other tables) and
+    ``reason``: why it cannot be landed (of a table that is not listed: C3 leaves it out, but counts it; or with a
+    malformed payload), else NULL. To be persisted: every reading of it would parse the payloads again."""
+    tables = list(tables)
+    listed = F.coalesce(F.col("_table").isin(tables), F.lit(False))
+    images, good = {}, F
+    for name in tables:
+        mine, t = F.col("_table") == name, LANDING[name]
+        schema = T.StructType([*t.data.fields, T.StructField(CORRUPT, T.StringType())])
+        options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+        images[_row(name)] = F.when(mine, F.from_json("payload", schema, options))
+        good = good.when(mine, F.col(_row(name)).isNotNull() & F.col(_row(name))[CORRUPT].isNull())
+    reason = F.when(~listed, F.lit("unlisted table")).when(~(good.otherwise(True) if tables else F.lit(True)), F.lit("malformed payload"))
+    return batch.withColumns(images).withColumn("reason", reason)
+
+
+def _row(table: str) -> str:
+    return f"_row_{table}"
+
+
+def checked_rows(checked: DataFrame, table: str) -> DataFrame:
+    """Landing rows of the well-formed records of a table (C5/C6: typed, defaults)."""
+    t = LANDING[table]
+    rows = checked.filter((F.col("_table") == table) & F.col("reason").isNull())
+    return fill_defaults(rows.select(*[F.col(_row(table))[c].alias(c) for c in t.columns], SYNCED_AT, IS_DELETED, VERSION), t.columns)
+
+
 def parse_envelope(batch: DataFrame, table: str) -> DataFrame:
     """Well-formed change records of one table -> landing rows (C5/C6: typed, defaults)."""
     t = LANDING[table]
@@ -76,17 +104,6 @@ def parse_envelope(batch: DataFrame, table: str) -> DataFrame:
     return fill_defaults(rows, t.columns)
 
 
-def rejected_records(batch: DataFrame, tables: Iterable[str]) -> DataFrame:
-    """Envelope columns and ``reason`` of records that cannot be landed: of a table
-    that is not listed (C3 leaves it out, but counts it), or with a malformed payload."""
-    tables = list(tables)
-    out = batch.filter(F.col("_table").isNull() | ~F.col("_table").isin(tables)).withColumn("reason", F.lit("unlisted table"))
-    for t in tables:
-        bad = parsed_records(batch, t).filter(F.col(CORRUPT).isNotNull())
-        out = out.unionByName(bad.select(*batch.columns, F.lit("malformed payload").alias("reason")))
-    return out
-
-
 def change_feed(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming read of the change-record directory (schema fixed, no inference)."""
     reader = spark.readStream.schema(ENVELOPE)
@@ -121,25 +138,32 @@ def batch_writer(root: str, tables: Iterable[str], stream: str, checkpoint: str,
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         own = f"stream={stream}-{stream_id(spark, checkpoint)}/batch={batch_id}"
-        batch = batch.persist()  # a batch is bounded by the trigger (maxFilesPerTrigger)
+        # parsed once: the counts and all writes read the persisted images; a batch is bounded by the
+        # trigger (maxFilesPerTrigger)
+        checked = checked_records(batch, tables).persist()
         try:
-            counts = {r["_table"]: r["n"] for r in batch.filter(F.col("_table").isin(tables)).groupBy("_table").agg(
-                F.count(F.lit(1)).alias("n")).collect()}  # a row per listed table
-            bad = rejected_records(batch, tables)
-            reasons = {r["reason"]: r["n"] for r in bad.groupBy("reason").agg(F.count(F.lit(1)).alias("n")).collect()}
+            listed = F.when(F.col("_table").isin(tables), F.col("_table"))  # NULL for all others: few groups
+            found = checked.groupBy(listed.alias("_table"), "reason").agg(F.count(F.lit(1)).alias("n")).collect()
+            counts, reasons = {}, {}
+            for r in found:
+                if r["_table"] is not None:
+                    counts[r["_table"]] = counts.get(r["_table"], 0) + r["n"]
+                if r["reason"] is not None:
+                    reasons[r["reason"]] = reasons.get(r["reason"], 0) + r["n"]
             malformed = reasons.get("malformed payload", 0)
             if malformed > max_malformed * sum(counts.values()):
                 raise TooManyRejects(f"batch {batch_id}: {malformed} of {sum(counts.values())} records are malformed")
             if reasons:
+                bad = checked.filter(F.col("reason").isNotNull()).select(*batch.columns, "reason")
                 bad.write.mode("overwrite").parquet(f"{root}/{REJECTED}/{own}")
             for t in (t for t in tables if counts.get(t)):
-                rows, month = parse_envelope(batch, t), LANDING[t].month_of
+                rows, month = checked_rows(checked, t), LANDING[t].month_of
                 if month:
                     rows = rows.withColumn("month", yyyymm(month))
                 w = rows.write.mode("overwrite")
                 (w.partitionBy("month") if month else w).parquet(f"{root}/{t}/{own}")
         finally:
-            batch.unpersist()
+            checked.unpersist()
     return write
 
 
