@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from tidemart.functions.exprs import yyyymm
 from tidemart.operators.cdc import latest_version
-from tidemart.plans.landing import Landing
+from tidemart.plans.landing import STORED, Landing
 from tidemart.session import _fs, child_names, delete_path, path_exists
 from tidemart.sources.schemas import IS_DELETED, LANDING, ts_lit
 
@@ -101,7 +101,7 @@ class LandingStore:
             return
         t = LANDING[table]
         rows = rows.select(*[f.name for f in t.schema.fields])
-        rows.write.mode("overwrite").parquet(f"{self.root}/{table}/tail/batch={batch}")
+        rows.write.mode("overwrite").option("compression", STORED).parquet(f"{self.root}/{table}/tail/batch={batch}")
         self._publish(table, n + 1, {**old, "tail": [*old["tail"], batch], "added": batch})
 
     def _was_added(self, table: str, batch: str) -> bool:
@@ -126,7 +126,7 @@ class LandingStore:
             rows = base.where(F.col("month").isin(sorted(months))).select(*tail.columns).unionByName(tail)
         merged = latest_version(rows, t.sort_key).repartitionByRange("month", *key).sortWithinPartitions("month", *key)
         path = f"{self.root}/{table}/base/gen={n + 1}"
-        merged.write.mode("overwrite").partitionBy("month").parquet(path)
+        merged.write.mode("overwrite").option("compression", STORED).partitionBy("month").parquet(path)
         present = {int(m.removeprefix("month=")) for m in child_names(self.spark, path) if m.startswith("month=")}
         kept = {m: g for m, g in old["months"].items() if int(m) not in months}
         self._publish(table, n + 1, {"months": kept | {str(m): n + 1 for m in sorted(present)}, "tail": [], "added": None})

@@ -121,8 +121,10 @@ class Fixtures:
         return self._lineitem(*cols).repartition("l_orderkey")
 
     def _min_supplier(self) -> DataFrame:
-        """Per order: the smallest supplier key on its lines (partial agg)."""
-        return self._order_supplier().groupBy("l_orderkey").agg(F.min("l_suppkey").alias("min_supp"))
+        """Per order: the smallest supplier key on its lines. A partial aggregate: what a task
+        holds and sends is two keys per order it has read, never more than the lines' own two keys."""
+        lines = self._lineitem("l_orderkey", "l_suppkey") if self._shared is None else self._shared
+        return lines.groupBy("l_orderkey").agg(F.min("l_suppkey").alias("min_supp"))
 
     def _po_supplier(self) -> DataFrame:
         """Per order: ``(o_orderkey, supplier_org_id)``; 0 for orders without lines."""
