@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import NON_ALNUM, prepare_workers, read_table, slices, span_hash, prefix_hash, text_buffers, words_of
+from tidemart.llm.common import NON_ALNUM, prepare_workers, prefix_hash, read_table, scratch, slices, span_hash, stored, text_buffers, words_of
 
 BITS = 20
 BEGINNINGS = (4, 5)
@@ -76,59 +76,88 @@ class Machine:
         return out
 
 
-def _class_counts(rows: list[np.ndarray], label: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Documents with each bucket, of label 1 and of label 0; rows hold distinct buckets."""
-    counts = np.zeros((2, 1 << bits), np.int32)
-    for r, c in zip(rows, label):
-        counts[0 if c else 1, r] += 1
-    return counts[0].astype(np.float64), counts[1].astype(np.float64)
-
-
-def _telling(one: np.ndarray, zero: np.ndarray, n1: float, n0: float, most: int) -> np.ndarray:
-    """Buckets (of 3 documents or more) whose rate in one class is twice that in the other and 4 standard errors off."""
-    if not n1 or not n0:
-        return np.zeros(0, np.int64)
-    p = (one + zero) / (n1 + n0)
-    z = np.abs(one / n1 - zero / n0) / np.sqrt(p * (1 - p) * (1 / n1 + 1 / n0) + 1e-9)
-    odds = np.log((one + 0.5) / (n1 + 1)) - np.log((zero + 0.5) / (n0 + 1))
-    z[(one + zero < 3) | (np.abs(odds) < np.log(2))] = 0
-    top = np.argsort(-z, kind="stable")[:most]
-    return np.sort(top[z[top] >= 4])
-
-
-def fit(rows: list[np.ndarray], label: np.ndarray, prior: float, bits: int = BITS, most: int = 1024, rank: int = 4,
-        epochs: int = 20, step: float = 0.1, decay: float = 1e-5, seed: int = 7) -> Machine:
+@dataclass
+class Rates:
+    """Documents holding each bucket (distinct, ascending), of label 1 and of label 0, among n1 and n0 documents."""
+
+    bucket: np.ndarray
+    one: np.ndarray
+    zero: np.ndarray
+    n1: float
+    n0: float
+
+    def odds(self) -> np.ndarray:
+        """Log odds of label 1 for each bucket."""
+        return np.log((self.one + 0.5) / (self.n1 + 1)) - np.log((self.zero + 0.5) / (self.n0 + 1))
+
+    def telling(self, most: int) -> np.ndarray:
+        """Buckets (of 3 documents or more) whose rate in one class is twice that in the other and 4 standard errors off."""
+        if not self.n1 or not self.n0:
+            return np.zeros(0, np.int64)
+        p = (self.one + self.zero) / (self.n1 + self.n0)
+        z = np.abs(self.one / self.n1 - self.zero / self.n0) / np.sqrt(p * (1 - p) * (1 / self.n1 + 1 / self.n0) + 1e-9)
+        z[(self.one + self.zero < 3) | (np.abs(self.odds()) < np.log(2))] = 0
+        top = np.argsort(-z, kind="stable")[:most]
+        return self.bucket[np.sort(top[z[top] >= 4])]
+
+    def of(self, buckets: np.ndarray) -> np.ndarray:
+        """Places of buckets that are held here."""
+        return np.searchsorted(self.bucket, buckets)
+
+    def speaking(self, buckets: np.ndarray) -> np.ndarray:
+        """Those of the buckets that speak for label 1."""
+        return buckets[self.odds()[self.of(buckets)] > 0]
+
+
+def _class_counts(rows: list[np.ndarray], label: np.ndarray) -> Rates:
+    """Rates of documents given as arrays of distinct buckets."""
+    none = [np.zeros(0, np.int64)]
+    one, zero = (np.concatenate(none + [r for r, c in zip(rows, label) if bool(c) == side]) for side in (True, False))
+    bucket = np.unique(np.concatenate([one, zero]))
+    n1 = float(np.sum(label))
+    return Rates(bucket, *(np.bincount(np.searchsorted(bucket, x), minlength=len(bucket)).astype(np.float64)
+                           for x in (one, zero)), n1, len(rows) - n1)
+
+
+def fit(rows: list[np.ndarray], label: np.ndarray, prior: float, bits: int = BITS, most: int = 1024, **how) -> Machine:
     """Fit on documents given as arrays of distinct buckets; ``prior`` is the share of label 1 to expect.
 
     Features are the ``telling`` buckets, at most ``most`` of each kind: those whose document rates in the
     two classes differ by themselves, and those whose rates differ among the documents that hold a
     term speaking for label 1. The second kind are terms common in clean text (a group mention) that
     decide beside an insult; they start without a weight of their own. Other common words, whose rates differ little (with a
-    text's length), have no weight, however long a text. Weights start at the shrunken log odds of their term, so
+    text's length), have no weight, however long a text. ``how``: see ``train``.
+    """
+    rates = _class_counts(rows, label)
+    alone = rates.telling(most)
+    # documents with a term that speaks for label 1: which other terms make the difference there?
+    speaks = rates.speaking(alone)
+    near = [i for i, r in enumerate(rows) if np.isin(r, speaks).any()]
+    beside = np.setdiff1d(_class_counts([rows[i] for i in near], label[near]).telling(most), alone)
+    return train(rows, label, prior, rates, alone, beside, bits, **how)
+
+
+def train(rows: list[np.ndarray], label: np.ndarray, prior: float, rates: Rates, alone: np.ndarray, beside: np.ndarray,
+          bits: int = BITS, rank: int = 4, epochs: int = 20, step: float = 0.1, decay: float = 1e-5, seed: int = 7) -> Machine:
+    """Train the features ``alone`` and ``beside``; other buckets of the rows have no part.
+
+    Weights start at the shrunken log odds of their term, so
     that a single telling term counts although training texts hold several; then
     AdaGrad on the logistic loss.
     """
     label = label.astype(np.float64)
-    n1, n0 = label.sum(), (1 - label).sum()
+    n1, n0 = rates.n1, rates.n0
     logit = float(np.log((prior + 1e-6) / (1 - prior + 1e-6)))
     if n1 == 0 or n0 == 0:
         return Machine(bits, np.zeros(0, np.int64), logit, np.zeros(0), np.zeros((0, rank)))
-    one, zero = _class_counts(rows, label, bits)
-    odds = np.log((one + 0.5) / (n1 + 1)) - np.log((zero + 0.5) / (n0 + 1))
-    alone = _telling(one, zero, n1, n0, most)
-    # documents with a term that speaks for label 1: which other terms make the difference there?
-    speaks = np.zeros(1 << bits, bool)
-    speaks[alone[odds[alone] > 0]] = True
-    near = [i for i, r in enumerate(rows) if speaks[r].any()]
-    m1 = label[near].sum()
-    beside = _telling(*_class_counts([rows[i] for i in near], label[near], bits), m1, len(near) - m1, most)
-    beside = np.setdiff1d(beside, alone)
-    odds[beside] = 0  # no weight of their own to start with, only what they learn beside others
-    buckets = np.sort(np.concatenate([alone, beside]))
+    buckets = np.sort(np.concatenate([alone, beside])).astype(np.int64)
+    at = rates.of(buckets)
+    # no weight of their own to start with for the second kind, only what they learn beside others
+    odds = np.where(np.isin(buckets, beside), 0.0, rates.odds()[at])
     rng = np.random.default_rng(seed)
     k = len(buckets)
-    seen = (one + zero)[buckets]
-    m = Machine(bits, buckets, logit, odds[buckets] * seen / (seen + 30), rng.normal(0, 0.01, (k, rank)))
+    seen = (rates.one + rates.zero)[at]
+    m = Machine(bits, buckets, logit, odds * seen / (seen + 30), rng.normal(0, 0.01, (k, rank)))
     table = m.table()
     rows = [f[f >= 0] for f in (table[r] for r in rows)]
     g_b, g_w, g_v = 1e-6, np.full(k, 1e-6), np.full((k, rank), 1e-6)
@@ -170,13 +199,57 @@ def _term_sets(bits: int):
     return run
 
 
-def learn(documents: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, bits: int = BITS) -> Machine:
-    """Machine fitted on at most ``max_train`` labelled, not held-out documents.
+def _bucket_counts(speaks: np.ndarray | None, bits: int):
+    """For a batch of rows (label, terms): how many of each label hold each bucket; bucket -1 counts the rows.
+
+    With ``speaks`` only the rows that hold one of these buckets count.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mark = np.zeros(1 << bits, bool)
+        mark[[] if speaks is None else speaks] = True
+        for b in batches:
+            rows = [(c, np.frombuffer(t, "<i4")) for c, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+            rows = [(c, np.append(r, -1)) for c, r in rows if speaks is None or mark[r].any()]
+            if rows:
+                rates = _class_counts([r for _, r in rows], np.array([c for c, _ in rows]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x) for x in (rates.bucket.astype(np.int32), rates.one.astype(np.int64), rates.zero.astype(np.int64))],
+                    names=["bucket", "one", "zero"])
+    return run
+
+
+def _rates(sample: DataFrame, bits: int, speaks: np.ndarray | None = None) -> Rates:
+    """Rates over the sample, or over its rows that hold a bucket of ``speaks``: buckets of 3 documents or more."""
+    counts = sample.mapInArrow(_bucket_counts(speaks, bits), "bucket int, one long, zero long").groupBy("bucket").agg(
+        F.sum("one").alias("one"), F.sum("zero").alias("zero")).where("bucket < 0 OR one + zero >= 3").toArrow()
+    bucket, one, zero = (counts[c].to_numpy() for c in ("bucket", "one", "zero"))
+    order = np.argsort(bucket)
+    bucket, one, zero = bucket[order].astype(np.int64), one[order].astype(np.float64), zero[order].astype(np.float64)
+    if not len(bucket):
+        return Rates(bucket, one, zero, 0.0, 0.0)
+    return Rates(bucket[1:], one[1:], zero[1:], float(one[0]), float(zero[0]))
+
+
+def _only(buckets: np.ndarray, bits: int):
+    """Rows (label, terms) with those of their terms that are features."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mark = np.zeros(1 << bits, bool)
+        mark[buckets] = True
+        for b in batches:
+            terms = [np.frombuffer(t, "<i4") for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array([t[mark[t]].tobytes() for t in terms], pa.binary())], names=["label", "terms"])
+    return run
+
+
+def learn(documents: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, bits: int = BITS, most: int = 1024) -> Machine:
+    """Machine fitted on at most ``max_train`` labelled, not held-out documents, as by ``fit``.
 
     Rows with a null id or label, and labels other than 0 and 1, are not learned
-    from; an id with several labels counts as 1 if any is 1.
+    from; an id with several labels counts as 1 if any is 1. Buckets are counted in
+    tasks; the driver gets the counts and, of the documents, only the features.
     """
-    prepare_workers(documents.sparkSession)
+    path = scratch(documents.sparkSession, "toxicity")
     known = (labels.select(F.col("doc_id").cast("long").alias("_id"), F.col("toxic").cast("int").alias("label"))
              .where("_id IS NOT NULL AND label IN (0, 1)").where(~held_out(F.col("_id")))
              .groupBy("_id").agg(F.max("label").alias("label")))
@@ -187,12 +260,17 @@ def learn(documents: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, b
         ids = part if ids is None else ids.unionByName(part)
     share = known.agg(F.avg("label")).first()[0]
     docs = documents.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("text"))
-    sample = docs.join(F.broadcast(ids), "_id").select("label", "text").mapInArrow(
-        _term_sets(bits), "label int, terms binary").toArrow()
-    found = [(label, np.frombuffer(t.as_buffer(), "<i4") if t.is_valid else np.zeros(0, "<i4"))
-             for label, t in zip(sample["label"].to_pylist(), sample["terms"])]  # views, no copies
-    found.sort(key=lambda r: (r[0], r[1].tobytes()))  # tasks end in any order; the fit must not depend on it
-    return fit([r for _, r in found], np.array([c for c, _ in found], np.int64), share or 0.0, bits)
+    sample = stored(docs.join(F.broadcast(ids), "_id").select("label", "text").mapInArrow(
+        _term_sets(bits), "label int, terms binary"), f"{path}/sample")
+    rates = _rates(sample, bits)
+    alone = rates.telling(most)
+    beside = np.setdiff1d(_rates(sample, bits, rates.speaking(alone)).telling(most), alone)
+    # rows come in the order of their label and terms: the fit must not depend on where they were read
+    found = sample.repartition("label").sortWithinPartitions("label", "terms").mapInArrow(
+        _only(np.concatenate([alone, beside]), bits), "label int, terms binary").toArrow()
+    rows = sorted(zip(found["label"].to_pylist(), found["terms"].to_pylist()), key=lambda r: r[0])
+    return train([np.frombuffer(t, "<i4") for _, t in rows], np.array([c for c, _ in rows], np.int64), share or 0.0,
+                 rates, alone, beside, bits)
 
 
 def _score(m: Machine):
