@@ -250,6 +250,24 @@ def test_suffix_dedup_random_passages(spark, seed, length):
     assert table(suffix_dedup.remove_repeats(H.frame(spark, rows), length), *REPEAT) == plain_repeats(rows, length)
 
 
+def test_suffix_dedup_passages_of_over_50_words(spark):
+    """51 words in three documents each: gone from 400 bytes on, untouched below; ``n_bytes`` is the length before."""
+    rnd = random.Random(7)
+    word = lambda n: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    filler = lambda: " ".join(word(5) for _ in range(100))
+    rows, want = [(0, filler())], {0: 0}
+    for size in (300, 399, 400, 401, 460):
+        passage = f" {' '.join(word(4) for _ in range(50))} {word(size - 252)} "
+        assert len(passage) == size and len(passage.split()) == 51
+        for mark in "123":
+            want[len(rows)] = size if size >= 400 else 0
+            rows.append((len(rows), f"{filler()}{mark}{passage}{mark}{filler()}"))
+    out = suffix_dedup.remove_repeats(H.frame(spark, rows)).collect()
+    assert {r["doc_id"]: r["n_removed"] for r in out} == want
+    assert {r["doc_id"]: r["n_bytes"] for r in out} == {d: len(t) for d, t in rows}
+    assert Counter(tuple(r[k] for k in REPEAT) for r in out) == plain_repeats(rows, 400)
+
+
 # -- token counts -------------------------------------------------------------------------
 
 def test_token_counts_of_redacted_documents(spark, docs):
