@@ -9,7 +9,8 @@ an envelope (one stream for many tables):
 ``land_changes`` runs one streaming query whose ``foreachBatch`` splits each
 micro-batch by table, parses the row image with the table's landing schema,
 turns NULLs into type defaults and writes the rows of each table present to a
-folder of its own stream and batch, by month. Malformed records and records of
+folder of its own stream and batch, by month. Nothing of a batch is held in
+memory between its jobs. Malformed records and records of
 unlisted tables are kept under ``<root>/_rejected``. The stream's checkpoint holds
 the source offsets (the "log position"); after a failure Spark replays the same
 batch id with the same files, and the overwrite of that batch folder makes the
@@ -23,17 +24,17 @@ from __future__ import annotations
 import json
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemart.functions.exprs import yyyymm
 from tidemart.operators.cdc import fill_defaults
-from tidemart.session import child_names, delete_path, path_exists, scratch_path
+from tidemart.session import child_names, delete_path, move_path, path_exists, scratch_path
 from tidemart.sources.schemas import IS_DELETED, LANDING, SYNCED_AT, VERSION
 
-REJECTED = "_rejected"
+REJECTED, STAGED = "_rejected", "_staged"
 ENVELOPE = T.StructType([
     T.StructField("_table", T.StringType(), False),
     T.StructField(VERSION, T.LongType(), False),
@@ -71,7 +72,7 @@ def parsed_records(batch: DataFrame, table: str) -> DataFrame:
 def checked_records(batch: DataFrame, tables: Iterable[str]) -> DataFrame:
     """Each record once, with the row image of its table (``_row_<table>``, NULL for other tables) and
     ``reason``: why it cannot be landed (of a table that is not listed: C3 leaves it out, but counts it; or with a
-    malformed payload), else NULL. To be persisted: every reading of it would parse the payloads again."""
+    malformed payload), else NULL. Every reading of it parses the payloads again."""
     tables = list(tables)
     listed = F.coalesce(F.col("_table").isin(tables), F.lit(False))
     images, good = {}, F
@@ -96,6 +97,13 @@ def checked_rows(checked: DataFrame, table: str) -> DataFrame:
     return fill_defaults(rows.select(*[F.col(_row(table))[c].alias(c) for c in t.columns], SYNCED_AT, IS_DELETED, VERSION), t.columns)
 
 
+def counted(checked: DataFrame) -> tuple[DataFrame, Observation]:
+    """The records; the action that reads them counts the ``rejected`` ones. Filters stay above the
+    counter: pushed below it they would parse a payload again."""
+    seen = Observation()
+    return checked.observe(seen, F.count("reason").alias("rejected")), seen
+
+
 def parse_envelope(batch: DataFrame, table: str) -> DataFrame:
     """Well-formed change records of one table -> landing rows (C5/C6: typed, defaults)."""
     t = LANDING[table]
@@ -132,38 +140,41 @@ def batch_writer(root: str, tables: Iterable[str], stream: str, checkpoint: str,
     nothing (records landed twice collapse when read). Only tables with records
     are written. Records that cannot be landed go to ``<root>/_rejected``; a batch
     with a larger share of malformed ones than ``max_malformed`` fails.
+
+    A table's records are parsed and written in one pass that counts the malformed ones on
+    its way, to ``<root>/_staged``; they are moved into place when all counts are known. Tasks stream
+    their rows, so executors need no more memory for a larger batch. Only the records of tables
+    with malformed ones are parsed again, to keep those aside.
     """
     root, tables = root.rstrip("/"), list(tables)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         own = f"stream={stream}-{stream_id(spark, checkpoint)}/batch={batch_id}"
-        # parsed once: the counts and all writes read the persisted images; a batch is bounded by the
-        # trigger (maxFilesPerTrigger)
-        checked = checked_records(batch, tables).persist()
+        staged = f"{root}/{STAGED}/{own.replace('/', '-')}"
+        listed = F.when(F.col("_table").isin(tables), F.col("_table"))  # NULL for all others: few groups
+        counts = {r["_table"]: r["n"] for r in batch.groupBy(listed.alias("_table")).agg(F.count(F.lit(1)).alias("n")).collect()}
+        unlisted, malformed = counts.pop(None, 0), {}
         try:
-            listed = F.when(F.col("_table").isin(tables), F.col("_table"))  # NULL for all others: few groups
-            found = checked.groupBy(listed.alias("_table"), "reason").agg(F.count(F.lit(1)).alias("n")).collect()
-            counts, reasons = {}, {}
-            for r in found:
-                if r["_table"] is not None:
-                    counts[r["_table"]] = counts.get(r["_table"], 0) + r["n"]
-                if r["reason"] is not None:
-                    reasons[r["reason"]] = reasons.get(r["reason"], 0) + r["n"]
-            malformed = reasons.get("malformed payload", 0)
-            if malformed > max_malformed * sum(counts.values()):
-                raise TooManyRejects(f"batch {batch_id}: {malformed} of {sum(counts.values())} records are malformed")
-            if reasons:
-                bad = checked.filter(F.col("reason").isNotNull()).select(*batch.columns, "reason")
-                bad.write.mode("overwrite").parquet(f"{root}/{REJECTED}/{own}")
             for t in (t for t in tables if counts.get(t)):
+                checked, seen = counted(checked_records(batch.filter(F.col("_table") == t), [t]))
                 rows, month = checked_rows(checked, t), LANDING[t].month_of
                 if month:
                     rows = rows.withColumn("month", yyyymm(month))
                 w = rows.write.mode("overwrite")
-                (w.partitionBy("month") if month else w).parquet(f"{root}/{t}/{own}")
+                (w.partitionBy("month") if month else w).parquet(f"{staged}/{t}")
+                malformed[t] = seen.get["rejected"]
+            bad, total = sum(malformed.values()), sum(counts.values())
+            if bad > max_malformed * total:
+                raise TooManyRejects(f"batch {batch_id}: {bad} of {total} records are malformed")
+            if bad or unlisted:
+                clean = F.coalesce(F.col("_table").isin([t for t, n in malformed.items() if not n]), F.lit(False))
+                checked, _ = counted(checked_records(batch.filter(~clean), tables))
+                checked.filter(F.col("reason").isNotNull()).select(*batch.columns, "reason").write.mode("overwrite").parquet(f"{staged}/{REJECTED}")
+            for name in [*([REJECTED] if bad or unlisted else []), *malformed]:
+                move_path(spark, f"{staged}/{name}", f"{root}/{name}/{own}")
         finally:
-            checked.unpersist()
+            delete_path(spark, staged)
     return write
 
 
