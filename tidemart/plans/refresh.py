@@ -58,6 +58,10 @@ _NEVER_NULL = {
 GROUPS = {"agg": AGG_GROUP, "snapshot": SNAPSHOT_GROUP, "all": AGG_GROUP + SNAPSHOT_GROUP}
 
 
+class RefreshFailed(RuntimeError):
+    """Marts of a pass failed; the others have been refreshed."""
+
+
 def _months_between(a: _dt.date, b: _dt.date) -> list[int]:
     out, y, m = [], a.year, a.month
     while (y, m) <= (b.year, b.month):
@@ -160,7 +164,9 @@ def run(spark: SparkSession, L: Landing, root: str, as_of: _dt.date, group: str
     stop the others. The marts share their deduplicated inputs (fact_po is
     read by six of them). ``parallel`` marts are refreshed at a time, each in a scheduler pool of
     its own name (which shares the cluster evenly if the session runs with
-    ``spark.scheduler.mode=FAIR``). Returns one status row per mart.
+    ``spark.scheduler.mode=FAIR``). Returns one status row per mart; a failed one has no
+    row count. Who goes on to read the marts passes the status to ``all_refreshed`` first: the table of a
+    failed mart is missing or as an earlier pass left it.
 
     ``L`` may be the ``SharedReadings`` of several passes over one state of the landing tables; the
     caller releases them."""
@@ -176,7 +182,7 @@ def run(spark: SparkSession, L: Landing, root: str, as_of: _dt.date, group: str
             note = f"{unfit} groups hold a value beyond the published type (NULL)" if unfit else ""
             return name, "ok", n, round(time.time() - t0, 3), note
         except Exception as exc:  # noqa: BLE001 - isolation is the point
-            return name, "failed", 0, round(time.time() - t0, 3), str(exc)
+            return name, "failed", None, round(time.time() - t0, 3), str(exc)
     try:
         if parallel > 1:
             with ThreadPoolExecutor(max_workers=parallel) as pool:
@@ -189,6 +195,13 @@ def run(spark: SparkSession, L: Landing, root: str, as_of: _dt.date, group: str
     return spark.createDataFrame(rows, "mart string, status string, rows long, seconds double, error string")
 
 
+def all_refreshed(status: DataFrame) -> None:
+    """Raises if a mart of the pass failed."""
+    bad = [r for r in status.collect() if r["status"] != "ok"]  # a row per mart
+    if bad:
+        raise RefreshFailed("; ".join(f"{r['mart']}: {r['error']}" for r in bad))
+
+
 def refresh_status(spark: SparkSession, root: str, names: list[str] | None = None) -> DataFrame:
     """Last refresh time and row count per mart table, read from the tables
     themselves (not from process memory)."""

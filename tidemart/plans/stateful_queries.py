@@ -80,23 +80,24 @@ def report_refresh_status(spark, sf_dir):
 
 def refresh_group_run(spark, sf_dir):
     """One pass over the agg group, four marts at a time; the engagement feed cannot be read,
-    which fails its mart and no other. Rows are those of the tables."""
-    root, L = _work(spark, "group"), Landing.materialized(spark, sf_dir)
+    which fails its mart and no other (a failure of another kind is raised). Rows are those of the tables."""
+    root, L, unreadable = _work(spark, "group"), Landing.materialized(spark, sf_dir), "feed not readable"
 
     def raw(table: str) -> DataFrame:
         if table == "fact_engagement_raw":
-            raise RuntimeError("feed not readable")
+            raise RuntimeError(unreadable)
         return L.raw(table)
     status = R.run(spark, Landing(raw), root, AS_OF, group="agg", as_of_events=AS_OF_EVENTS, parallel=4)
+    R.all_refreshed(status.filter(F.col("error") != unreadable))
     return status.select("mart", "status").join(mart_row_counts(spark, root, R.AGG_GROUP), "mart")
 
 
 def report_mart_row_counts(spark, sf_dir):
-    """Rows of the snapshot tables after two days' passes of their group."""
+    """Rows of the snapshot tables after two days' passes of their group; a mart that failed is an error, not a count."""
     root, L = _work(spark, "counts"), SharedReadings(Landing.materialized(spark, sf_dir))
     try:
         for day in (DAY_BEFORE, AS_OF):
-            R.run(spark, L, root, day, group="snapshot")
+            R.all_refreshed(R.run(spark, L, root, day, group="snapshot"))
     finally:
         L.release()
     return mart_row_counts(spark, root, R.SNAPSHOT_GROUP)

@@ -13,14 +13,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemart.plans import refresh as R
 from tidemart.plans.landing import Landing
+from tidemart.plans.refresh import RefreshFailed  # noqa: F401 - raised by the refreshes
 from tidemart.session import scratch_path
 from tidemart.streaming.apply import batch_writer, read_landed
 
 
-class RefreshFailed(RuntimeError):
-    """A mart of the pass failed; a micro-batch whose own refresh failed is not committed and is retried."""
-
-
 class PipelineQuery(StreamingQuery):
     """The streaming query with its refreshes: it has ended when the last refresh has.
 
@@ -84,11 +81,9 @@ def start_pipeline(feed: DataFrame, landing_root: str, mart_root: str, tables: I
 
     def refresh(session) -> None:
         L = Landing(lambda t: read_landed(session, landing_root, t))
-        status = R.run(session, L, mart_root, as_of(), group=group,
-                       as_of_events=as_of_events() if as_of_events else None)
-        bad = [r for r in status.collect() if r["status"] == "failed"]  # a row per mart
-        if bad:
-            raise RefreshFailed("; ".join(f"{r['mart']}: {r['error']}" for r in bad))
+        # a micro-batch whose own refresh failed is not committed and is retried
+        R.all_refreshed(R.run(session, L, mart_root, as_of(), group=group,
+                              as_of_events=as_of_events() if as_of_events else None))
         last[0], stale[0] = time.monotonic(), False
 
     def process(batch: DataFrame, batch_id: int) -> None:
